@@ -20,7 +20,9 @@ from pyspark.sql.types import StringType
 
 from cairn.vocab import BRAND_STOP_WORDS
 
-WORD = r"[\p{L}\p{N}_]"
+# The last letter is one of \p{L} already. Spelled out, it makes Java look behind by whole
+# characters; a look-behind without any such literal sees half of a surrogate pair.
+WORD = "[\\p{L}\\p{N}_\U00020000]"
 BLANKS = r"[\s\x1c-\x1f\x85\p{Z}]+"
 TOKEN = r"[A-Za-z0-9]++(?:[-'][A-Za-z0-9]++)*+"
 
