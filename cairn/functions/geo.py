@@ -59,6 +59,16 @@ def line_centroid(line: Column) -> Column:
     return F.when(F.size(line) > 0, F.get(F.transform(total, centroid), F.lit(0)))
 
 
+def place_key(lat: Column, lon: Column) -> Column:
+    """The exact coordinate as text, equal for equal numbers (and for 0.0 and -0.0).
+
+    Spark wraps floating-point join keys, and then no longer sees that their rows are
+    already partitioned by them; a text key is shuffled once for grouping and joining.
+    """
+    zero = F.lit(0.0)
+    return F.concat((lat + zero).cast("string"), F.lit(" "), (lon + zero).cast("string"))
+
+
 def line_wkt(line: Column, precision: int = 6) -> Column:
     """``LINESTRING (lon lat, …)``, trailing zeros cut.
 

@@ -110,9 +110,19 @@ def _quote(text: str, blank: str) -> str:
     return blank.join(re.sub(r"([^\w\s])", r"\\\1", part) for part in text.split(" "))
 
 
+def _keyword_pattern(words: Sequence[str]) -> str:
+    """``whole_words`` behind two cheap tests that turn most positions away."""
+    pattern = whole_words(words)
+    if not all(w and _is_word(w[0]) for w in words):
+        return pattern
+    return f"(?=[{''.join(sorted({w[0] for w in words}))}])(?<![a-z0-9]){pattern}"
+
+
 def has_keyword(text: Column, words: Sequence[str]) -> Column:
     """Whether any of the words occurs whole in the lower-cased text (null counts as no)."""
-    return F.coalesce(F.lower(text).rlike(whole_words(words)), F.lit(False))
+    if not words:
+        return F.lit(False)
+    return F.coalesce(F.lower(text).rlike(_keyword_pattern(words)), F.lit(False))
 
 
 def first_keyword(text: Column, words: Sequence[str]) -> Column:
@@ -124,7 +134,7 @@ def first_keyword(text: Column, words: Sequence[str]) -> Column:
     words = list(words)
     if not words:
         return F.lit(None).cast("string")
-    hits = F.regexp_extract_all(F.lower(text), F.lit(f"(?=({whole_words(words)}))"), F.lit(1))
+    hits = F.regexp_extract_all(F.lower(text), F.lit(f"(?=({_keyword_pattern(words)}))"), F.lit(1))
     return F.get(F.array_intersect(F.array(*map(F.lit, words)), hits), F.lit(0))
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from cairn.functions.geo import place_key
 from cairn.functions.times import day_or_yesterday
 from cairn.operators.ordering import last_wins
 from cairn.schemas import WEATHER_RECORD
@@ -38,11 +39,10 @@ def first_day(weather: DataFrame, day: dt.date | str | None = None) -> DataFrame
 
 
 def latest_record(records: DataFrame) -> DataFrame:
-    """One record per coordinate: the last by ``ord``, or by its values if there is none."""
-    keys = ["lat", "lon"]
-    if "ord" in records.columns:
-        return last_wins(records, keys, F.col("ord")).drop("ord")
-    return last_wins(records, keys, F.struct(*[c for c in records.columns if c not in keys]))
+    """One record per coordinate (adds ``place``): the last by ``ord``, or else by its values."""
+    order = F.col("ord") if "ord" in records.columns else F.struct(*records.columns)
+    placed = records.withColumn("place", place_key(F.col("lat"), F.col("lon")))
+    return last_wins(placed, ["place"], order).drop("ord")
 
 
 def attach_weather(
@@ -50,10 +50,11 @@ def attach_weather(
 ) -> DataFrame:
     """Left join on the exact coordinate. Misses get null variables but the asked date.
 
-    No join hint: both sides are unique per coordinate, and the sizes decide.
+    No join hint: both sides have one row per ``place``, and the sizes decide. A shuffled
+    join finds both sides partitioned already.
     """
     dated = F.coalesce("weather_date", day_or_yesterday(day)).alias("weather_date")
-    return trails.join(records, ["lat", "lon"], "left").select(
+    return trails.join(records.drop("lat", "lon"), "place", "left").select(
         *trails.columns, dated, *WEATHER_VARIABLES
     )
 
@@ -92,10 +93,13 @@ def batched_lookup(
         for frame in frames:
             waiting += zip(*(frame[c].tolist() for c in frame.columns))
             full = len(waiting) - len(waiting) % batch_size
-            for start in range(0, full, batch_size):
-                rows = ask(waiting[start:start + batch_size])
-                yield pd.DataFrame(rows, columns=names, dtype=object)
+            rows = [
+                row
+                for start in range(0, full, batch_size)
+                for row in ask(waiting[start:start + batch_size])
+            ]
             waiting = waiting[full:]
+            yield pd.DataFrame(rows, columns=names, dtype=object)
         if waiting:
             yield pd.DataFrame(ask(waiting), columns=names, dtype=object)
 

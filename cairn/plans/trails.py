@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cairn.functions.geo import line_centroid, line_wkt, polyline, trailhead
+from cairn.functions.geo import line_centroid, line_wkt, place_key, polyline, trailhead
 from cairn.functions.times import as_date, epoch_timestamp
 from cairn.operators.enrich import (
     Fetch,
@@ -35,14 +35,19 @@ _TAGS = ["surface", "trail_visibility", "sac_scale"]
 def trail_segments(elements: DataFrame, area: Area | None = TRAIL_AREA) -> DataFrame:
     """Named foot trails: name, tags, ``line``, ``n_points`` and ``ord``."""
     inside = in_area(elements, area) if area else elements
-    rows = foot_trails(inside).select("ord", "tags", polyline(F.col("geometry")).alias("line"))
-    return trail_tags(rows, "ord", "line").withColumn(
-        "n_points", F.coalesce(F.size("line"), F.lit(0))
+    # Points are counted on the landed array: a filter on the count then moves down to the
+    # scan without taking the conversion along.
+    rows = foot_trails(inside).select(
+        "ord",
+        "tags",
+        polyline(F.col("geometry")).alias("line"),
+        F.coalesce(F.size("geometry"), F.lit(0)).alias("n_points"),
     )
+    return trail_tags(rows, "ord", "line", "n_points")
 
 
 def located_trails(segments: DataFrame, deduplicate: bool = True) -> DataFrame:
-    """One row per centroid (``lat``, ``lon``): per name the longest segment, or all of them.
+    """One row per centroid (``place``, ``lat``, ``lon``): the longest segment per name, or all.
 
     Of several with the same centroid the last in processing order stays. Lines of fewer
     than two points drop out after they have counted for where their name first occurs.
@@ -51,10 +56,11 @@ def located_trails(segments: DataFrame, deduplicate: bool = True) -> DataFrame:
     lines = pick(segments, ["line", *_TAGS]).where(F.col("n_points") >= 2)
     centroid = line_centroid(F.col("line"))
     located = lines.withColumn("_c", centroid).select(
-        "name", *_TAGS, "line", "first_ord", "ord",
+        place_key(F.col("_c.lat"), F.col("_c.lon")).alias("place"),
         F.col("_c.lat").alias("lat"), F.col("_c.lon").alias("lon"),
+        "name", *_TAGS, "line", "first_ord", "ord",
     )
-    return last_wins(located, ["lat", "lon"], processing_order()).drop("first_ord", "ord")
+    return last_wins(located, ["place"], processing_order()).drop("first_ord", "ord")
 
 
 def build_trails(

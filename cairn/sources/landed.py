@@ -26,6 +26,15 @@ def read_comments(spark: SparkSession, path: str | list[str], fmt: str = "parque
     return spark.read.schema(COMMENTS).format(fmt).load(path)
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """Rows of a small file spread over idle cores, for work that costs more than a shuffle.
+
+    Tables with at least one split per core, and so every large one, stay as they are.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+
+
 def flatten_comments(threads: DataFrame, comments: str = "comments") -> DataFrame:
     """Nested threads (``submission_id``, array of comments with ``replies``) to flat rows.
 

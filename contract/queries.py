@@ -21,7 +21,7 @@ from cairn import (
     load_trails,
     trail_metrics,
 )
-from cairn.functions.geo import line_centroid, line_wkt, polyline, trailhead
+from cairn.functions.geo import line_centroid, line_wkt, place_key, polyline, trailhead
 from cairn.functions.sentiment import lexicon_scorer, sentiment
 from cairn.functions.text import (
     brand_pattern,
@@ -160,8 +160,7 @@ def weather_last_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def trail_weather_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     trails = S.table(spark, sf_dir, "customer").select(
-        (F.col("c_custkey") + F.lit(0.5)).alias("lat"),
-        F.lit(1.0).alias("lon"),
+        place_key(F.col("c_custkey") + F.lit(0.5), F.lit(1.0)).alias("place"),
         F.col("c_name").alias("name"),
     )
     records = latest_record(first_day(S.weather(spark, sf_dir), S.DAY))
@@ -321,20 +320,20 @@ def top_submissions_per_community(spark: SparkSession, sf_dir: str) -> DataFrame
 
 @query
 def title_gate_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    posts = S.table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("title"))
+    posts = S.documents(spark, sf_dir).withColumnRenamed("text", "title")
     return title_gate(posts, S.WEATHER_WORDS).select("doc_id")
 
 
 @query
 def body_gate_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bodies = S.table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("body"))
+    bodies = S.documents(spark, sf_dir).withColumnRenamed("text", "body")
     return body_gate(bodies, S.WEATHER_WORDS, S.GEAR_WORDS).select("doc_id")
 
 
 @query
 def keyword_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.col("text")
-    return S.table(spark, sf_dir, "documents").select(
+    return S.documents(spark, sf_dir).select(
         "doc_id",
         first_keyword(text, WEATHER_SEASON_WORDS).alias("season"),
         first_keyword(text, GEAR_CATEGORIES).alias("category"),
@@ -345,7 +344,7 @@ def keyword_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def normalized_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return S.table(spark, sf_dir, "documents").select(
+    return S.documents(spark, sf_dir).select(
         "doc_id", normalize_text(F.col("text")).alias("clean")
     )
 
@@ -358,7 +357,7 @@ def _mentions(texts: DataFrame, window: int) -> DataFrame:
 
 @query
 def brand_mentions_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = S.table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = S.documents(spark, sf_dir)
     return _mentions(docs, 12).drop("brand_context")
 
 
@@ -370,7 +369,7 @@ def brand_context(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def brand_context_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _mentions(S.table(spark, sf_dir, "documents").select("doc_id", "text"), 3)
+    return _mentions(S.documents(spark, sf_dir), 3)
 
 
 @query
@@ -413,7 +412,7 @@ for _method in ("threshold", "weighted", "positive_bias", "raw"):
 @query
 def lexicon_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     scores = lexicon_scorer(S.POSITIVE, S.NEGATIVE)(F.col("text")).alias("s")
-    return S.table(spark, sf_dir, "documents").select("doc_id", scores).select(
+    return S.documents(spark, sf_dir).select("doc_id", scores).select(
         "doc_id", *(F.round(f"s.{c}", 6).alias(c) for c in ("negative", "neutral", "positive"))
     )
 

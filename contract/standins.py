@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cairn.sources.landed import spread
 from cairn.vocab import WEATHER_VARIABLES
 
 AREA = (10.0, 5.0, 300.0, 25.0)
@@ -26,6 +27,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def elements(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An order is a way of as many points as its month says, around (customer / 4, day).
 
@@ -49,7 +54,7 @@ def elements(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("natural"), F.lit("peak"),
         F.lit("surface"), F.col("o_orderpriority"),
     )
-    return table(spark, sf_dir, "orders").select(
+    return spread(table(spark, sf_dir, "orders")).select(
         F.col("o_orderkey").alias("ord"),
         F.when(is_way, "way").otherwise("node").alias("type"),
         F.col("o_orderkey").alias("id"),
@@ -152,7 +157,7 @@ def threads(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.transform(F.split(line, r"\. "), lambda s, j: reply(key, s, j)).alias("replies"),
         )
 
-    return table(spark, sf_dir, "documents").select(
+    return documents(spark, sf_dir).select(
         doc.alias("submission_id"), F.transform(F.split("text", "\n"), comment).alias("comments")
     )
 
