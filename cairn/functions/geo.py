@@ -1,4 +1,8 @@
-"""Line geometry as ``array<struct<lon, lat>>``: build, centroid, text form (EPSG:4326)."""
+"""Line geometry as ``array<struct<lon, lat>>``: build, centroid, text form (EPSG:4326).
+
+Arguments are SQL expressions, mostly a column name. A lambda built from Python columns
+costs the driver dozens of round trips to the JVM; a text costs one.
+"""
 
 from __future__ import annotations
 
@@ -6,80 +10,57 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def polyline(geometry: Column) -> Column:
+def polyline(geometry: str) -> Column:
     """(lon, lat) points in payload order."""
-    return F.transform(geometry, lambda p: F.struct(p.lon.alias("lon"), p.lat.alias("lat")))
+    return F.expr(f"transform({geometry}, p -> struct(p.lon AS lon, p.lat AS lat))")
 
 
-def trailhead(line: Column) -> Column:
+def trailhead(line: str) -> Column:
     """The first point."""
-    return F.get(line, F.lit(0))
+    return F.expr(f"get({line}, 0)")
 
 
-def line_centroid(line: Column) -> Column:
+def line_centroid(line: str) -> Column:
     """``struct<lat, lon>``: segment midpoints weighted by segment length, in the plane.
 
     A line without length has its first point as centroid; one without points, null.
     Sums run left to right, so equal lines give bit-equal centroids.
     """
-
-    def segment(p: Column, q: Column) -> Column:
-        dx, dy = q.lon - p.lon, q.lat - p.lat
-        return F.struct(
-            F.sqrt(dx * dx + dy * dy).alias("length"),
-            ((p.lon + q.lon) / 2).alias("lon"),
-            ((p.lat + q.lat) / 2).alias("lat"),
-        )
-
-    def weighted(segments: Column, axis: str | None) -> Column:
-        return F.aggregate(
-            segments,
-            F.lit(0.0),
-            lambda acc, s: acc + (s.length * s[axis] if axis else s.length),
-        )
-
-    def totals(segments: Column) -> Column:
-        return F.struct(
-            weighted(segments, None).alias("length"),
-            weighted(segments, "lon").alias("lon"),
-            weighted(segments, "lat").alias("lat"),
-        )
-
-    def centroid(total: Column) -> Column:
-        first = trailhead(line)
-        return F.when(
-            total.length > 0,
-            F.struct((total.lat / total.length).alias("lat"), (total.lon / total.length).alias("lon")),
-        ).otherwise(F.struct(first.lat.alias("lat"), first.lon.alias("lon")))
-
-    count = F.greatest(F.size(line) - 1, F.lit(0))
-    segments = F.zip_with(F.slice(line, 1, count), F.slice(line, 2, count), segment)
-    # The one-element arrays name an intermediate value, so that it is computed once.
-    total = F.transform(F.array(segments), totals)
-    return F.when(F.size(line) > 0, F.get(F.transform(total, centroid), F.lit(0)))
-
-
-def place_key(lat: Column, lon: Column) -> Column:
+    count = f"greatest(size({line}) - 1, 0)"
+    segments = f"""zip_with(slice({line}, 1, {count}), slice({line}, 2, {count}), (p, q) -> struct(
+        sqrt((q.lon - p.lon) * (q.lon - p.lon) + (q.lat - p.lat) * (q.lat - p.lat)) AS length,
+        (p.lon + q.lon) / 2 AS lon,
+        (p.lat + q.lat) / 2 AS lat))"""
+    totals = """s -> struct(
+        aggregate(s, 0D, (sum, e) -> sum + e.length) AS length,
+        aggregate(s, 0D, (sum, e) -> sum + e.length * e.lon) AS lon,
+        aggregate(s, 0D, (sum, e) -> sum + e.length * e.lat) AS lat)"""
+    centroid = f"""t -> if(t.length > 0,
+        struct(t.lat / t.length AS lat, t.lon / t.length AS lon),
+        struct(get({line}, 0).lat AS lat, get({line}, 0).lon AS lon))"""
+    # The one-element array names an intermediate value, so that it is computed once.
+    whole = f"get(transform(transform(array({segments}), {totals}), {centroid}), 0)"
+    return F.expr(f"if(size({line}) > 0, {whole}, NULL)")
+
+
+def place_key(lat: str, lon: str) -> Column:
     """The exact coordinate as text, equal for equal numbers (and for 0.0 and -0.0).
 
     Spark wraps floating-point join keys, and then no longer sees that their rows are
     already partitioned by them; a text key is shuffled once for grouping and joining.
     """
-    zero = F.lit(0.0)
-    return F.concat((lat + zero).cast("string"), F.lit(" "), (lon + zero).cast("string"))
+    return F.expr(f"concat(CAST({lat} + 0D AS STRING), ' ', CAST({lon} + 0D AS STRING))")
 
 
-def line_wkt(line: Column, precision: int = 6) -> Column:
+def line_wkt(line: str, precision: int = 6) -> Column:
     """``LINESTRING (lon lat, …)``, trailing zeros cut.
 
     ``format_number`` rounds the exact binary value; ``format_string`` and decimal
     casts round its shortest decimal form, which differs in the last place for many
     coordinates of seven decimals.
     """
-    pattern = F.lit("0." + "#" * precision if precision > 0 else "0")
-
-    def number(value: Column) -> Column:
-        return F.call_function("format_number", value, pattern)
-
-    points = F.transform(line, lambda p: F.concat_ws(" ", number(p.lon), number(p.lat)))
-    return F.concat(F.lit("LINESTRING ("), F.array_join(points, ", "), F.lit(")"))
+    pattern = "0." + "#" * precision if precision > 0 else "0"
+    point = f"concat(format_number(p.lon, '{pattern}'), ' ', format_number(p.lat, '{pattern}'))"
+    return F.expr(
+        f"concat('LINESTRING (', array_join(transform({line}, p -> {point}), ', '), ')')"
+    )

@@ -61,10 +61,6 @@ def model_scorer(load: Callable[[], Callable[[list[str]], list[dict]]]) -> Score
             rows = model(texts.fillna("").tolist())
             yield pd.DataFrame(rows, columns=["negative", "neutral", "positive"], dtype="float64")
 
-    # The annotation-free form keeps the function type explicit for the iterator variant.
-    score_batches.__annotations__ = {
-        "batches": Iterator[pd.Series], "return": Iterator[pd.DataFrame]
-    }
     # Non-deterministic for the optimizer: a text must not be scored twice because a
     # later filter was moved below the projection.
     udf = F.pandas_udf(score_batches, SCORES).asNondeterministic()

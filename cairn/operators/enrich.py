@@ -27,21 +27,20 @@ def first_day(weather: DataFrame, day: dt.date | str | None = None) -> DataFrame
     rows that name no day count as the asked one.
     """
     asked = day_or_yesterday(day)
-    stamped = F.coalesce(F.get("daily.time", F.lit(0)), asked)
-    order = [c for c in ("ord",) if c in weather.columns]
-    return weather.where(stamped == asked).select(
-        F.col("latitude").alias("lat"),
-        F.col("longitude").alias("lon"),
-        stamped.alias("weather_date"),
-        *(F.get(F.col("daily")[v], F.lit(0)).alias(v) for v in WEATHER_VARIABLES),
-        *order,
+    stamped = F.coalesce(F.expr("get(daily.time, 0)"), asked)
+    return weather.where(stamped == asked).withColumn("weather_date", stamped).selectExpr(
+        "latitude AS lat",
+        "longitude AS lon",
+        "weather_date",
+        *(f"get(daily.{v}, 0) AS {v}" for v in WEATHER_VARIABLES),
+        *(c for c in weather.columns if c == "ord"),
     )
 
 
 def latest_record(records: DataFrame) -> DataFrame:
     """One record per coordinate (adds ``place``): the last by ``ord``, or else by its values."""
     order = F.col("ord") if "ord" in records.columns else F.struct(*records.columns)
-    placed = records.withColumn("place", place_key(F.col("lat"), F.col("lon")))
+    placed = records.withColumn("place", place_key("lat", "lon"))
     return last_wins(placed, ["place"], order).drop("ord")
 
 

@@ -19,11 +19,8 @@ def broadcast_if_small(side: DataFrame, most_rows: int | None) -> DataFrame:
     """
     if most_rows is None or most_rows > BROADCAST_ROWS:
         return side
-    size = sum(
-        (F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in side.columns),
-        F.lit(0).cast("long"),
-    )
-    measured = side.agg(F.coalesce(F.sum(size), F.lit(0)).alias("size")).first()["size"]
+    size = " + ".join(f"coalesce(octet_length(CAST({c} AS STRING)), 0)" for c in side.columns)
+    measured = side.agg(F.expr(f"sum({size})")).first()[0] or 0
     return F.broadcast(side) if measured <= BROADCAST_BYTES else side
 
 

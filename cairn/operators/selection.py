@@ -18,6 +18,9 @@ from cairn.vocab import (
     WEATHER_SEASON_WORDS,
 )
 
+# Parts a community is split into while its hottest submissions are picked.
+SALTS = 64
+
 
 def in_area(
     elements: DataFrame, area: tuple[float, float, float, float] = TRAIL_AREA
@@ -28,35 +31,29 @@ def in_area(
     between two points is not seen.
     """
     south, west, north, east = area
-    tags = F.col("tags")
-    way = (
-        (F.col("type") == "way")
-        & tags["highway"].rlike(WAY_HIGHWAY_PATTERN)
-        & F.exists(
-            "geometry", lambda p: p.lat.between(south, north) & p.lon.between(west, east)
+
+    def inside(point: str) -> str:
+        return (
+            f"({point}lat BETWEEN {south!r}D AND {north!r}D"
+            f" AND {point}lon BETWEEN {west!r}D AND {east!r}D)"
         )
+
+    return elements.where(
+        f"(type = 'way' AND tags['highway'] RLIKE '{WAY_HIGHWAY_PATTERN}'"
+        f" AND exists(geometry, p -> {inside('p.')}))"
+        f" OR (type = 'node' AND tags['natural'] = '{NODE_NATURAL}' AND {inside('')})"
     )
-    peak = (
-        (F.col("type") == "node")
-        & (tags["natural"] == NODE_NATURAL)
-        & F.col("lat").between(south, north)
-        & F.col("lon").between(west, east)
-    )
-    return elements.where(way | peak)
 
 
 def foot_trails(elements: DataFrame) -> DataFrame:
     """Ways with a name that are tagged exactly ``foot=yes``."""
-    tags = F.col("tags")
-    return elements.where(
-        (F.col("type") == "way") & (tags["name"] != "") & (tags["foot"] == "yes")
-    )
+    return elements.where("type = 'way' AND tags['name'] <> '' AND tags['foot'] = 'yes'")
 
 
 def trail_tags(elements: DataFrame, *keep: str) -> DataFrame:
     """The tags a trail row carries, absent ones null."""
     names = ("name", "surface", "trail_visibility", "sac_scale")
-    return elements.select(*keep, *(F.col("tags")[n].alias(n) for n in names))
+    return elements.selectExpr(*keep, *(f"tags['{n}'] AS {n}" for n in names))
 
 
 def top_submissions(
@@ -66,18 +63,22 @@ def top_submissions(
 ) -> DataFrame:
     """The hottest submissions of each listed community (all of them for ``None``).
 
-    The rank filter is cut to the limit inside every map task before the shuffle, so
-    a community of any size sends at most ``per_community`` rows per task.
+    Taken in three steps that each keep the limit: inside every map task (Spark does so
+    for a bounded rank), per salted part of a community, then per community. However
+    large one community is, its last step sees at most ``SALTS * per_community`` rows.
     """
     listed = submissions.where(F.col("subreddit").isin(*communities))
     if per_community is None:
         return listed
-    by_rank = Window.partitionBy("subreddit").orderBy("hot_rank", "submission_id")
-    return (
-        listed.withColumn("_place", F.row_number().over(by_rank))
-        .where(F.col("_place") <= per_community)
-        .drop("_place")
-    )
+    salted = listed.withColumn("_salt", F.pmod(F.xxhash64("submission_id"), F.lit(SALTS)))
+    parts = _hottest(salted, ["subreddit", "_salt"], per_community)
+    return _hottest(parts, ["subreddit"], per_community).drop("_salt")
+
+
+def _hottest(submissions: DataFrame, group: list[str], most: int) -> DataFrame:
+    by_rank = Window.partitionBy(*group).orderBy("hot_rank", "submission_id")
+    ranked = submissions.withColumn("_place", F.row_number().over(by_rank))
+    return ranked.where(F.col("_place") <= most).drop("_place")
 
 
 def title_gate(

@@ -40,7 +40,7 @@ def trail_segments(elements: DataFrame, area: Area | None = TRAIL_AREA) -> DataF
     rows = foot_trails(inside).select(
         "ord",
         "tags",
-        polyline(F.col("geometry")).alias("line"),
+        polyline("geometry").alias("line"),
         F.coalesce(F.size("geometry"), F.lit(0)).alias("n_points"),
     )
     return trail_tags(rows, "ord", "line", "n_points")
@@ -54,10 +54,8 @@ def located_trails(segments: DataFrame, deduplicate: bool = True) -> DataFrame:
     """
     pick = longest_segment if deduplicate else all_segments
     lines = pick(segments, ["line", *_TAGS]).where(F.col("n_points") >= 2)
-    centroid = line_centroid(F.col("line"))
-    located = lines.withColumn("_c", centroid).select(
-        place_key(F.col("_c.lat"), F.col("_c.lon")).alias("place"),
-        F.col("_c.lat").alias("lat"), F.col("_c.lon").alias("lon"),
+    located = lines.withColumn("_c", line_centroid("line")).select(
+        place_key("_c.lat", "_c.lon").alias("place"), "_c.lat", "_c.lon",
         "name", *_TAGS, "line", "first_ord", "ord",
     )
     return last_wins(located, ["place"], processing_order()).drop("first_ord", "ord")
@@ -95,20 +93,16 @@ def build_trails(
         columns += ["weather_date", *WEATHER_VARIABLES]
     extra = []
     if with_points:
-        extra = [F.struct("lat", "lon").alias("centroid"), trailhead(F.col("line")).alias("trailhead")]
+        extra = [F.expr("struct(lat, lon) AS centroid"), trailhead("line").alias("trailhead")]
     return trails.select(*columns, F.col("line").alias("geometry"), *extra)
 
 
 def trail_rows(trails: DataFrame, precision: int = 6) -> DataFrame:
     """Trails in the form of the result table: geometry as text, sun times as timestamps."""
-    rows = trails.withColumn("geometry", line_wkt(F.col("geometry"), precision))
-    present = set(trails.columns)
-    for name in EPOCH_VARIABLES:
-        if name in present:
-            rows = rows.withColumn(name, epoch_timestamp(F.col(name)))
-    if "weather_date" in present:
-        rows = rows.withColumn("weather_date", as_date(F.col("weather_date")))
-    return conform(rows, TRAIL_WEATHER)
+    readers = {"weather_date": as_date} | {name: epoch_timestamp for name in EPOCH_VARIABLES}
+    changed = {n: read(F.col(n)) for n, read in readers.items() if n in trails.columns}
+    changed["geometry"] = line_wkt("geometry", precision)
+    return conform(trails.withColumns(changed), TRAIL_WEATHER)
 
 
 def trail_metrics(

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from cairn.schemas import GEAR_REVIEWS, TRAIL_WEATHER
@@ -61,8 +60,8 @@ def init_tables(
 def conform(rows: DataFrame, schema: StructType) -> DataFrame:
     """Columns of a sink, in its order and types; columns that are missing become typed nulls."""
     present = set(rows.columns)
-    return rows.select(*(
-        (F.col(f.name) if f.name in present else F.lit(None)).cast(f.dataType).alias(f.name)
+    return rows.selectExpr(*(
+        f"CAST({f.name if f.name in present else 'NULL'} AS {f.dataType.simpleString()}) AS {f.name}"
         for f in schema.fields
     ))
 

@@ -21,7 +21,7 @@ from cairn import (
     load_trails,
     trail_metrics,
 )
-from cairn.functions.geo import line_centroid, line_wkt, place_key, polyline, trailhead
+from cairn.functions.geo import line_centroid, line_wkt, place_key, trailhead
 from cairn.functions.sentiment import lexicon_scorer, sentiment
 from cairn.functions.text import (
     brand_pattern,
@@ -43,6 +43,7 @@ from cairn.operators.selection import (
     trail_tags,
 )
 from cairn.plans.trails import located_trails, trail_rows, trail_segments
+from cairn.schemas import EPOCH_VARIABLES
 from cairn.session import shared_folder
 from cairn.sources.elements import parse_elements
 from cairn.sources.landed import flatten_comments
@@ -96,22 +97,18 @@ def all_segments_order(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def line_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    line = F.col("line")
     located = S.vector_lines(spark, sf_dir).select(
-        "vec_id", line_centroid(line).alias("c"), trailhead(line).alias("h")
+        "vec_id", line_centroid("line").alias("c"), trailhead("line").alias("h")
     )
-    return located.select(
-        "vec_id",
-        F.round("c.lat", 6).alias("lat"),
-        F.round("c.lon", 6).alias("lon"),
-        F.col("h.lat").alias("head_lat"),
-        F.col("h.lon").alias("head_lon"),
+    return located.selectExpr(
+        "vec_id", "round(c.lat, 6) AS lat", "round(c.lon, 6) AS lon",
+        "h.lat AS head_lat", "h.lon AS head_lon",
     )
 
 
 @query
 def wkt_export(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return S.vector_lines(spark, sf_dir).select("vec_id", line_wkt(F.col("line")).alias("wkt"))
+    return S.vector_lines(spark, sf_dir).select("vec_id", line_wkt("line").alias("wkt"))
 
 
 def _located(spark: SparkSession, sf_dir: str, deduplicate: bool) -> DataFrame:
@@ -160,7 +157,7 @@ def weather_last_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def trail_weather_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     trails = S.table(spark, sf_dir, "customer").select(
-        place_key(F.col("c_custkey") + F.lit(0.5), F.lit(1.0)).alias("place"),
+        place_key("c_custkey + 0.5D", "1D").alias("place"),
         F.col("c_name").alias("name"),
     )
     records = latest_record(first_day(S.weather(spark, sf_dir), S.DAY))
@@ -218,11 +215,11 @@ def coerce_date(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _trail_output(rows: DataFrame) -> DataFrame:
-    return rows.select(
+    return rows.selectExpr(
         "name", "surface", "trail_visibility", "sac_scale",
-        F.col("weather_date").cast("string").alias("weather_date"),
+        "CAST(weather_date AS STRING) AS weather_date",
         *(
-            (_stamp(F.col(v)) if v in ("sunrise", "sunset") else F.col(v)).alias(v)
+            f"date_format({v}, 'yyyy-MM-dd HH:mm:ss') AS {v}" if v in EPOCH_VARIABLES else v
             for v in WEATHER_VARIABLES
         ),
         "geometry",
@@ -254,22 +251,20 @@ def trails_without_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def osm_payload_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    element = F.struct("type", "id", "lat", "lon", "tags", "geometry")
-    payloads = S.elements(spark, sf_dir).select(
-        "ord",
-        F.to_json(F.struct(F.array(element, F.struct(
-            F.lit("node").alias("type"), (-F.col("id")).alias("id"),
-            F.lit(1.5).alias("lat"), F.lit(None).cast("double").alias("lon"),
-            F.lit(None).cast("map<string,string>").alias("tags"),
-            F.col("geometry").alias("geometry"),
-        )).alias("elements"))).alias("payload"),
+    element = "struct(type, id, lat, lon, tags, geometry)"
+    other = (
+        "struct('node' AS type, -id AS id, 1.5D AS lat, CAST(NULL AS DOUBLE) AS lon,"
+        " CAST(NULL AS MAP<STRING, STRING>) AS tags, geometry)"
+    )
+    payloads = S.elements(spark, sf_dir).selectExpr(
+        "ord", f"to_json(struct(array({element}, {other}) AS elements)) AS payload"
     )
     rows = parse_elements(payloads, "payload", "ord")
     return rows.select(
         F.col("ord.payload").alias("payload"),
         F.col("ord.pos").cast("long").alias("pos"),
         "id", "type", "lat", F.col("tags")["surface"].alias("surface"),
-        line_wkt(polyline(F.col("geometry"))).alias("wkt"),
+        line_wkt("geometry").alias("wkt"),
     )
 
 

@@ -6,9 +6,9 @@ so a key that holds a third of a table costs no more than any other row.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
+from cairn.schemas import EPOCH_VARIABLES
 from cairn.sources.landed import spread
 from cairn.vocab import WEATHER_VARIABLES
 
@@ -37,45 +37,29 @@ def elements(spark: SparkSession, sf_dir: str) -> DataFrame:
     Orders of status P are peaks; those of status O are open to walkers. All numbers are
     small binary fractions, so centroids are exact and neighbouring customers collide.
     """
-    count, day = F.month("o_orderdate"), F.dayofmonth("o_orderdate").cast("double")
-    base = F.expr("o_custkey div 4").cast("double")
-    is_way = F.col("o_orderstatus") != "P"
-
-    def point(i: Column) -> Column:
-        return F.struct(
-            (base + (i % 2)).alias("lat"),
-            (day + (i - (count + 1) / F.lit(2.0)) * F.lit(0.75)).alias("lon"),
-        )
-
-    tags = F.create_map(
-        F.lit("name"), F.col("o_custkey").cast("string"),
-        F.lit("foot"), F.when(F.col("o_orderstatus") == "O", "yes").otherwise("no"),
-        F.lit("highway"), F.lit("footway"),
-        F.lit("natural"), F.lit("peak"),
-        F.lit("surface"), F.col("o_orderpriority"),
-    )
-    return spread(table(spark, sf_dir, "orders")).select(
-        F.col("o_orderkey").alias("ord"),
-        F.when(is_way, "way").otherwise("node").alias("type"),
-        F.col("o_orderkey").alias("id"),
-        F.when(~is_way, base).alias("lat"),
-        F.when(~is_way, day).alias("lon"),
-        tags.alias("tags"),
-        F.when(is_way, F.transform(F.sequence(F.lit(1), count), point)).alias("geometry"),
+    base, day = "CAST(o_custkey DIV 4 AS DOUBLE)", "CAST(dayofmonth(o_orderdate) AS DOUBLE)"
+    count = "month(o_orderdate)"
+    points = f"""transform(sequence(1, {count}), i -> struct(
+        {base} + i % 2 AS lat, {day} + (i - ({count} + 1) / 2D) * 0.75D AS lon))"""
+    return spread(table(spark, sf_dir, "orders")).selectExpr(
+        "o_orderkey AS ord",
+        "if(o_orderstatus = 'P', 'node', 'way') AS type",
+        "o_orderkey AS id",
+        f"if(o_orderstatus = 'P', {base}, NULL) AS lat",
+        f"if(o_orderstatus = 'P', {day}, NULL) AS lon",
+        """map('name', CAST(o_custkey AS STRING), 'foot', if(o_orderstatus = 'O', 'yes', 'no'),
+            'highway', 'footway', 'natural', 'peak', 'surface', o_orderpriority) AS tags""",
+        f"if(o_orderstatus = 'P', NULL, {points}) AS geometry",
     )
 
 
 def vector_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A vector is a line: pairs of neighbouring entries are its points."""
-    vector = F.col("embedding")
-    line = F.transform(
-        F.sequence(F.lit(0), F.size(vector) - 2, F.lit(2)),
-        lambda i: F.struct(
-            F.get(vector, i).cast("double").alias("lon"),
-            F.get(vector, i + 1).cast("double").alias("lat"),
-        ),
+    return spread(table(spark, sf_dir, "embeddings")).selectExpr(
+        "vec_id",
+        """transform(sequence(0, size(embedding) - 2, 2), i -> struct(
+            CAST(embedding[i] AS DOUBLE) AS lon, CAST(embedding[i + 1] AS DOUBLE) AS lat)) AS line""",
     )
-    return table(spark, sf_dir, "embeddings").select("vec_id", line.alias("line"))
 
 
 def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -83,52 +67,38 @@ def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Sign-ups belong to another day, clicks name none, errors lack the UV index.
     """
-    value, kind = F.col("value"), F.col("event_type")
-    dates = F.when(kind == "click", F.array().cast("array<date>")).otherwise(
-        F.array(F.when(kind == "signup", "2024-01-31").otherwise(DAY).cast("date"))
-    )
 
-    def variable(at: int, name: str) -> Column:
-        if name in ("sunrise", "sunset"):
-            return F.array(F.col("event_id") * 1000 + at)
-        one = F.array(value + at)
+    def variable(at: int, name: str) -> str:
+        if name in EPOCH_VARIABLES:
+            return f"array(event_id * 1000 + {at}) AS {name}"
         if name == "uv_index_max":
-            one = F.when(kind == "error", F.array().cast("array<double>")).otherwise(one)
-        return one
-
-    daily = [dates.alias("time")]
-    daily += [variable(i, n).alias(n) for i, n in enumerate(WEATHER_VARIABLES)]
-    return table(spark, sf_dir, "events").select(
-        (F.col("user_id") + F.lit(0.5)).alias("latitude"),
-        F.dayofmonth("ts").cast("double").alias("longitude"),
-        F.struct(*daily).alias("daily"),
-        F.struct("ts", "event_id").alias("ord"),
+            return f"if(event_type = 'error', array(), array(value + {at})) AS {name}"
+        return f"array(value + {at}) AS {name}"
+
+    variables = ", ".join(variable(i, n) for i, n in enumerate(WEATHER_VARIABLES))
+    return table(spark, sf_dir, "events").selectExpr(
+        "user_id + 0.5D AS latitude",
+        "CAST(dayofmonth(ts) AS DOUBLE) AS longitude",
+        f"""struct(CASE event_type WHEN 'click' THEN array() WHEN 'signup' THEN
+            array(DATE'2024-01-31') ELSE array(DATE'{DAY}') END AS time, {variables}) AS daily""",
+        "struct(ts, event_id) AS ord",
     )
 
 
 def submissions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first turn of a conversation; its role is the community."""
-    first = table(spark, sf_dir, "conversations").where("turn = 0")
-    return first.select(
-        F.col("conv_id").cast("string").alias("submission_id"),
-        F.col("role").alias("subreddit"),
-        F.col("text").alias("title"),
-        F.concat(F.lit("c/"), F.col("conv_id").cast("string")).alias("url"),
-        F.col("conv_id").alias("hot_rank"),
+    return table(spark, sf_dir, "conversations").where("turn = 0").selectExpr(
+        "CAST(conv_id AS STRING) AS submission_id", "role AS subreddit", "text AS title",
+        "concat('c/', conv_id) AS url", "conv_id AS hot_rank",
     )
 
 
 def comments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The later turns of a conversation."""
-    later = table(spark, sf_dir, "conversations").where("turn > 0")
-    conv, turn = F.col("conv_id").cast("string"), F.col("turn").cast("string")
-    return later.select(
-        F.concat_ws("-", conv, turn).alias("comment_id"),
-        conv.alias("submission_id"),
-        F.lit(None).cast("string").alias("parent_id"),
-        F.lit("comment").alias("kind"),
-        F.col("text").alias("body"),
-        (F.col("conv_id") * F.lit(1000.0) + F.col("turn")).alias("created_utc"),
+    return table(spark, sf_dir, "conversations").where("turn > 0").selectExpr(
+        "concat(conv_id, '-', turn) AS comment_id", "CAST(conv_id AS STRING) AS submission_id",
+        "CAST(NULL AS STRING) AS parent_id", "'comment' AS kind", "text AS body",
+        "conv_id * 1000D + turn AS created_utc",
     )
 
 
@@ -137,41 +107,22 @@ def threads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Short sentences stand for unloaded replies.
     """
-    doc = F.col("doc_id").cast("string")
-
-    def reply(prefix: Column, sentence: Column, at: Column) -> Column:
-        return F.struct(
-            F.concat_ws("-", prefix, at.cast("string")).alias("comment_id"),
-            F.when(F.length(sentence) < 5, "more").otherwise("comment").alias("kind"),
-            sentence.alias("body"),
-            at.cast("double").alias("created_utc"),
-        )
-
-    def comment(line: Column, at: Column) -> Column:
-        key = F.concat_ws("-", doc, at.cast("string"))
-        return F.struct(
-            key.alias("comment_id"),
-            F.lit("comment").alias("kind"),
-            line.alias("body"),
-            at.cast("double").alias("created_utc"),
-            F.transform(F.split(line, r"\. "), lambda s, j: reply(key, s, j)).alias("replies"),
-        )
-
-    return documents(spark, sf_dir).select(
-        doc.alias("submission_id"), F.transform(F.split("text", "\n"), comment).alias("comments")
+    replies = r"""transform(split(line, '[.] '), (s, j) -> struct(
+        concat(doc_id, '-', i, '-', j) AS comment_id,
+        if(length(s) < 5, 'more', 'comment') AS kind, s AS body, CAST(j AS DOUBLE) AS created_utc))"""
+    return documents(spark, sf_dir).selectExpr(
+        "CAST(doc_id AS STRING) AS submission_id",
+        rf"""transform(split(text, '\n'), (line, i) -> struct(
+            concat(doc_id, '-', i) AS comment_id, 'comment' AS kind, line AS body,
+            CAST(i AS DOUBLE) AS created_utc, {replies} AS replies)) AS comments""",
     )
 
 
 def scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three class scores from an event."""
-    neg, neu = F.col("value"), F.lit(10.0)
-    pos = (F.col("event_id") % 50).cast("double")
-    total = neg + neu + pos
-    return table(spark, sf_dir, "events").select(
+    total = "(value + 10D + event_id % 50)"
+    return table(spark, sf_dir, "events").selectExpr(
         "event_id",
-        F.struct(
-            (neg / total).alias("negative"),
-            (neu / total).alias("neutral"),
-            (pos / total).alias("positive"),
-        ).alias("scores"),
+        f"""struct(value / {total} AS negative, 10D / {total} AS neutral,
+            CAST(event_id % 50 AS DOUBLE) / {total} AS positive) AS scores""",
     )

@@ -22,12 +22,12 @@ def lines(spark, points):
     ([(7.0, 8.0)], 8.0, 7.0),
 ])
 def test_centroid(spark, points, lat, lon):
-    c = lines(spark, [points]).select(line_centroid(F.col("line")).alias("c")).first().c
+    c = lines(spark, [points]).select(line_centroid("line").alias("c")).first().c
     assert (c.lat, c.lon) == (lat, lon)
 
 
 def test_centroid_of_nothing(spark):
-    got = lines(spark, [[], None]).select(line_centroid(F.col("line")).alias("c")).collect()
+    got = lines(spark, [[], None]).select(line_centroid("line").alias("c")).collect()
     assert [r.c for r in got] == [None, None]
 
 
@@ -35,7 +35,7 @@ def test_centroid_is_bit_equal_to_a_left_to_right_sum(spark):
     rng = random.Random(3)
     shapes = [[(rng.uniform(-180, 180), rng.uniform(-90, 90)) for _ in range(rng.randint(2, 60))]
               for _ in range(200)]
-    got = lines(spark, shapes).select("i", line_centroid(F.col("line")).alias("c")).collect()
+    got = lines(spark, shapes).select("i", line_centroid("line").alias("c")).collect()
     for r in got:
         length = x = y = 0.0
         for (ax, ay), (bx, by) in zip(shapes[r.i], shapes[r.i][1:]):
@@ -56,14 +56,14 @@ def test_centroid_is_bit_equal_to_a_left_to_right_sum(spark):
     ([(110.4, 100.0), (20.6, 10.0)], 0, "LINESTRING (110 100, 21 10)"),
 ])
 def test_wkt(spark, points, precision, text):
-    got = lines(spark, [points]).select(line_wkt(F.col("line"), precision).alias("w")).first().w
+    got = lines(spark, [points]).select(line_wkt("line", precision).alias("w")).first().w
     assert got == text
 
 
 def test_wkt_rounds_seven_decimals_like_printf(spark):
     rng = random.Random(9)
     points = [(round(rng.uniform(-180, 180), 7), round(rng.uniform(-90, 90), 7)) for _ in range(5000)]
-    got = lines(spark, [points]).select(line_wkt(F.col("line")).alias("w")).first().w
+    got = lines(spark, [points]).select(line_wkt("line").alias("w")).first().w
     short = lambda v: f"{v:.6f}".rstrip("0").rstrip(".")
     assert got == "LINESTRING (" + ", ".join(f"{short(x)} {short(y)}" for x, y in points) + ")"
 
@@ -71,7 +71,7 @@ def test_wkt_rounds_seven_decimals_like_printf(spark):
 def test_polyline_and_trailhead(spark):
     rows = spark.createDataFrame([([(51.0, -115.0), (52.0, -116.0)],)],
                                  "geometry array<struct<lat:double,lon:double>>")
-    r = rows.select(polyline(F.col("geometry")).alias("l")).select("l", trailhead(F.col("l")).alias("h")).first()
+    r = rows.select(polyline("geometry").alias("l")).select("l", trailhead("l").alias("h")).first()
     assert [tuple(p) for p in r.l] == [(-115.0, 51.0), (-116.0, 52.0)]
     assert tuple(r.h) == (-115.0, 51.0)
 
