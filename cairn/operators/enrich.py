@@ -15,6 +15,7 @@ from cairn.functions.geo import place_key
 from cairn.functions.times import day_or_yesterday
 from cairn.operators.ordering import last_wins
 from cairn.schemas import WEATHER_RECORD
+from cairn.session import settle
 from cairn.vocab import WEATHER_BATCH, WEATHER_VARIABLES
 
 Fetch = Callable[[list[tuple]], Sequence[dict | None]]
@@ -58,6 +59,17 @@ def attach_weather(
     )
 
 
+def without_records(trails: DataFrame, day: dt.date | str | None = None) -> DataFrame:
+    """What :func:`attach_weather` gives when there is no record at all."""
+    return trails.withColumn("weather_date", day_or_yesterday(day)).selectExpr(
+        "*",
+        *(
+            f"CAST(NULL AS {WEATHER_RECORD[v].dataType.simpleString()}) AS {v}"
+            for v in WEATHER_VARIABLES
+        ),
+    )
+
+
 def batched_lookup(
     keys: DataFrame,
     fetch: Fetch,
@@ -113,9 +125,10 @@ def fetched_weather(
 ) -> DataFrame:
     """Weather records of the trails' coordinates from a user's ``fetch``.
 
-    Records are keyed by the coordinate asked for, never by one the service returns.
+    Records are keyed by the coordinate asked for, never by one the service returns. The
+    requests go out when this is called, once: the records are kept.
     """
-    records = batched_lookup(trails.select("lat", "lon"), fetch, WEATHER_RECORD, batch_size)
+    records = settle(batched_lookup(trails.select("lat", "lon"), fetch, WEATHER_RECORD, batch_size))
     return latest_record(
         records.withColumn("weather_date", F.coalesce("weather_date", day_or_yesterday(day)))
     )

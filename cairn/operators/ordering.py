@@ -11,6 +11,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+# Parts a name's segments are salted into.
+SALTS = 4096
+
 
 def last_wins(rows: DataFrame, keys: Sequence[str], order: Column) -> DataFrame:
     """One row per key: the last in order.
@@ -39,12 +42,18 @@ def longest_segment(segments: DataFrame, keep: Sequence[str]) -> DataFrame:
 def all_segments(segments: DataFrame, keep: Sequence[str]) -> DataFrame:
     """Every segment, with ``first_ord``: where its name first occurs.
 
-    The first places are aggregated and joined back. A name that holds a large share
-    of the segments makes a skewed join partition, which adaptive execution splits;
-    a window over the name could not be split.
+    Segments never gather by name alone: a name is salted into parts, each part gives its
+    first place, the first of a name's at most ``SALTS`` parts is handed to all of them,
+    and segments meet their part. Adaptive execution would not split a plain join back,
+    because it leaves joins with an aggregate on one side as they are.
     """
-    first = segments.groupBy("name").agg(F.min("ord").alias("first_ord"))
-    return segments.join(first, "name").select("name", "first_ord", "ord", "n_points", *keep)
+    salted = segments.withColumn("_salt", F.pmod(F.xxhash64("ord"), F.lit(SALTS)))
+    parts = salted.groupBy("name", "_salt").agg(F.min("ord").alias("_first"))
+    whole = F.min("_first").over(Window.partitionBy("name"))
+    first = parts.select("name", "_salt", whole.alias("first_ord"))
+    return salted.join(first, ["name", "_salt"]).select(
+        "name", "first_ord", "ord", "n_points", *keep
+    )
 
 
 def processing_order() -> Column:

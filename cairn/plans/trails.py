@@ -15,6 +15,7 @@ from cairn.operators.enrich import (
     fetched_weather,
     first_day,
     latest_record,
+    without_records,
 )
 from cairn.operators.ordering import (
     all_segments,
@@ -23,7 +24,8 @@ from cairn.operators.ordering import (
     processing_order,
 )
 from cairn.operators.selection import foot_trails, in_area, trail_tags
-from cairn.schemas import EPOCH_VARIABLES, TRAIL_WEATHER, WEATHER_RECORD
+from cairn.schemas import EPOCH_VARIABLES, TRAIL_WEATHER
+from cairn.session import settle
 from cairn.sinks.tables import conform
 from cairn.vocab import TRAIL_AREA, WEATHER_BATCH, WEATHER_VARIABLES
 
@@ -75,7 +77,8 @@ def build_trails(
     """Trails with tags, weather (unless left out) and ``geometry`` as (lon, lat) points.
 
     Weather comes from a landed table, or from ``fetch``, called with batches of (lat,
-    lon). Without either, and wherever both are silent, the variables are null.
+    lon); the trails and the answers are then computed right away and kept in the shared
+    folder. Without either, and wherever both are silent, the variables are null.
     ``with_points`` adds ``centroid`` and ``trailhead``.
     """
     if weather is not None and fetch is not None:
@@ -85,11 +88,13 @@ def build_trails(
     if include_weather:
         if weather is not None:
             records = latest_record(first_day(weather, weather_date))
+            trails = attach_weather(trails, records, weather_date)
         elif fetch is not None:
+            trails = settle(trails)
             records = fetched_weather(trails, fetch, weather_date, batch_size)
+            trails = attach_weather(trails, records, weather_date)
         else:
-            records = elements.sparkSession.createDataFrame([], WEATHER_RECORD)
-        trails = attach_weather(trails, records, weather_date)
+            trails = without_records(trails, weather_date)
         columns += ["weather_date", *WEATHER_VARIABLES]
     extra = []
     if with_points:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import functools
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -45,6 +45,15 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folder()
 
 
+def settle(rows: DataFrame) -> DataFrame:
+    """The rows, computed once and kept in the shared folder, where no lost executor can
+    take them along. For results that cost outside requests or feed a plan twice."""
+    context = rows.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_folder(rows.sparkSession))
+    return rows.checkpoint()
+
+
 @functools.cache
 def _local_folder() -> str:
     return tempfile.mkdtemp(prefix="cairn-")

@@ -177,7 +177,10 @@ def test_fetched_weather_batches(spark):
         answers = [{"weather_date": DAY, "rain_sum": lat, "sunrise": int(lon)} for lat, lon in keys]
         return answers + [{"rain_sum": -1.0}] * 2
 
-    got = build(rows, fetch=fetch).collect()
+    trails = build(rows, fetch=fetch)
+    asked = seen.value
+    got = trails.collect()
+    assert trails.count() == 23 and seen.value == asked >= 3
     assert len(got) == 23 and {r.weather_date for r in got} == {DAY}
     lost = [r for r in got if r.rain_sum is None]
     assert 3 <= len(lost) <= 10 and "n12" in {r.name for r in lost}
