@@ -26,6 +26,9 @@ WORD = "[\\p{L}\\p{N}_\U00020000]"
 BLANKS = r"[\s\x1c-\x1f\x85\p{Z}]+"
 TOKEN = r"[A-Za-z0-9]++(?:[-'][A-Za-z0-9]++)*+"
 
+# Typographic marks and what stands for them.
+PLAIN_MARKS = {"’": "'", "–": "-", "—": "-"}
+
 # Marks put around a mention inside a text; any already there are masked first.
 OPEN, CLOSE, MASK = "\x02", "\x03", "\x01"
 
@@ -67,7 +70,10 @@ def nfkc(text: Column) -> Column:
 
 def normalize_text(text: Column) -> Column:
     """Null to empty, NFKC, plain quotes and dashes, single blanks, trimmed."""
-    plain = F.translate(nfkc(F.coalesce(text, F.lit(""))), "’–—", "'--")
+    plain = nfkc(F.coalesce(text, F.lit("")))
+    # Faster than one translate, which looks up every character.
+    for mark, ascii_mark in PLAIN_MARKS.items():
+        plain = F.replace(plain, F.lit(mark), F.lit(ascii_mark))
     return F.trim(F.regexp_replace(plain, BLANKS, " "))
 
 
@@ -169,7 +175,7 @@ def brand_pattern(brands: Sequence[str], stop_words: Sequence[str] = BRAND_STOP_
 
 def mark_mentions(text: Column, pattern: str) -> Column:
     """The text with every brand mention put between marks: the one costly scan."""
-    masked = F.translate(text, OPEN + CLOSE, MASK + MASK)
+    masked = F.replace(F.replace(text, F.lit(OPEN), F.lit(MASK)), F.lit(CLOSE), F.lit(MASK))
     return F.regexp_replace(masked, pattern, f"{OPEN}$0{CLOSE}")
 
 

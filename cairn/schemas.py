@@ -19,6 +19,15 @@ ELEMENT = T.StructType([
     T.StructField("geometry", T.ArrayType(POINT)),
 ])
 
+# An element with its place: the payload it came in and its position there.
+LANDED_ELEMENT = T.StructType([
+    T.StructField("ord", T.StructType([
+        T.StructField("payload", T.StringType()),
+        T.StructField("pos", T.IntegerType()),
+    ])),
+    *ELEMENT.fields,
+])
+
 PAYLOAD = T.StructType([T.StructField("elements", T.ArrayType(ELEMENT))])
 
 WEATHER_DAILY = T.StructType([

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cairn.schemas import ELEMENT, PAYLOAD
+from cairn.schemas import ELEMENT, LANDED_ELEMENT, PAYLOAD
 
 
 def _element_rows(payloads: DataFrame, elements: Column, payload_key: Column) -> DataFrame:
@@ -27,6 +27,15 @@ def read_elements(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return _element_rows(payloads, F.col("elements"), F.col("_metadata.file_path"))
 
 
+def read_landed_elements(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Elements once parsed and written as parquet, ``ord`` included.
+
+    A payload is parsed by one task; landed like this, a large one is split afterwards,
+    and a job reads only the columns it needs.
+    """
+    return spark.read.schema(LANDED_ELEMENT).format("parquet").load(path)
+
+
 def parse_elements(payloads: DataFrame, text: str, payload_key: str) -> DataFrame:
     """The same from a table with a payload per row, in a JSON text column.
 

@@ -159,7 +159,7 @@ SELECT event_id, (row_number() OVER (ORDER BY event_id) - 1) // 64 AS batch_id,
 """
 ORACLES["batched_enrichment"] = """
 SELECT c_acctbal AS lat, c_custkey::DOUBLE AS lon, c_acctbal * 2 AS doubled, c_custkey AS key
-FROM customer WHERE c_custkey % 10 <> 7
+FROM customer WHERE c_acctbal >= 0
 """
 ORACLES["epoch_to_timestamp"] = """
 SELECT event_id, CASE WHEN event_type <> 'error'
@@ -355,6 +355,21 @@ SELECT doc_id, round(n / (p + n + 1)::DOUBLE, 6) AS negative,
 FROM counted
 """
 
+ORACLES["model_scores"] = """
+WITH counted AS (
+  SELECT doc_id, length(text) - length(replace(text, ',', '')) AS c,
+         length(text) - length(replace(text, '.', '')) AS d FROM documents),
+scored AS (
+  SELECT doc_id, c / (c + d + 1)::DOUBLE AS n, 1 / (c + d + 1)::DOUBLE AS u,
+         d / (c + d + 1)::DOUBLE AS p FROM counted)
+SELECT doc_id,
+       CASE WHEN p > u * 0.6::DOUBLE THEN 'positive' WHEN n > u * 1.5 THEN 'negative'
+            ELSE 'neutral' END AS sent_label,
+       round(CASE WHEN p > u * 0.6::DOUBLE THEN p WHEN n > u * 1.5 THEN n ELSE u END, 6)
+         AS sent_score
+FROM scored
+"""
+
 
 def _review_steps(limit: str) -> str:
     joined = f"""

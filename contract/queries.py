@@ -22,7 +22,7 @@ from cairn import (
     trail_metrics,
 )
 from cairn.functions.geo import line_centroid, line_wkt, place_key, trailhead
-from cairn.functions.sentiment import lexicon_scorer, sentiment
+from cairn.functions.sentiment import lexicon_scorer, model_scorer, sentiment
 from cairn.functions.text import (
     brand_pattern,
     first_keyword,
@@ -182,7 +182,7 @@ def request_batch_ids_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def batched_enrichment(spark: SparkSession, sf_dir: str) -> DataFrame:
     def fetch(keys: list[tuple]) -> list[dict | None]:
         answers = [{"doubled": balance * 2, "key": int(key)} for balance, key in keys]
-        return [a if a["key"] % 10 != 7 else None for a in answers] + [{"doubled": -1.0}]
+        return [a if a["doubled"] >= 0 else None for a in answers] + [{"doubled": -1.0}]
 
     keys = S.table(spark, sf_dir, "customer").select(
         F.col("c_acctbal").alias("lat"), F.col("c_custkey").cast("double").alias("lon")
@@ -412,6 +412,25 @@ def lexicon_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def model_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def load():
+        def model(texts: list[str]) -> list[dict]:
+            commas = [(t.count(","), t.count(".")) for t in texts]
+            return [
+                {"negative": c / (c + d + 1), "neutral": 1 / (c + d + 1), "positive": d / (c + d + 1)}
+                for c, d in commas
+            ]
+
+        return model
+
+    scored = S.documents(spark, sf_dir).select("doc_id", model_scorer(load)(F.col("text")).alias("s"))
+    verdict = sentiment(F.col("s"), "positive_bias", 0.1).alias("v")
+    return scored.select("doc_id", verdict).selectExpr(
+        "doc_id", "v.sent_label AS sent_label", "round(v.sent_score, 6) AS sent_score"
+    )
+
+
 def _reviews(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
     rows = build_gear_reviews(
         S.submissions(spark, sf_dir), S.comments(spark, sf_dir), **(_REVIEW_OPTIONS | options)

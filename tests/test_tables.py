@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from cairn import apply_ddl, init_tables, load_all, load_gear_reviews, load_trails
 from cairn.schemas import COMMENTS, GEAR_REVIEWS, SUBMISSIONS, TRAIL_WEATHER
-from cairn.sources.elements import parse_elements, read_elements
+from cairn.sources.elements import parse_elements, read_elements, read_landed_elements
 from cairn.sources.landed import read_comments, read_submissions
 
 AREA = (0.0, 0.0, 90.0, 90.0)
@@ -34,6 +34,10 @@ def test_payload_scan(spark, payloads):
     assert ids == [1, 2, 99, 3, 4, 99]
     texts = spark.createDataFrame([(i, json.dumps(d)) for i, d in enumerate(docs)], "k int, t string")
     assert [r.id for r in parse_elements(texts, "t", "k").orderBy("ord").collect()] == ids
+    rows.write.parquet(f"{path}-landed")
+    landed = read_landed_elements(spark, f"{path}-landed")
+    assert landed.schema.simpleString() == rows.schema.simpleString()
+    assert [r.id for r in landed.orderBy("ord").collect()] == ids
     (path / "bad.json").write_text("{")
     with pytest.raises(Exception):
         read_elements(spark, str(path)).count()
