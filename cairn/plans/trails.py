@@ -35,17 +35,11 @@ _TAGS = ["surface", "trail_visibility", "sac_scale"]
 
 
 def trail_segments(elements: DataFrame, area: Area | None = TRAIL_AREA) -> DataFrame:
-    """Named foot trails: name, tags, ``line``, ``n_points`` and ``ord``."""
+    """Named foot trails: name, tags, landed points (``line``), ``n_points`` and ``ord``."""
     inside = in_area(elements, area) if area else elements
-    # Points are counted on the landed array: a filter on the count then moves down to the
-    # scan without taking the conversion along.
-    rows = foot_trails(inside).select(
-        "ord",
-        "tags",
-        polyline("geometry").alias("line"),
-        F.coalesce(F.size("geometry"), F.lit(0)).alias("n_points"),
+    return trail_tags(
+        foot_trails(inside), "ord", "geometry AS line", "coalesce(size(geometry), 0) AS n_points"
     )
-    return trail_tags(rows, "ord", "line", "n_points")
 
 
 def located_trails(segments: DataFrame, deduplicate: bool = True) -> DataFrame:
@@ -96,10 +90,12 @@ def build_trails(
         else:
             trails = without_records(trails, weather_date)
         columns += ["weather_date", *WEATHER_VARIABLES]
+    # Points are put in (lon, lat) order here, for the trails that are left.
+    drawn = trails.withColumn("geometry", polyline("line"))
     extra = []
     if with_points:
-        extra = [F.expr("struct(lat, lon) AS centroid"), trailhead("line").alias("trailhead")]
-    return trails.select(*columns, F.col("line").alias("geometry"), *extra)
+        extra = [F.expr("struct(lat, lon) AS centroid"), trailhead("geometry").alias("trailhead")]
+    return drawn.select(*columns, "geometry", *extra)
 
 
 def trail_rows(trails: DataFrame, precision: int = 6) -> DataFrame:

@@ -8,6 +8,8 @@ from pyspark.sql.types import ArrayType, StructType
 
 from cairn.schemas import COMMENTS, SUBMISSIONS, WEATHER_DAILY
 
+SPREAD_SPLITS = 32
+
 
 def read_weather(spark: SparkSession, path: str | list[str], fmt: str = "parquet") -> DataFrame:
     """Daily weather: a row per requested coordinate, an array per variable."""
@@ -27,12 +29,16 @@ def read_comments(spark: SparkSession, path: str | list[str], fmt: str = "parque
 
 
 def spread(rows: DataFrame) -> DataFrame:
-    """Rows of a small file spread over idle cores, for work that costs more than a shuffle.
+    """Rows of a small table spread over idle cores, for work that costs more than a shuffle.
 
-    Tables with at least one split per core, and so every large one, stay as they are.
+    Only tables of fewer than ``SPREAD_SPLITS`` input splits (a few GB at most), and fewer
+    than there are cores, are shuffled; all others stay as they are.
     """
+    splits = rows.rdd.getNumPartitions()
     cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+    if splits >= min(cores, SPREAD_SPLITS):
+        return rows
+    return rows.repartition(min(cores, 8 * splits))
 
 
 def flatten_comments(threads: DataFrame, comments: str = "comments") -> DataFrame:

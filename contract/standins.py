@@ -37,19 +37,23 @@ def elements(spark: SparkSession, sf_dir: str) -> DataFrame:
     Orders of status P are peaks; those of status O are open to walkers. All numbers are
     small binary fractions, so centroids are exact and neighbouring customers collide.
     """
-    base, day = "CAST(o_custkey DIV 4 AS DOUBLE)", "CAST(dayofmonth(o_orderdate) AS DOUBLE)"
-    count = "month(o_orderdate)"
-    points = f"""transform(sequence(1, {count}), i -> struct(
-        {base} + i % 2 AS lat, {day} + (i - ({count} + 1) / 2D) * 0.75D AS lon))"""
-    return spread(table(spark, sf_dir, "orders")).selectExpr(
+    orders = spread(table(spark, sf_dir, "orders")).selectExpr(
+        "*",
+        "CAST(o_custkey DIV 4 AS DOUBLE) AS base",
+        "CAST(dayofmonth(o_orderdate) AS DOUBLE) AS day",
+        "month(o_orderdate) AS points",
+    )
+    line = """transform(sequence(1, points), i -> struct(
+        base + i % 2 AS lat, day + (i - (points + 1) / 2D) * 0.75D AS lon))"""
+    return orders.selectExpr(
         "o_orderkey AS ord",
         "if(o_orderstatus = 'P', 'node', 'way') AS type",
         "o_orderkey AS id",
-        f"if(o_orderstatus = 'P', {base}, NULL) AS lat",
-        f"if(o_orderstatus = 'P', {day}, NULL) AS lon",
+        "if(o_orderstatus = 'P', base, NULL) AS lat",
+        "if(o_orderstatus = 'P', day, NULL) AS lon",
         """map('name', CAST(o_custkey AS STRING), 'foot', if(o_orderstatus = 'O', 'yes', 'no'),
             'highway', 'footway', 'natural', 'peak', 'surface', o_orderpriority) AS tags""",
-        f"if(o_orderstatus = 'P', NULL, {points}) AS geometry",
+        f"if(o_orderstatus = 'P', NULL, {line}) AS geometry",
     )
 
 
