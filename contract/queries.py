@@ -358,8 +358,7 @@ def brand_mentions_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def brand_context(spark: SparkSession, sf_dir: str) -> DataFrame:
-    turns = S.table(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
-    return _mentions(turns, 12)
+    return _mentions(S.turns(spark, sf_dir), 12)
 
 
 @query
@@ -370,8 +369,7 @@ def brand_context_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def brand_context_left_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A window of 0 words keeps the whole left side."""
-    turns = S.table(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
-    return _mentions(turns, 0)
+    return _mentions(S.turns(spark, sf_dir), 0)
 
 
 @query

@@ -31,6 +31,10 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(table(spark, sf_dir, "conversations").select("conv_id", "turn", "text"))
+
+
 def elements(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An order is a way of as many points as its month says, around (customer / 4, day).
 
