@@ -12,12 +12,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cairn.llm import token_counts
+from cairn.llm import packing, sentence_pieces, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 BYTE_BPE = "byte_bpe_50k.json"
+PIECES = "piece_bpe_32k.model"
 
 
 def query(function: Callable[[SparkSession, str], DataFrame]):
@@ -36,3 +37,17 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE), limit=512)
     return counted.select(
         "doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 512).alias("over_limit"), "fitting_chars")
+
+
+@query
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of 2048 tokens."""
+    return packing.pack(
+        table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE), end_id=1, size=2048)
+
+
+@query
+def op10_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text's pieces, and whether decoding gives the text back."""
+    coded = sentence_pieces.encode(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECES))
+    return coded.select("doc_id", F.size("ids").cast("bigint").alias("n_pieces"), "ids", "round_trip")
