@@ -12,7 +12,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cairn.llm import packing, sentence_pieces, token_counts
+from cairn.llm import language_id, packing, quality, repeats, sentence_pieces, token_counts, toxicity
+from cairn.llm.common import remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -51,3 +52,58 @@ def op10_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text's pieces, and whether decoding gives the text back."""
     coded = sentence_pieces.encode(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECES))
     return coded.select("doc_id", F.size("ids").cast("bigint").alias("n_pieces"), "ids", "round_trip")
+
+
+@query
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every text, learned from three folds of four."""
+    documents = table(spark, sf_dir, "documents")
+    samples = language_id.learn(documents.where(remainder(F.col("doc_id"), 4) != 2))
+    return language_id.identify(documents, samples).select(
+        "doc_id", (remainder(F.col("doc_id"), 4) == 2).alias("held_out"),
+        F.col("best").alias("lang_pred"), "score", "rejected")
+
+
+@query
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxicity of every text, learned from two folds of three."""
+    documents = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels").where(remainder(F.col("doc_id"), 3) != 1)
+    net = toxicity.train(toxicity.sample(documents, labels))
+    return toxicity.score(documents, net).select(
+        "doc_id", (remainder(F.col("doc_id"), 3) == 1).alias("held_out"), "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
+@query
+def op3_quality_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base rules and robust outliers over every text."""
+    counted = quality.statistics(table(spark, sf_dir, "documents"))
+    return quality.outliers(counted).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept", "distance")
+
+
+@query
+def op4_repeated_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line that an earlier document, or the same text before, has as well."""
+    return repeats.repeats(table(spark, sf_dir, "documents"), least_words=10)
+
+
+ORACLES["op4_repeated_lines"] = """
+WITH lines AS (
+  SELECT doc_id, i, line, coalesce(list_sum(list_transform(parts[1:i - 1], lambda p: length(p) + 1)), 0)::INTEGER AS "begin",
+         length(line)::INTEGER AS size, i = len(parts) AS final,
+         regexp_extract_all(lower(line), '[^\\x20\\x09-\\x0D]+') AS words
+  FROM (SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents),
+       unnest(parts) WITH ORDINALITY AS u(line, i)),
+units AS (
+  SELECT *, len(words)::INTEGER AS n_words,
+         row_number() OVER (PARTITION BY array_to_string(words, ' ') ORDER BY doc_id, i) AS place,
+         first_value(doc_id) OVER (PARTITION BY array_to_string(words, ' ') ORDER BY doc_id, i) AS kept_doc_id,
+         first_value("begin") OVER (PARTITION BY array_to_string(words, ' ') ORDER BY doc_id, i) AS kept_begin
+  FROM lines WHERE len(words) >= 10)
+SELECT doc_id, "begin", "begin" + size AS "end", ("begin" + size + CASE WHEN final THEN 0 ELSE 1 END)::INTEGER AS next,
+       n_words, kept_doc_id, kept_begin
+FROM units WHERE place > 1
+"""
