@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cairn.llm import language_id, packing, quality, repeats, sentence_pieces, token_counts, toxicity
+from cairn.llm import language_id, packing, quality, repeats, secrets, sentence_pieces, token_counts, toxicity
 from cairn.llm.common import remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -107,3 +107,9 @@ SELECT doc_id, "begin", "begin" + size AS "end", ("begin" + size + CASE WHEN fin
        n_words, kept_doc_id, kept_begin
 FROM units WHERE place > 1
 """
+
+
+@query
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every candidate of every text with the forest's verdict."""
+    return secrets.scan(table(spark, sf_dir, "documents"))

@@ -83,9 +83,9 @@ def repeats(documents: DataFrame, rank: str = "doc_id", least_words: int = LEAST
     )
 
 
-def remove(documents: DataFrame, found: DataFrame) -> DataFrame:
-    """The documents without the repeats ``found`` in them, with all columns; a unit goes with the
-    break behind it."""
+def remove(documents: DataFrame, found: DataFrame, instead: str = "") -> DataFrame:
+    """The documents without the spans ``found`` in them (from ``begin`` to ``next``, so a unit goes
+    with the break behind it), with all columns and ``instead`` in each place."""
     lists = found.groupBy(F.col("doc_id").alias("_rep_doc")).agg(
         F.array_sort(F.collect_set(F.struct("begin", "next"))).alias("_rep_spans"))  # of one document
     joined = documents.join(lists, documents["doc_id"] == F.col("_rep_doc"), "left")
@@ -94,5 +94,5 @@ def remove(documents: DataFrame, found: DataFrame) -> DataFrame:
     stays = F.zip_with(gone, ends, lambda s, end: F.substring(F.col("text"), end + 1, s["begin"] - end))
     rest = F.substring(F.col("text"), F.element_at(gone, -1)["next"] + 1, F.char_length("text"))
     return joined.withColumn(
-        "text", F.when(gone.isNull(), F.col("text")).otherwise(F.concat(F.array_join(stays, ""), rest))
+        "text", F.when(gone.isNull(), F.col("text")).otherwise(F.concat(F.array_join(stays, instead), F.lit(instead), rest))
     ).select(*documents.columns)
