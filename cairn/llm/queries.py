@@ -12,7 +12,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cairn.llm import language_id, packing, quality, repeats, secrets, sentence_pieces, token_counts, toxicity
+from cairn.llm import (
+    language_id, near_duplicates, packing, quality, repeats, secrets, sentence_pieces, token_counts, top_k,
+    toxicity,
+)
 from cairn.llm.common import remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -113,3 +116,31 @@ FROM units WHERE place > 1
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every candidate of every text with the forest's verdict."""
     return secrets.scan(table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose sets of two-word shingles are alike to 80 percent."""
+    return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"), size=2, percent=80)
+
+
+@query
+def op7_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five highest inner products of every fiftieth vector with all others."""
+    vectors = top_k.whole_vectors(table(spark, sf_dir, "embeddings"))
+    return top_k.search(vectors, F.col("vec_id") % 50 == 0, k=5)
+
+
+ORACLES["op7_top_k"] = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id, list_dot_product(q.e, c.e)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id AND len(q.e) = len(c.e)),
+r AS (
+  SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
+  FROM s)
+SELECT * FROM r WHERE rank <= 5
+"""

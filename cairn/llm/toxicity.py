@@ -22,10 +22,11 @@ from collections import Counter
 from dataclasses import dataclass, fields
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cairn.llm.common import keep, map_rows, texts
+from cairn.llm.common import keep, map_rows, pieces, texts
 
 WINDOW, STRIDE = 32, 16
 WORD_SIZE, CHAR_SIZE, HIDDEN, BUCKETS = 8, 12, 8, 1 << 13
@@ -320,3 +321,21 @@ def score(documents: DataFrame, net: Network | None) -> DataFrame:
         return {"doc_id": rows["doc_id"], "score": made[0].scores(rows["text"])}
 
     return map_rows(texts(documents), "doc_id bigint, score double", run)
+
+
+def without_toxic(documents: DataFrame, net: Network | None, threshold: float = THRESHOLD) -> DataFrame:
+    """The documents that score under the threshold, with all their columns; nothing is shuffled."""
+    if net is None:
+        return documents
+    shared = documents.sparkSession.sparkContext.broadcast((net.weights, net.vocabulary))
+    made: list[Network] = []
+
+    def run(batches):
+        for batch in batches:
+            for part in pieces(batch, 2 << 20):
+                if not made:
+                    made.append(Network(*shared.value))
+                some = [t or "" for t in part.column("text").to_pylist()]
+                yield part.filter(pa.array(made[0].scores(some) < threshold))
+
+    return documents.mapInArrow(run, documents.schema)

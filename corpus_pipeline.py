@@ -1,10 +1,65 @@
-"""The corpus pipeline: documents in, packed sequences out."""
+"""The corpus pipeline: documents in, packed sequences out.
+
+Each stage takes what the one before kept, and all but the last return the columns of
+``documents``; ``n_chars`` follows a text that changes.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from cairn.llm import near_duplicates, packing, repeats, secrets, toxicity
+from cairn.llm.common import keep, remainder
+
+#: What stands in a text where a secret was.
+REDACTED = "[SECRET]"
+
+
+def recounted(docs: DataFrame) -> DataFrame:
+    if "n_chars" not in docs.columns:
+        return docs
+    kind = docs.schema["n_chars"].dataType
+    return docs.withColumn("n_chars", F.coalesce(F.char_length("text").cast(kind), F.col("n_chars")))
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents under the toxicity threshold. The network learns from the labelled two folds."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where(remainder(F.col("doc_id"), 3) != 1)
+    return toxicity.without_toxic(docs, toxicity.train(toxicity.sample(docs, labels)))
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The first document of each group of near duplicates, on five-word shingles; of rows with
+    the same id, one."""
+    stays = near_duplicates.near_duplicates(docs, size=5, percent=80).where("kept").select("doc_id")
+    return docs.join(stays, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
+
+
+def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the lines that an earlier place has."""
+    return recounted(repeats.remove(docs, repeats.repeats(docs)))
+
+
+def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with ``REDACTED`` in place of each secret."""
+    found = keep(secrets.scan(docs).where("secret").select("doc_id", "begin", "next"), "secrets")
+    return recounted(repeats.remove(docs, found, REDACTED))
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents in sequences of 2048 tokens."""
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=1, size=2048)
+
 
-STAGES: list = []
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("near_duplicates", drop_near_duplicates),
+    ("repeated_lines", drop_repeated_lines),
+    ("secrets", redact_secrets),
+    ("packing", pack_sequences),
+]
 
 #: SQL can't express a trained network, MinHash or a linear program; see the brute-force tests.
 ORACLE_SQL = None
@@ -13,6 +68,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages over ``documents``, each over what the one before kept."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = keep(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)
