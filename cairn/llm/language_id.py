@@ -24,6 +24,7 @@ UNDETERMINED = "und"
 #: Of each language, so many labelled texts, by their ids' hashes, and characters of each at most
 #: fill its dictionary; and so many languages are learned at most. They bound what the driver gets.
 SAMPLE_TEXTS, SAMPLE_CHARS, LANGUAGES = 100, 2000, 200
+PARTS = 32
 BLOCK, LEVEL, NARROW = 1024, 9, 0.02
 
 
@@ -31,10 +32,13 @@ def learn(labelled: DataFrame) -> dict[str, bytes]:
     """A dictionary of raw text for each ``lang``, from ``doc_id``, ``text`` and ``lang``."""
     known = labelled.where(F.col("lang").isNotNull() & (F.trim(F.col("text")) != "")).select(
         "doc_id", F.col("lang").cast("string").alias("lang"), "text")
-    first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = keep(
-        known.select("doc_id", "lang").withColumn("place", F.row_number().over(first))
-        .where(F.col("place") <= SAMPLE_TEXTS), "languages")
+    hashed = known.select("doc_id", "lang", F.xxhash64("doc_id").alias("h")).withColumn(
+        "part", F.pmod("h", F.lit(PARTS)))
+    inside = Window.partitionBy("lang", "part").orderBy("h", "doc_id")
+    first = Window.partitionBy("lang").orderBy("h", "doc_id")
+    chosen = keep(  # first of each part of a language, so that no task gets all its rows
+        hashed.withColumn("place", F.row_number().over(inside)).where(F.col("place") <= SAMPLE_TEXTS)
+        .withColumn("place", F.row_number().over(first)).where(F.col("place") <= SAMPLE_TEXTS), "languages")
     langs = chosen.groupBy("lang").count().orderBy("lang").limit(LANGUAGES + 1).collect()
     if len(langs) > LANGUAGES:
         raise ValueError(f"more than {LANGUAGES} languages are labelled")

@@ -23,7 +23,7 @@ from dataclasses import dataclass, fields
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cairn.llm.common import keep, map_rows, pieces, texts
@@ -32,6 +32,8 @@ WINDOW, STRIDE = 32, 16
 WORD_SIZE, CHAR_SIZE, HIDDEN, BUCKETS = 8, 12, 8, 1 << 13
 SAMPLE, SAMPLE_CHARS, VOCABULARY, LEAST_TEXTS = 800, 12_000, 20_000, 4
 STEPS, TEXTS_A_STEP, RATE, SEED = 450, 16, 0.01, 7
+#: The share of words that a training step hides.
+HIDDEN_WORDS = 0.3
 THRESHOLD = 0.7
 #: Words whose inputs a worker remembers at most, and windows it runs at once.
 REMEMBERED, AT_ONCE = 300_000, 4096
@@ -148,9 +150,12 @@ class Network:
         self.rows: dict[str, int] = {}
         self.gates = np.empty((2, 0, 3 * HIDDEN), np.float32)
 
-    def inputs(self, some: list[str]):
-        """The words' vectors, with their numbers, trigrams and where each word's begin."""
+    def inputs(self, some: list[str], hide: np.ndarray | None = None):
+        """The words' vectors, with their numbers, trigrams and how many each has; a word whose
+        share in ``hide`` is under ``HIDDEN_WORDS`` counts as not in the vocabulary."""
         numbers = np.array([self.vocabulary.get(w, 0) for w in some])
+        if hide is not None:
+            numbers[hide < HIDDEN_WORDS] = 0
         grams = [trigrams(w) for w in some]
         counts = np.array([len(g) for g in grams])
         flat = np.concatenate(grams) if grams else np.zeros(0, int)
@@ -201,12 +206,15 @@ class Network:
         return np.where(np.isfinite(best), sigmoid(best), 0.0).astype(float)
 
 
-def train_step(net: Network, lists: list[list[str]], labels: np.ndarray) -> dict[str, np.ndarray]:
-    """Gradients of the loss of some texts."""
+def train_step(
+    net: Network, lists: list[list[str]], labels: np.ndarray, random: np.random.Generator
+) -> dict[str, np.ndarray]:
+    """Gradients of the loss of some texts; part of the words are hidden, so that their characters
+    are learned as well."""
     w = net.weights
     vocabulary = sorted(set().union(*lists))
     place = {word: i for i, word in enumerate(vocabulary)}
-    x, word_numbers, flat, counts = net.inputs(vocabulary)
+    x, word_numbers, flat, counts = net.inputs(vocabulary, random.random(len(vocabulary)))
     gates = np.stack([x @ w.inward[d] + w.bias[d] for d in (0, 1)])
     numbers = np.array([place[word] for ws in lists for word in ws])
     owner, first, end = windows(np.array([len(ws) for ws in lists]))
@@ -271,7 +279,7 @@ def train(samples: list[tuple[str, int]], steps: int = STEPS) -> Network | None:
     for step in range(1, steps + 1):
         some = [s[random.integers(len(s))] for s in sides for _ in range(TEXTS_A_STEP // 2)]
         rate = RATE * min(1.0, 2 * (1 - step / (steps + 1)))
-        for k, g in train_step(net, some, labels).items():
+        for k, g in train_step(net, some, labels, random).items():
             first[k] += 0.1 * (g - first[k])
             second[k] += 0.01 * (g * g - second[k])
             change = first[k] / (1 - 0.9 ** step) / (np.sqrt(second[k] / (1 - 0.99 ** step)) + 1e-6)
@@ -295,12 +303,14 @@ def parting(scores: np.ndarray, labels: np.ndarray) -> np.float32:
 
 def sample(documents: DataFrame, labels: DataFrame, most: int = SAMPLE) -> list[tuple[str, int]]:
     """At most ``most`` labelled texts of each label, chosen by their ids' hashes."""
-    order = Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id")
     known = labels.where(F.col("toxic").isin(0, 1)).select(
-        F.col("doc_id").cast("bigint").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
-    chosen = keep(
-        known.join(documents.select(F.col("doc_id").cast("bigint").alias("doc_id")), "doc_id", "left_semi")
-        .withColumn("place", F.row_number().over(order)).where(F.col("place") <= most), "labelled")
+        F.col("doc_id").cast("bigint").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")
+    ).join(documents.select(F.col("doc_id").cast("bigint").alias("doc_id")), "doc_id", "left_semi")
+    sides = [
+        known.where(F.col("toxic") == side).withColumn("place", F.xxhash64("doc_id"))
+        .orderBy("place", "doc_id").limit(most) for side in (0, 1)
+    ]
+    chosen = keep(sides[0].unionByName(sides[1]), "labelled")
     rows = (
         texts(documents).join(F.broadcast(chosen), "doc_id")  # at most 2 * most ids
         .select("toxic", "place", F.substring("text", 1, SAMPLE_CHARS).alias("text")).collect()
