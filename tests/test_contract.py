@@ -8,11 +8,12 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from check import compare
+from contract.queries import QUERIES
 
 ROOT = Path(__file__).resolve().parents[1]
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_agrees_with_its_sql(spark, small, name):
     rows, difference, _, _ = compare(spark, small, name)
     assert difference is None
@@ -20,7 +21,7 @@ def test_query_agrees_with_its_sql(spark, small, name):
 
 
 def test_every_query_has_sql():
-    assert set(oracle_sql()) == set(queries())
+    assert set(QUERIES) <= set(oracle_sql()) and set(QUERIES) <= set(queries())
 
 
 def test_entry(spark):
