@@ -2,17 +2,35 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable, Iterator, Sequence
+from pathlib import Path
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cairn.session import shared_folder
 
 
+def ship(spark: SparkSession) -> None:
+    """Hands this package to the executors, once a context: Spark copies the archive from the
+    driver to each of them. To be called before a function that needs it goes into a plan."""
+    context = spark.sparkContext
+    if getattr(context, "_cairn_shipped", False):
+        return
+    package = Path(__file__).resolve().parents[1]
+    archive = Path(tempfile.mkdtemp(prefix="cairn-")) / "cairn_package.zip"
+    with zipfile.ZipFile(archive, "w") as file:
+        for source in sorted(package.rglob("*.py")):
+            file.write(source, source.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    context._cairn_shipped = True
+
+
 def keep(rows: DataFrame, name: str) -> DataFrame:
     """The rows as a Parquet table in the shared folder: computed once, read by later steps,
     safe when executors are lost."""
@@ -44,6 +62,7 @@ def map_rows(
 
     A batch is cut so that its texts take about ``small`` characters, or hold one row.
     """
+    ship(rows.sparkSession)
     target = T._parse_datatype_string(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cairn.llm.common import keep
+from cairn.llm.common import keep, ship
 
 PIVOTS, BLOCK, LEAF = 64, 2048, 48
 #: Room for rounding in bounds, which are computed in floating point.
@@ -145,6 +145,7 @@ def matrix(table: pa.Table | pa.RecordBatch) -> np.ndarray:
 
 def dealt(vectors: DataFrame) -> DataFrame:
     """The vectors with the number of the nearest ``pivot``, of those of their length."""
+    ship(vectors.sparkSession)
     chosen = (
         vectors.select("dim", "v", F.xxhash64("vec_id").alias("h"))
         .withColumn("place", F.row_number().over(Window.partitionBy("dim").orderBy("h")))

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cairn.llm.common import keep, map_rows, pieces, texts
+from cairn.llm.common import keep, map_rows, pieces, ship, texts
 
 WINDOW, STRIDE = 32, 16
 WORD_SIZE, CHAR_SIZE, HIDDEN, BUCKETS = 8, 12, 8, 1 << 13
@@ -337,6 +337,7 @@ def without_toxic(documents: DataFrame, net: Network | None, threshold: float =
     """The documents that score under the threshold, with all their columns; nothing is shuffled."""
     if net is None:
         return documents
+    ship(documents.sparkSession)
     shared = documents.sparkSession.sparkContext.broadcast((net.weights, net.vocabulary))
     made: list[Network] = []
 
