@@ -8,6 +8,7 @@ import pytest
 ROOT = Path(__file__).resolve().parents[1]
 sys.path.insert(0, str(ROOT))
 os.environ.setdefault("SPARK_LOCAL_IP", "127.0.0.1")
+os.environ.setdefault("OMP_NUM_THREADS", "1")  # numpy's threads would compete with Spark's
 
 from cairn.session import build_session  # noqa: E402
 
