@@ -86,13 +86,15 @@ def solve(lengths: np.ndarray, counts: np.ndarray, room: int, steps: int = STEPS
     columns = np.diag(room // lengths).astype(float)
     inverse = np.diag(1.0 / columns.diagonal())
     for step in range(steps):
-        if step % 100 == 99:
+        if step % 500 == 499:
             inverse = np.linalg.inv(columns)
-        used = inverse @ counts
+        # Sums of products in place of matrix products: these are small, and threads of a linear
+        # algebra library would only get in each other's way.
+        used = (inverse * counts).sum(axis=1)
         worth, pattern = best_pattern(lengths, inverse.sum(axis=0), room)
         if worth <= 1 + 1e-7:
             break
-        change = inverse @ pattern
+        change = (inverse * pattern).sum(axis=1)
         able = change > 1e-9
         ratios = np.full(len(used), np.inf)
         ratios[able] = np.maximum(used[able], 0) / change[able]
