@@ -8,12 +8,17 @@ count of two sketches' XOR tells how many samples differ, so pairs well under th
 dropped without their texts. The bound lies four and a half standard deviations under the
 threshold. Links are then confirmed on the full sets of the texts.
 
-No bucket's pairs are all formed. First each class is tested against its bucket's first class
-only; the confirmed links give components. Then classes in the same bucket but in different
-components are compared, by sketches, in blocks of ``BLOCK`` rows; those that pass and were not
-tested are confirmed as well. Links within a component change nothing, so every link between
-different components is found that shares a bucket. Components come from rounds of large-star
-and small-star steps on kept tables; nothing is collected.
+No bucket's pairs are all formed. Each class is tested against its bucket's first class only. The
+pairs whose sketches pass make *families*, the confirmed ones components. Then, in blocks:
+
+* within a family, classes outside its largest component are compared with all of the family, on
+  full sets; one link with each component is reported;
+* in a bucket, classes outside the first one's family are compared with all of the bucket, by
+  sketches; the pairs that pass are confirmed.
+
+Links within a component change nothing, so every link between different components is found
+that shares a bucket. Components come from rounds of large-star and small-star steps on kept
+tables; nothing is collected.
 
 Defined results: null and empty texts, and texts without words, have 0 shingles and are kept and
 alone; fewer words than a shingle make the whole sequence one shingle; texts of any length are
@@ -26,7 +31,6 @@ from __future__ import annotations
 import functools
 import math
 import re
-from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +40,9 @@ from pyspark.sql import functions as F
 from cairn.llm.common import Remembered, keep, map_rows, texts
 
 BANDS, ROWS, SEED = 32, 5, 5
-SAMPLES, BITS, BLOCK = BANDS * ROWS, 512, 1024
+SAMPLES, BITS = BANDS * ROWS, 512
+#: Rows of a block of sketches, and of a block of texts.
+BLOCK, TEXT_BLOCK = 1024, 512
 #: Standard deviations by which a sketch may lie under the threshold.
 SAFE = 4.5
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
@@ -89,9 +95,11 @@ def samples(hashes: np.ndarray) -> np.ndarray:
     """The smallest of the hashes under each of ``SAMPLES`` orders."""
     low = (hashes >> np.uint64(32)).astype(np.uint32)
     times, plus = multipliers()
-    out = np.empty(SAMPLES, dtype=np.uint32)
+    out, room = np.empty(SAMPLES, dtype=np.uint32), np.empty_like(low)
     for k in range(SAMPLES):
-        out[k] = (low * times[k] + plus[k]).min()
+        np.multiply(low, times[k], out=room)
+        room += plus[k]
+        out[k] = room.min()
     return out
 
 
@@ -164,57 +172,120 @@ def block_pairs(percent: int):
     most = most_differing_bits(percent / 100)
 
     def run(table: pa.Table) -> pa.Table:
-        ids, n, comp = (table.column(c).to_numpy() for c in ("id", "n", "comp"))
-        side = table.column("foreign_row").to_numpy(zero_copy_only=False)
-        words = np.stack(table.column("sketch").to_pylist()).astype(np.int64).view(np.uint64)
-        left, right = np.flatnonzero(side), np.flatnonzero(~side)
-        us, vs = [], []
-        for i in left:
-            fits = right[(comp[right] != comp[i])
-                         & (100 * np.minimum(n[right], n[i]) >= percent * np.maximum(n[right], n[i]))]
-            if len(fits):
-                near = np.bitwise_count(words[fits] ^ words[i]).sum(axis=1) <= most
-                vs.append(ids[fits[near]])
-                us.append(np.full(near.sum(), ids[i]))
-        u = np.concatenate(us) if us else np.zeros(0, np.int64)
-        v = np.concatenate(vs) if vs else np.zeros(0, np.int64)
-        return pa.table({"u": np.maximum(u, v), "v": np.minimum(u, v)})
+        rows = Block(table, percent, most)
+        found = [(rows.ids[i], rows.ids[j]) for i in rows.left for j in rows.near(i)]
+        return pa.table({
+            "u": pa.array([max(p) for p in found], pa.int64()), "v": pa.array([min(p) for p in found], pa.int64())})
 
     return run
 
 
-def cross_pairs(met: DataFrame, classes: DataFrame, components: DataFrame, percent: int) -> DataFrame:
-    """Pairs of classes that share a bucket but no component, where sizes and sketches allow it.
+def block_links(percent: int, size: int):
+    """For a group of texts: of each foreign row one confirmed link with each other component."""
+    most = most_differing_bits(percent / 100)
+
+    def run(table: pa.Table) -> pa.Table:
+        rows, sets, us, vs = Block(table, percent, most), {}, [], []
+        bands, text = np.stack(table.column("bands").to_pylist()), table.column("text")
+
+        def set_of(i: int) -> np.ndarray:
+            if rows.ids[i] not in sets:
+                sets[rows.ids[i]] = shingles(text[int(i)].as_py(), size)
+            return sets[rows.ids[i]]
+
+        for i in rows.left:
+            fits = rows.near(i)
+            fits = fits[(bands[fits] == bands[i]).any(axis=1)]
+            if not len(fits):
+                continue
+            mine, others = set_of(i), [set_of(j) for j in fits]
+            sizes = np.array([len(o) for o in others])
+            flat = np.concatenate(others)
+            at = np.minimum(np.searchsorted(mine, flat), len(mine) - 1)
+            common = np.add.reduceat((mine[at] == flat).astype(np.int64), np.cumsum(sizes) - sizes)
+            linked = fits[100 * common >= percent * (len(mine) + sizes - common)]
+            one_each = linked[np.unique(rows.comp[linked], return_index=True)[1]]
+            us += [rows.ids[i]] * len(one_each)
+            vs += rows.ids[one_each].tolist()
+        return pa.table({"u": pa.array(us, pa.int64()), "v": pa.array(vs, pa.int64())})
+
+    return run
 
-    In each bucket the rows outside its first class's component are compared with all rows, in
-    blocks of either: a row goes to as many groups as there are blocks on the other side.
-    """
+
+class Block:
+    """Rows of a group: foreign ones (``left``) and those they are compared with (``right``)."""
+
+    def __init__(self, table: pa.Table, percent: int, most: int):
+        self.ids, self.n, self.comp = (table.column(c).to_numpy() for c in ("id", "n", "comp"))
+        side = table.column("foreign_row").to_numpy(zero_copy_only=False)
+        self.words = np.stack(table.column("sketch").to_pylist()).astype(np.int64).view(np.uint64)
+        self.left, self.right = np.flatnonzero(side), np.flatnonzero(~side)
+        self.percent, self.most = percent, most
+
+    def near(self, i: int) -> np.ndarray:
+        """Rows of other components that may be similar to row ``i`` by size and sketch."""
+        n, right = self.n, self.right
+        fits = right[(self.comp[right] != self.comp[i])
+                     & (100 * np.minimum(n[right], n[i]) >= self.percent * np.maximum(n[right], n[i]))]
+        return fits[np.bitwise_count(self.words[fits] ^ self.words[i]).sum(axis=1) <= self.most]
+
+
+def in_blocks(rows: DataFrame, key: str, block: int, columns: list[str]) -> DataFrame:
+    """Deals the rows of a key (with ``foreign``, ``all_rows`` and ``foreign_rows``) to groups
+    ``key, a, b``: the foreign rows of a block and all rows of a block, so that each foreign row
+    meets each row once."""
+    blocks = {side: F.ceil(F.col(f"{side}_rows") / block).cast("int") for side in ("all", "foreign")}
+
+    def spread(own: str, other: str) -> DataFrame:
+        some = rows.where("foreign") if own == "foreign" else rows
+        mine = F.pmod(F.xxhash64("id"), blocks[own]).cast("int")
+        others = F.explode(F.sequence(F.lit(0), blocks[other] - 1))
+        dealt = some.select(key, *columns, mine.alias("mine"), others.alias("others"))
+        a, b = ("mine", "others") if own == "foreign" else ("others", "mine")
+        return dealt.select(
+            key, F.col(a).alias("a"), F.col(b).alias("b"), *columns, F.lit(own == "foreign").alias("foreign_row"))
+
+    return spread("foreign", "all").unionByName(spread("all", "foreign"))
+
+
+def cross_pairs(met: DataFrame, classes: DataFrame, families: DataFrame, percent: int) -> DataFrame:
+    """Pairs of classes that share a bucket but no family, where sizes and sketches allow it: in
+    each bucket the rows outside its first class's family are compared with all rows."""
     rows = (
         met.where("many > 2").select("key", "id", "first")
-        .join(components.toDF("id", "comp"), "id", "left").withColumn("comp", F.coalesce("comp", "id"))
-        .join(components.toDF("first", "main"), "first", "left").withColumn("main", F.coalesce("main", "first"))
+        .join(families.toDF("id", "comp"), "id", "left").withColumn("comp", F.coalesce("comp", "id"))
+        .join(families.toDF("first", "main"), "first", "left")
+        .withColumn("foreign", F.col("comp") != F.coalesce("main", "first"))
     )
-    foreign = F.col("comp") != F.col("main")
-    sizes = rows.groupBy("key").agg(F.count("*").alias("all_rows"), F.sum(foreign.cast("bigint")).alias("foreign_rows"))
-    open_ = (
-        rows.join(sizes.where("foreign_rows > 0"), "key")
-        .join(classes.select("id", "n", "sketch"), "id")
-        .withColumn("all_blocks", F.ceil(F.col("all_rows") / BLOCK).cast("int"))
-        .withColumn("foreign_blocks", F.ceil(F.col("foreign_rows") / BLOCK).cast("int"))
+    sizes = rows.groupBy("key").agg(
+        F.count("*").alias("all_rows"), F.sum(F.col("foreign").cast("bigint")).alias("foreign_rows"))
+    open_ = rows.join(sizes.where("foreign_rows > 0"), "key").join(classes.select("id", "n", "sketch"), "id")
+    return (
+        in_blocks(open_, "key", BLOCK, ["id", "n", "comp", "sketch"])
+        .groupBy("key", "a", "b").applyInArrow(block_pairs(percent), "u bigint, v bigint").distinct()
     )
 
-    def spread(own: str, other: str, is_foreign: bool) -> DataFrame:
-        mine = F.pmod(F.xxhash64("id"), F.col(own)).cast("int")
-        others = F.explode(F.sequence(F.lit(0), F.col(other) - 1))
-        a, b = ("mine", "others") if is_foreign else ("others", "mine")
-        rows = open_.where(foreign) if is_foreign else open_
-        return rows.select(
-            "key", "id", "n", "comp", "sketch", mine.alias("mine"), others.alias("others")
-        ).select("key", F.col(a).alias("a"), F.col(b).alias("b"), "id", "n", "comp", "sketch",
-                 F.lit(is_foreign).alias("foreign_row"))
 
-    dealt = spread("foreign_blocks", "all_blocks", True).unionByName(spread("all_blocks", "foreign_blocks", False))
-    return dealt.groupBy("key", "a", "b").applyInArrow(block_pairs(percent), "u bigint, v bigint").distinct()
+def family_links(
+    families: DataFrame, groups: DataFrame, classes: DataFrame, words_of: DataFrame, size: int, percent: int
+) -> DataFrame:
+    """Links between different components (``groups``) of the same family, confirmed in blocks on
+    full sets: the rows outside a family's largest component are compared with all its rows."""
+    rows = families.toDF("id", "family").join(groups, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
+    sizes = (
+        rows.groupBy("family", "comp").agg(F.count("*").alias("n"))
+        .groupBy("family").agg(
+            F.max_by("comp", F.struct("n", "comp")).alias("main"), F.sum("n").alias("all_rows"),
+            (F.sum("n") - F.max("n")).alias("foreign_rows"))
+        .where("foreign_rows > 0")
+    )
+    open_ = keep(
+        rows.join(sizes, "family").withColumn("foreign", F.col("comp") != F.col("main"))
+        .join(classes.select("id", "n", "bands", "sketch"), "id").join(words_of, "id"), "families")
+    return (
+        in_blocks(open_, "family", TEXT_BLOCK, ["id", "n", "comp", "bands", "sketch", "text"])
+        .groupBy("family", "a", "b").applyInArrow(block_links(percent, size), "u bigint, v bigint")
+    )
 
 
 def confirmed(pairs: DataFrame, words_of: DataFrame, size: int, percent: int) -> DataFrame:
@@ -274,12 +345,11 @@ def near_duplicates(documents: DataFrame, size: int = 5, percent: int = 80) -> D
         texts(documents).withColumnRenamed("doc_id", "id").join(needed, "id", "left_semi")
         .dropDuplicates(["id"]), "texts")
     links = keep(confirmed(stars, words_of, size, percent), "links")
-    groups = components(links)
-    crossing = keep(
-        cross_pairs(met, classes, groups, percent).join(stars, ["u", "v"], "left_anti"), "crossing")
-    more = keep(confirmed(crossing, words_of, size, percent), "more")
-    if not more.isEmpty():
-        groups = components(links.unionByName(more))
+    families = components(stars)
+    crossing = keep(cross_pairs(met, classes, families, percent), "crossing")
+    more = confirmed(crossing, words_of, size, percent).unionByName(
+        family_links(families, components(links), classes, words_of, size, percent))
+    groups = components(links.unionByName(more))
 
     named = classes.select("digest", F.col("n").alias("n_shingles"), "id").join(groups, "id", "left").select(
         "digest", "n_shingles", F.coalesce("comp", "id").alias("component_id"))

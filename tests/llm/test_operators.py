@@ -475,7 +475,7 @@ def test_top_k_is_that_of_brute_force(spark):
     rng = np.random.default_rng(5)
     rows = [(i, rng.normal(size=6).astype(np.float32).tolist()) for i in range(700)]
     rows += [(700 + i, rows[3][1]) for i in range(200)]  # copies, so ties
-    rows += [(901, None), (950, []), (902, [1.0, None, 0, 0, 0, 0]), (903, [float("nan")] * 6), (904, [float("inf")] * 6),
+    rows += [(901, None), (950, []), (902, [1.0, None, 0.0, 0.0, 0.0, 0.0]), (903, [float("nan")] * 6), (904, [float("inf")] * 6),
              (1000, [1.0, 2.0]), (1001, [3.0, 1.0]), (1050, [1.0, 2.0, 3.0])]
     frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>").withColumn("block", F.lit("taken"))
     got = collections.defaultdict(list)
@@ -492,6 +492,7 @@ def test_trees_drop_pairs_and_lose_nothing(monkeypatch):
     vectors = np.concatenate([c + rng.integers(-20, 20, size=(150, 5)) for c in centers])
     ids = np.arange(len(vectors))
     search = top_k.Search(vectors[::40], ids[::40], vectors, ids, 4, np.full(len(vectors[::40]), -np.inf))
+    monkeypatch.setattr(top_k, "LEAF", 16)
     compared = []
     compare = search._compare
     monkeypatch.setattr(search, "_compare", lambda a, b: (compared.append(len(a) * len(b)), compare(a, b)))
