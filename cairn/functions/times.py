@@ -7,10 +7,13 @@ import datetime as dt
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# The first and last second of timestamps counted in 64-bit nanoseconds.
+EPOCH_BOUNDS = (-9223372036.0, 9223372036.0)
 
 def epoch_timestamp(seconds: Column) -> Column:
-    """Epoch seconds, as number or text, fractions kept."""
-    return F.timestamp_seconds(seconds.try_cast("double"))
+    """Epoch seconds, as number or text, fractions kept; null outside ``EPOCH_BOUNDS``."""
+    number = seconds.try_cast("double")
+    return F.timestamp_seconds(F.when(number.between(*EPOCH_BOUNDS), number))
 
 
 def as_date(value: Column) -> Column:

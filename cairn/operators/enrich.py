@@ -22,27 +22,30 @@ Fetch = Callable[[list[tuple]], Sequence[dict | None]]
 
 
 def first_day(weather: DataFrame, day: dt.date | str | None = None) -> DataFrame:
-    """Landed daily weather to one record per row: the first value of every variable.
+    """Landed daily weather to one record per row: every variable's value of the asked day.
 
-    Variables without values are null. Rows of another day than the asked one drop out;
-    rows that name no day count as the asked one.
+    The day may stand anywhere in ``daily.time``. Variables without a value are null. Rows
+    without the asked day drop out; rows whose first day is not named count as the asked one.
     """
     asked = day_or_yesterday(day)
-    stamped = F.coalesce(F.expr("get(daily.time, 0)"), asked)
-    return weather.where(stamped == asked).withColumn("weather_date", stamped).selectExpr(
+    unnamed = F.expr("get(daily.time, 0)").isNull()
+    at = F.when(unnamed, 0).otherwise(F.array_position("daily.time", asked) - 1).cast("int")
+    found = weather.withColumn("_at", at).where("_at >= 0").withColumn("weather_date", asked)
+    return found.selectExpr(
         "latitude AS lat",
         "longitude AS lon",
         "weather_date",
-        *(f"get(daily.{v}, 0) AS {v}" for v in WEATHER_VARIABLES),
+        *(f"get(daily.{v}, _at) AS {v}" for v in WEATHER_VARIABLES),
         *(c for c in weather.columns if c == "ord"),
     )
 
 
 def latest_record(records: DataFrame) -> DataFrame:
-    """One record per coordinate (adds ``place``): the last by ``ord``, or else by its values."""
-    order = F.col("ord") if "ord" in records.columns else F.struct(*records.columns)
+    """One record per coordinate (adds ``place``): the last by ``ord``, its order of arrival."""
+    if "ord" not in records.columns:
+        raise ValueError("weather needs its order of arrival, a column ord; see read_weather")
     placed = records.withColumn("place", place_key("lat", "lon"))
-    return last_wins(placed, ["place"], order).drop("ord")
+    return last_wins(placed, ["place"], F.col("ord")).drop("ord")
 
 
 def attach_weather(
@@ -129,6 +132,7 @@ def fetched_weather(
     requests go out when this is called, once: the records are kept.
     """
     records = settle(batched_lookup(trails.select("lat", "lon"), fetch, WEATHER_RECORD, batch_size))
-    return latest_record(
-        records.withColumn("weather_date", F.coalesce("weather_date", day_or_yesterday(day)))
-    )
+    # A place is asked for once, so there is one record for it.
+    return records.withColumn(
+        "weather_date", F.coalesce("weather_date", day_or_yesterday(day))
+    ).withColumn("place", place_key("lat", "lon"))

@@ -27,8 +27,8 @@ def in_area(
 ) -> DataFrame:
     """Footpath ways and peaks inside (south, west, north, east).
 
-    A way is inside when one of its points is; a way that only crosses the area
-    between two points is not seen.
+    A way is inside when one of its points is, or when a stretch between two neighbouring
+    points meets the area, touching included.
     """
     south, west, north, east = area
 
@@ -38,9 +38,24 @@ def in_area(
             f" AND {point}lon BETWEEN {west!r}D AND {east!r}D)"
         )
 
+    # A stretch meets the area when their ranges meet in both directions and the corners do
+    # not all lie on one side of its line.
+    sides = [
+        f"((q.lon - p.lon) * ({lat!r}D - p.lat) - (q.lat - p.lat) * ({lon!r}D - p.lon))"
+        for lat in (south, north) for lon in (west, east)
+    ]
+    crossing = f"""(greatest(p.lat, q.lat) >= {south!r}D AND least(p.lat, q.lat) <= {north!r}D
+        AND greatest(p.lon, q.lon) >= {west!r}D AND least(p.lon, q.lon) <= {east!r}D
+        AND p.lat + p.lon + q.lat + q.lon IS NOT NULL
+        AND least({", ".join(sides)}) <= 0 AND greatest({", ".join(sides)}) >= 0)"""
+    stretches = (
+        "zip_with(geometry, slice(geometry, 2, greatest(size(geometry) - 1, 0)), (p, q) ->"
+        f" coalesce({crossing}, false))"
+    )
+
     return elements.where(
         f"(type = 'way' AND tags['highway'] RLIKE '{WAY_HIGHWAY_PATTERN}'"
-        f" AND exists(geometry, p -> {inside('p.')}))"
+        f" AND (exists(geometry, p -> {inside('p.')}) OR exists({stretches}, meets -> meets)))"
         f" OR (type = 'node' AND tags['natural'] = '{NODE_NATURAL}' AND {inside('')})"
     )
 

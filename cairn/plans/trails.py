@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cairn.functions.geo import line_centroid, line_wkt, place_key, polyline, trailhead
@@ -42,14 +42,21 @@ def trail_segments(elements: DataFrame, area: Area | None = TRAIL_AREA) -> DataF
     )
 
 
+def drawable() -> Column:
+    """Whether a line can be drawn: two points or more, all coordinates known."""
+    known = F.forall("line", lambda p: p["lat"].isNotNull() & p["lon"].isNotNull())
+    return (F.col("n_points") >= 2) & F.coalesce(known, F.lit(False))
+
+
 def located_trails(segments: DataFrame, deduplicate: bool = True) -> DataFrame:
     """One row per centroid (``place``, ``lat``, ``lon``): the longest segment per name, or all.
 
     Of several with the same centroid the last in processing order stays. Lines of fewer
-    than two points drop out after they have counted for where their name first occurs.
+    than two points, or with an unknown coordinate, drop out after they have counted for where
+    their name first occurs.
     """
     pick = longest_segment if deduplicate else all_segments
-    lines = pick(segments, ["line", *_TAGS]).where(F.col("n_points") >= 2)
+    lines = pick(segments, ["line", *_TAGS]).where(drawable())
     located = lines.withColumn("_c", line_centroid("line")).select(
         place_key("_c.lat", "_c.lon").alias("place"), "_c.lat", "_c.lon",
         "name", *_TAGS, "line", "first_ord", "ord",
@@ -112,12 +119,13 @@ def trail_metrics(
     batch_size: int = WEATHER_BATCH,
     area: Area | None = TRAIL_AREA,
 ) -> DataFrame:
-    """One row: segments found, unique names, lines too short, coordinates, weather batches.
+    """One row: segments found, unique names, lines too short or with an unknown coordinate
+    (``too_short``), coordinates, weather batches.
 
     Counted per name first, so that a name of any size is one row per map task.
     """
     segments = trail_segments(elements, area)
-    drawn = F.col("n_points") >= 2
+    drawn = drawable()
     per_name = segments.groupBy("name").agg(
         F.count(F.lit(1)).alias("segments"),
         F.count_if(drawn).alias("drawn"),

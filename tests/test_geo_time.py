@@ -94,3 +94,10 @@ def test_day_or_yesterday(spark):
         (day_or_yesterday(None) == F.date_sub(F.current_date(), 1)).alias("b"),
     ).first()
     assert row.a == dt.date(2024, 5, 6) and row.b
+
+
+def test_epochs_beyond_the_bounds_are_null(spark):
+    rows = spark.createDataFrame(
+        [("1e300",), ("-1e300",), ("99999999999999",), ("-99999999999999",), ("NaN",), ("9223372036",)], "s string")
+    got = [r[0] for r in rows.select(epoch_timestamp(F.col("s")).isNull()).collect()]
+    assert got == [True] * 5 + [False]
