@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cairn.session import settle
+
 # Parts a name's segments are salted into.
 SALTS = 4096
 
@@ -61,45 +63,32 @@ def processing_order() -> Column:
     return F.struct("first_ord", "ord")
 
 
-# Bits of the order value that one group may span while numbering rows.
-_SPAN = 21
-
-
-def with_index(rows: DataFrame, order: str, index: str = "index") -> DataFrame:
-    """Numbers rows 0, 1, 2… by a unique 64-bit integer column, without a global window.
+def with_index(rows: DataFrame, order: str | Column, index: str = "index") -> DataFrame:
+    """Numbers rows 0, 1, 2… by an orderable column or struct, nulls first, without a global
+    window: ranges of rows are sorted apart, and each starts at the sum of the sizes before it.
 
-    Rows fall into groups of 2^21 consecutive order values, the groups into blocks of
-    2^21 groups, and there are at most 2^22 blocks: no window ever sees more rows than
-    that. Where a group starts is the sum of the sizes before it.
+    The sorted rows are kept, so that their numbers hold. ``rows`` is read twice (once to find
+    the ranges); settle it before if it is a costly plan.
     """
-    grouped = rows.withColumn("_group", F.shiftright(F.col(order).cast("long"), _SPAN))
-    sizes = (
-        grouped.groupBy("_group")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_block", F.shiftright("_group", _SPAN))
-    )
-    before = Window.rowsBetween(Window.unboundedPreceding, -1)
-    blocks = sizes.groupBy("_block").agg(F.sum("_n").alias("_n"))
-    block_starts = blocks.select(
-        "_block",
-        F.coalesce(F.sum("_n").over(before.orderBy("_block")), F.lit(0)).alias("_block_start"),
-    )
-    in_block = before.partitionBy("_block").orderBy("_group")
-    starts = (
-        sizes.withColumn("_offset", F.coalesce(F.sum("_n").over(in_block), F.lit(0)))
-        .join(block_starts, "_block")
-        .select("_group", (F.col("_block_start") + F.col("_offset")).alias("_start"))
-    )
-    place = F.row_number().over(Window.partitionBy("_group").orderBy(order)) - 1
-    return (
-        grouped.join(starts, "_group")
-        .withColumn(index, F.col("_start") + place)
-        .drop("_group", "_start")
-    )
-
-
-def request_batches(rows: DataFrame, order: str, batch_size: int) -> DataFrame:
-    """Consecutive batches in order: adds ``batch_id`` and ``batch_pos``, both from 0."""
+    key = F.col(order) if isinstance(order, str) else order
+    context = rows.sparkSession.sparkContext
+    parts = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), context.defaultParallelism)
+    placed = settle(
+        rows.withColumn("_key", key)
+        .repartitionByRange(parts, "_key").sortWithinPartitions("_key").drop("_key")
+        .withColumn("_at", F.monotonically_increasing_id())
+    ).withColumn("_part", F.shiftright("_at", 33))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n")).select(  # a row a partition
+        "_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    inside = F.col("_at") - F.shiftleft("_part", 33)
+    return placed.join(starts, "_part").withColumn(index, F.col("_start") + inside).drop("_part", "_at", "_start")
+
+
+def request_batches(rows: DataFrame, order: str | Column, batch_size: int) -> DataFrame:
+    """Consecutive batches in order: adds ``batch_id`` and ``batch_pos``, both from 0.
+
+    ``order`` is a column or a struct, like :func:`processing_order`; null orders come first."""
     if batch_size < 1:
         raise ValueError("batch_size must be positive")
     size = F.lit(batch_size).cast("long")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from typing import Any
 
 from pyspark.sql import DataFrame, Observation
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from cairn.plans.reviews import build_gear_reviews
 from cairn.plans.trails import build_trails, trail_rows
 from cairn.schemas import GEAR_REVIEWS
+from cairn.session import shared_folder
 from cairn.sinks.tables import GEAR_TABLE, TRAIL_TABLE, append, conform
 
 
@@ -26,10 +28,17 @@ def load_gear_reviews(
 ) -> int:
     """Appends the reviews (options of ``build_gear_reviews``); the number of rows written.
 
-    Without any review nothing is written.
+    The comments are read once: the reviews are landed in the shared folder and counted
+    on the way. Without any review nothing is written to the table.
     """
     rows = conform(build_gear_reviews(submissions, comments, **options), GEAR_REVIEWS)
-    return 0 if rows.isEmpty() else _append_counted(rows, table)
+    seen = Observation()
+    landed = f"{shared_folder(rows.sparkSession)}/reviews-{uuid.uuid4().hex}"
+    rows.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(landed)
+    written = seen.get["rows"]
+    if written:
+        append(rows.sparkSession.read.schema(rows.schema).parquet(landed), table)
+    return written
 
 
 def load_all(

@@ -13,6 +13,7 @@ from cairn.functions.times import epoch_timestamp
 from cairn.operators.joins import with_submission
 from cairn.operators.mentions import brand_mentions
 from cairn.operators.selection import body_gate, loaded_comments, title_gate, top_submissions
+from cairn.session import settle
 from cairn.vocab import (
     COMMUNITIES,
     CONTEXT_WORDS,
@@ -41,22 +42,33 @@ def build_gear_reviews(
     """Brand mentions in the comments of hot submissions, with context and sentiment.
 
     Titles and bodies are gated on the raw text; mentions are looked for in the
-    normalized one. With a limit per community the submissions are few, are measured
-    when the plan is built and then broadcast, and the comments are not shuffled.
-    ``per_community=None`` takes all submissions and joins by shuffle.
+    normalized one. With a limit per community the submissions are few: they are found
+    once, when the plan is built, and kept; comments meet them by broadcast if they measure
+    small, without a shuffle, and only those that do are searched for keywords.
+    ``per_community=None`` takes all submissions and joins by shuffle, after the gates.
     """
     hot = title_gate(top_submissions(submissions, communities, per_community), weather_words)
-    most = None if per_community is None else per_community * len(communities)
-    gated = body_gate(loaded_comments(comments), weather_words, gear_words)
+    loaded = loaded_comments(comments)
     body = F.col("body")
-    tagged = with_submission(gated, hot, most).select(
+    words = F.struct(
+        first_keyword(body, weather_words).alias("weather_season"),
+        first_keyword(body, gear_words).alias("gear_type"),
+    )
+    if per_community is None:
+        joined = with_submission(body_gate(loaded, weather_words, gear_words), hot)
+    else:
+        joined = with_submission(loaded, settle(hot), per_community * len(communities))
+    # Generated columns: each keyword is searched once, and their filter stays above the join.
+    tagged = joined.withColumn("_words", F.explode(F.array(words))).where(
+        "_words.weather_season IS NOT NULL AND _words.gear_type IS NOT NULL"
+    ).select(
         "subreddit",
         F.col("title").alias("sub_name"),
         F.col("url").alias("sub_link"),
         epoch_timestamp(F.col("created_utc")).alias("comment_created"),
         body.alias("comment_body"),
-        first_keyword(body, weather_words).alias("weather_season"),
-        first_keyword(body, gear_words).alias("gear_type"),
+        "_words.weather_season",
+        "_words.gear_type",
         normalize_text(body).alias("_text"),
     )
     scores = (scorer or lexicon_scorer())(F.col("brand_context"))

@@ -13,7 +13,11 @@ ORACLES: dict[str, str] = {}
 _ELEMENTS = """
 els AS (
   SELECT o_orderkey AS ord, CASE WHEN o_orderstatus = 'P' THEN 'node' ELSE 'way' END AS type,
-         o_custkey::VARCHAR AS name, o_orderstatus = 'O' AS open, o_orderpriority AS surface,
+         CASE WHEN o_orderkey % 97 = 0 THEN '' ELSE o_custkey::VARCHAR END AS name,
+         o_orderstatus = 'O' AS open, o_orderpriority AS surface,
+         o_orderkey % 5 IN (0, 1, 4) AS footpath, o_orderkey % 3 <> 0 AS peak,
+         CASE WHEN o_orderkey % 4 = 0 THEN 'hiking' END AS sac_scale,
+         CASE WHEN o_orderkey % 7 = 0 THEN 'good' END AS trail_visibility,
          month(o_orderdate) AS n, day(o_orderdate)::DOUBLE AS d, (o_custkey // 4)::DOUBLE AS base
   FROM orders),
 pts AS (
@@ -39,16 +43,42 @@ segs AS (
   FROM els WHERE type = 'way' AND open AND name <> '')
 """
 
-_SOUTH, _WEST, _NORTH, _EAST = S.AREA
-_INSIDE = f"""
+
+
+def _inside(area: tuple[float, float, float, float]) -> str:
+    """Clips each stretch between neighbouring points to the area, as a range of its length."""
+    south, west, north, east = area
+
+    def enter(a: str, b: str, low: float, high: float, first: str, other: str) -> str:
+        bounds = f"{first}(({low} - {a}) / ({b} - {a}), ({high} - {a}) / ({b} - {a}))"
+        return f"CASE WHEN {a} <> {b} THEN {bounds} WHEN {a} BETWEEN {low} AND {high} THEN {other} END"
+
+    return f"""
+stretches AS (
+  SELECT ord, lon, lat, lead(lon) OVER w AS lon2, lead(lat) OVER w AS lat2 FROM pts
+  WINDOW w AS (PARTITION BY ord ORDER BY i)),
+clipped AS (
+  SELECT ord, {enter("lon", "lon2", west, east, "least", "0")} AS x0,
+         {enter("lon", "lon2", west, east, "greatest", "1")} AS x1,
+         {enter("lat", "lat2", south, north, "least", "0")} AS y0,
+         {enter("lat", "lat2", south, north, "greatest", "1")} AS y1
+  FROM stretches WHERE lon2 IS NOT NULL),
 inside AS (
-  SELECT ord FROM pts WHERE lat BETWEEN {_SOUTH} AND {_NORTH} AND lon BETWEEN {_WEST} AND {_EAST}
+  SELECT ord FROM (
+    SELECT ord FROM pts WHERE lat BETWEEN {south} AND {north} AND lon BETWEEN {west} AND {east}
+    UNION
+    SELECT ord FROM clipped WHERE x0 IS NOT NULL AND y0 IS NOT NULL
+      AND greatest(x0, y0, 0) <= least(x1, y1, 1))
+  JOIN els USING (ord) WHERE footpath
   UNION
-  SELECT ord FROM els WHERE type = 'node'
-    AND base BETWEEN {_SOUTH} AND {_NORTH} AND d BETWEEN {_WEST} AND {_EAST})
+  SELECT ord FROM els WHERE type = 'node' AND peak
+    AND base BETWEEN {south} AND {north} AND d BETWEEN {west} AND {east})
 """
 
 
+_INSIDE = _inside(S.AREA)
+
+
 def _winners(where: str) -> str:
     return f"""
 located AS (
@@ -85,8 +115,10 @@ WITH {_ELEMENTS}, {_INSIDE} SELECT ord AS id, type FROM els JOIN inside USING (o
 """
 ORACLES["way_selection"] = f"""
 WITH {_ELEMENTS}, {_INSIDE}
-SELECT ord AS id, name, surface, NULL::VARCHAR AS trail_visibility, NULL::VARCHAR AS sac_scale
-FROM segs JOIN inside USING (ord)
+SELECT ord AS id, name, surface, trail_visibility, sac_scale FROM segs JOIN inside USING (ord)
+"""
+ORACLES["area_crossing"] = f"""
+WITH {_ELEMENTS}, {_inside(S.STRIP)} SELECT ord AS id, type FROM els JOIN inside USING (ord)
 """
 ORACLES["segment_metrics"] = f"""
 WITH {_ELEMENTS}, {_winners("true")}
@@ -96,6 +128,13 @@ SELECT count(*) AS segments, count(DISTINCT name) AS unique_names,
        (count(DISTINCT CASE WHEN n >= 2 THEN name END) + 9) // 10 AS batches
 FROM segs
 """
+ORACLES["segment_metrics_all"] = f"""
+WITH {_ELEMENTS}, {_winners("true")}
+SELECT count(*) AS segments, count(DISTINCT name) AS unique_names,
+       count(*) FILTER (n < 2) AS too_short, count(*) FILTER (n >= 2) AS coordinates,
+       (count(*) FILTER (n >= 2) + 9) // 10 AS batches
+FROM segs
+"""
 ORACLES["longest_segments"] = f"""
 WITH {_ELEMENTS} SELECT name, first_ord, ord, n AS n_points, surface FROM segs WHERE place = 1
 """
@@ -137,9 +176,6 @@ ORACLES["first_day_values"] = f"""
 WITH {_WEATHER}
 SELECT event_id, lat, lon, temperature_2m_max, sunset, uv_index_max, weather_date FROM reports
 """
-ORACLES["first_array_values"] = """
-SELECT vec_id, embedding[1]::DOUBLE AS first_value, NULL::DOUBLE AS past_the_end FROM embeddings
-"""
 ORACLES["weather_last_wins"] = f"""
 WITH {_WEATHER} SELECT lat, lon, {", ".join(WEATHER_VARIABLES)} FROM reports WHERE last = 1
 """
@@ -157,12 +193,25 @@ ORACLES["request_batch_ids_events"] = """
 SELECT event_id, (row_number() OVER (ORDER BY event_id) - 1) // 64 AS batch_id,
        (row_number() OVER (ORDER BY event_id) - 1) % 64 AS batch_pos FROM events
 """
+
+
+def _trail_batches(where: str) -> str:
+    return f"""
+WITH {_ELEMENTS}
+SELECT ord, (row_number() OVER (ORDER BY first_ord, ord) - 1) // 10 AS batch_id,
+       (row_number() OVER (ORDER BY first_ord, ord) - 1) % 10 AS batch_pos
+FROM segs WHERE {where}
+"""
+
+
+ORACLES["trail_request_batches"] = _trail_batches("place = 1")
+ORACLES["trail_request_batches_all"] = _trail_batches("true")
 ORACLES["batched_enrichment"] = """
 SELECT c_acctbal AS lat, c_custkey::DOUBLE AS lon, c_acctbal * 2 AS doubled, c_custkey AS key
 FROM customer WHERE c_acctbal >= 0
 """
 ORACLES["epoch_to_timestamp"] = """
-SELECT event_id, CASE WHEN event_type <> 'error'
+SELECT event_id, CASE WHEN event_type NOT IN ('error', 'purchase')
   THEN strftime(make_timestamp(event_id * 86399 * 1000000), '%Y-%m-%d %H:%M:%S') END AS at
 FROM events
 """
@@ -182,8 +231,7 @@ def _sink_columns(alias: str) -> str:
 def _trail_weather(where: str) -> str:
     return f"""
 WITH {_ELEMENTS}, {_winners(where)}, {_WEATHER}
-SELECT name, surface, NULL::VARCHAR AS trail_visibility, NULL::VARCHAR AS sac_scale,
-       '{S.DAY}' AS weather_date, {_sink_columns("r")}, wkt AS geometry
+SELECT name, surface, trail_visibility, sac_scale, '{S.DAY}' AS weather_date, {_sink_columns("r")}, wkt AS geometry
 FROM located AS l LEFT JOIN (SELECT * FROM reports WHERE last = 1) AS r
   ON l.lat = r.lat AND l.lon = r.lon
 """
@@ -198,7 +246,9 @@ segs AS (
          row_number() OVER (PARTITION BY name ORDER BY n DESC, ord) AS place
   FROM every SEMI JOIN inside USING (ord)),
 {_winners("place = 1")}
-SELECT name, NULL::VARCHAR AS weather_date, NULL::DOUBLE AS rain_sum, wkt AS geometry FROM located
+SELECT name, surface, trail_visibility, sac_scale, NULL::VARCHAR AS weather_date,
+       {", ".join(f"NULL AS {v}" for v in WEATHER_VARIABLES)}, wkt AS geometry
+FROM located
 """
 ORACLES["osm_payload_scan"] = f"""
 WITH {_ELEMENTS}
@@ -404,6 +454,10 @@ reviews AS (
 
 _HOT = f"QUALIFY row_number() OVER (PARTITION BY role ORDER BY conv_id) <= {HOT_SUBMISSIONS}"
 ORACLES["gear_reviews"] = f"WITH {_review_steps(_HOT)} SELECT * FROM reviews"
+_FEW = "QUALIFY row_number() OVER (PARTITION BY role ORDER BY conv_id) <= 10"
+ORACLES["gear_reviews_few"] = f"""
+WITH {_review_steps(_FEW)} SELECT * FROM reviews WHERE subreddit = '{S.COMMUNITIES[0]}'
+"""
 ORACLES["gear_reviews_all_submissions"] = f"WITH {_review_steps('')} SELECT * FROM reviews"
 ORACLES["append_roundtrip"] = f"""
 WITH trails AS ({ORACLES["trail_weather"]}), reviewed AS ({ORACLES["gear_reviews"]})
@@ -411,3 +465,7 @@ SELECT 'trail' AS kind, name AS label, weather_date AS detail, rain_sum AS numbe
 UNION ALL SELECT 'trail', name, NULL, NULL FROM trails
 UNION ALL SELECT 'review', gear_brand, brand_context, round(sent_score::FLOAT::DOUBLE, 4) FROM reviewed
 """
+ORACLES["comment_walk"] = """
+SELECT doc_id::VARCHAR AS submission_id, doc_id || '-' || i AS comment_id, 'level ' || i AS body, i::INTEGER AS depth
+FROM documents, unnest(range(0, doc_id % 9 + 1)) AS u(i) WHERE i % 4 <> 3
+"""

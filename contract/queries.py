@@ -17,7 +17,7 @@ from cairn import (
     build_gear_reviews,
     build_trails,
     init_tables,
-    load_gear_reviews,
+    load_all,
     load_trails,
     trail_metrics,
 )
@@ -32,7 +32,12 @@ from cairn.functions.times import as_date, epoch_timestamp
 from cairn.operators.enrich import attach_weather, batched_lookup, first_day, latest_record
 from cairn.operators.joins import with_submission
 from cairn.operators.mentions import brand_mentions
-from cairn.operators.ordering import all_segments, longest_segment, request_batches
+from cairn.operators.ordering import (
+    all_segments,
+    longest_segment,
+    processing_order,
+    request_batches,
+)
 from cairn.operators.selection import (
     body_gate,
     foot_trails,
@@ -46,7 +51,7 @@ from cairn.plans.trails import located_trails, trail_rows, trail_segments
 from cairn.schemas import EPOCH_VARIABLES
 from cairn.session import shared_folder
 from cairn.sources.elements import parse_elements
-from cairn.sources.landed import flatten_comments
+from cairn.sources.landed import flatten_comments, walk_comments
 from cairn.vocab import GEAR_CATEGORIES, HOT_SUBMISSIONS, WEATHER_SEASON_WORDS, WEATHER_VARIABLES
 from contract import standins as S
 
@@ -81,6 +86,17 @@ def segment_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trail_metrics(S.elements(spark, sf_dir), area=None)
 
 
+@query
+def area_crossing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An area that lines cross without a point inside."""
+    return in_area(S.elements(spark, sf_dir), S.STRIP).select("id", "type")
+
+
+@query
+def segment_metrics_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trail_metrics(S.elements(spark, sf_dir), deduplicate=False, area=None)
+
+
 @query
 def longest_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     segments = trail_segments(S.elements(spark, sf_dir), None)
@@ -138,16 +154,6 @@ def first_day_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query
-def first_array_values(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vector = F.col("embedding")
-    return S.table(spark, sf_dir, "embeddings").select(
-        "vec_id",
-        F.get(vector, F.lit(0)).cast("double").alias("first_value"),
-        F.get(vector, F.size(vector)).cast("double").alias("past_the_end"),
-    )
-
-
 @query
 def weather_last_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = latest_record(first_day(S.weather(spark, sf_dir), S.DAY))
@@ -178,6 +184,21 @@ def request_batch_ids_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return request_batches(keys, "event_id", 64)
 
 
+def _trail_batches(spark: SparkSession, sf_dir: str, pick) -> DataFrame:
+    trails = pick(trail_segments(S.elements(spark, sf_dir), None), [])
+    return request_batches(trails, processing_order(), 10).select("ord", "batch_id", "batch_pos")
+
+
+@query
+def trail_request_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _trail_batches(spark, sf_dir, longest_segment)
+
+
+@query
+def trail_request_batches_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _trail_batches(spark, sf_dir, all_segments)
+
+
 @query
 def batched_enrichment(spark: SparkSession, sf_dir: str) -> DataFrame:
     def fetch(keys: list[tuple]) -> list[dict | None]:
@@ -194,10 +215,13 @@ def batched_enrichment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def epoch_to_timestamp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numbers, unreadable texts, and values beyond the bounds on either side."""
     seconds = F.concat(
         F.when(F.col("event_type") == "error", "x").otherwise(""),
         (F.col("event_id") * 86_399).cast("string"),
     )
+    beyond = F.when(F.col("event_id") % 2 == 0, "1e300").otherwise("-99999999999999")
+    seconds = F.when(F.col("event_type") == "purchase", beyond).otherwise(seconds)
     return S.table(spark, sf_dir, "events").select(
         "event_id", _stamp(epoch_timestamp(seconds)).alias("at")
     )
@@ -246,7 +270,7 @@ def trail_weather_all_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def trails_without_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     trails = build_trails(S.elements(spark, sf_dir), include_weather=False, area=S.AREA)
-    return _trail_output(trail_rows(trails)).select("name", "weather_date", "rain_sum", "geometry")
+    return _trail_output(trail_rows(trails))
 
 
 @query
@@ -268,18 +292,26 @@ def osm_payload_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# What the last call set up; the next one drops it.
+_SCHEMAS: list[str] = []
+
+
 @query
 def append_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sets up both tables in a schema of its own, appends to them twice, reads them back."""
+    for earlier in _SCHEMAS:
+        spark.sql(f"DROP SCHEMA IF EXISTS {earlier} CASCADE")
     schema = f"cairn_{uuid.uuid4().hex}"
+    _SCHEMAS[:] = [schema]
     spark.sql(f"CREATE SCHEMA {schema} LOCATION '{shared_folder(spark)}/{schema}'")
     trail_table, gear_table = f"{schema}.trail_weather", f"{schema}.gear_reviews"
     init_tables(spark, trail_table, gear_table)
     elements = S.elements(spark, sf_dir)
     load_trails(elements, trail_table, weather=S.weather(spark, sf_dir), weather_date=S.DAY, area=None)
-    load_trails(elements, trail_table, include_weather=False, area=None)
-    load_gear_reviews(
-        S.submissions(spark, sf_dir), S.comments(spark, sf_dir), gear_table, **_REVIEW_OPTIONS
+    load_all(
+        elements, S.submissions(spark, sf_dir), S.comments(spark, sf_dir),
+        trails={"table": trail_table, "include_weather": False, "area": None},
+        reviews={"table": gear_table, **_REVIEW_OPTIONS},
     )
     trails = spark.table(trail_table).select(
         F.lit("trail").alias("kind"), F.col("name").alias("label"),
@@ -386,6 +418,12 @@ def comment_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flat.select("submission_id", "comment_id", "body")
 
 
+@query
+def comment_walk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    flat = loaded_comments(walk_comments(S.deep_threads(spark, sf_dir)))
+    return flat.select("submission_id", "comment_id", "body", "depth")
+
+
 def _sentiment(method: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         verdict = sentiment(F.col("scores"), method, 0.5).alias("v")
@@ -446,3 +484,9 @@ def gear_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def gear_reviews_all_submissions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _reviews(spark, sf_dir, per_community=None)
+
+
+@query
+def gear_reviews_few(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A limit that binds, and a community that is not listed."""
+    return _reviews(spark, sf_dir, per_community=10, communities=S.COMMUNITIES[:1])

@@ -9,10 +9,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from cairn.schemas import EPOCH_VARIABLES
-from cairn.sources.landed import spread
 from cairn.vocab import WEATHER_VARIABLES
 
 AREA = (10.0, 5.0, 300.0, 25.0)
+# A strip between two rows of points: lines only cross it.
+STRIP = (10.25, 5.1, 10.75, 24.9)
 DAY = "2024-02-01"
 WEATHER_WORDS = ["and", "that", "with", "was"]
 GEAR_WORDS = ["this", "from", "are", "for"]
@@ -28,11 +29,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return table(spark, sf_dir, "documents").select("doc_id", "text")
 
 
 def turns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(table(spark, sf_dir, "conversations").select("conv_id", "turn", "text"))
+    return table(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
 
 
 def elements(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -41,7 +42,7 @@ def elements(spark: SparkSession, sf_dir: str) -> DataFrame:
     Orders of status P are peaks; those of status O are open to walkers. All numbers are
     small binary fractions, so centroids are exact and neighbouring customers collide.
     """
-    orders = spread(table(spark, sf_dir, "orders")).selectExpr(
+    orders = table(spark, sf_dir, "orders").selectExpr(
         "*",
         "CAST(o_custkey DIV 4 AS DOUBLE) AS base",
         "CAST(dayofmonth(o_orderdate) AS DOUBLE) AS day",
@@ -55,15 +56,20 @@ def elements(spark: SparkSession, sf_dir: str) -> DataFrame:
         "o_orderkey AS id",
         "if(o_orderstatus = 'P', base, NULL) AS lat",
         "if(o_orderstatus = 'P', day, NULL) AS lon",
-        """map('name', CAST(o_custkey AS STRING), 'foot', if(o_orderstatus = 'O', 'yes', 'no'),
-            'highway', 'footway', 'natural', 'peak', 'surface', o_orderpriority) AS tags""",
+        """map_filter(map(
+            'name', if(o_orderkey % 97 = 0, '', CAST(o_custkey AS STRING)),
+            'foot', if(o_orderstatus = 'O', 'yes', 'no'),
+            'highway', element_at(array('footway', 'path', 'track', 'motorway', 'my_footways'), CAST(o_orderkey % 5 AS INT) + 1),
+            'natural', if(o_orderkey % 3 = 0, 'tree', 'peak'), 'surface', o_orderpriority,
+            'sac_scale', if(o_orderkey % 4 = 0, 'hiking', NULL),
+            'trail_visibility', if(o_orderkey % 7 = 0, 'good', NULL)), (k, v) -> v IS NOT NULL) AS tags""",
         f"if(o_orderstatus = 'P', NULL, {line}) AS geometry",
     )
 
 
 def vector_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A vector is a line: pairs of neighbouring entries are its points."""
-    return spread(table(spark, sf_dir, "embeddings")).selectExpr(
+    return table(spark, sf_dir, "embeddings").selectExpr(
         "vec_id",
         """transform(sequence(0, size(embedding) - 2, 2), i -> struct(
             CAST(embedding[i] AS DOUBLE) AS lon, CAST(embedding[i + 1] AS DOUBLE) AS lat)) AS line""",
@@ -126,6 +132,18 @@ def threads(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def deep_threads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A document is a chain of replies as JSON text, nested as deep as its id says."""
+    depth = "CAST(doc_id % 9 AS INT)"
+    begin = """concat('[{"comment_id": "', doc_id, '-', i, '", "kind": "', if(i % 4 = 3, 'more', 'comment'),
+        '", "body": "level ', i, '", "created_utc": ', i, ', "replies": ')"""
+    return documents(spark, sf_dir).selectExpr(
+        "CAST(doc_id AS STRING) AS submission_id",
+        f"""concat(array_join(transform(sequence(0, {depth}), i -> {begin}), ''), 'null',
+            repeat('}}]', {depth} + 1)) AS comments""",
+    )
+
+
 def scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three class scores from an event."""
     total = "(value + 10D + event_id % 50)"

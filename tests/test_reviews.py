@@ -1,12 +1,14 @@
 import datetime as dt
+import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from cairn import build_gear_reviews
 from cairn.functions.sentiment import lexicon_scorer, model_scorer
 from cairn.operators.selection import top_submissions
 from cairn.schemas import COMMENTS, SUBMISSIONS, comment_tree
-from cairn.sources.landed import flatten_comments
+from cairn.sources.landed import flatten_comments, walk_comments
 
 SUBS = [
     ("s1", "hiking", "Winter gear", "u1", 1),
@@ -109,3 +111,16 @@ def test_nested_replies(spark):
         ("s1", "a"), ("s1", "e"), ("s1", "b"), ("s1", "d"), ("s1", "c"), ("s2", "f")
     ]
     assert flat[1].kind == "more"
+
+
+@pytest.mark.parametrize("depth", range(1, 13))
+def test_replies_at_any_depth(spark, depth):
+    def node(i):
+        replies = [node(i + 1), {"comment_id": f"s{i}", "kind": "more"}] if i < depth else None
+        return {"comment_id": f"c{i}", "kind": "comment", "body": f"b {i}", "created_utc": 1.0, "replies": replies}
+
+    threads = spark.createDataFrame(
+        [("t", json.dumps([node(0)])), ("u", None), ("v", "[]")], "submission_id string, comments string")
+    got = sorted((r.depth, r.comment_id, r.body) for r in walk_comments(threads).collect())
+    want = [(i, f"c{i}", f"b {i}") for i in range(depth + 1)] + [(i, f"s{i - 1}", None) for i in range(1, depth + 1)]
+    assert got == sorted(want, key=lambda x: (x[0], x[1]))

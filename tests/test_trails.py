@@ -1,14 +1,23 @@
 import datetime as dt
 import random
+from fractions import Fraction
 
 import pytest
 from pyspark.sql import functions as F
 
 from cairn import build_trails, trail_metrics
 from cairn.operators.enrich import batched_lookup
-from cairn.operators.ordering import request_batches, with_index
+from cairn.operators.ordering import (
+    all_segments,
+    longest_segment,
+    processing_order,
+    request_batches,
+    with_index,
+)
 from cairn.operators.selection import in_area
+from cairn.plans.trails import trail_segments
 from cairn.schemas import ELEMENT, WEATHER_DAILY, WEATHER_RECORD
+from cairn.sources.landed import read_weather
 from cairn.vocab import WEATHER_VARIABLES
 
 ELEMENTS = "ord long, " + ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in ELEMENT.fields)
@@ -143,7 +152,7 @@ def test_landed_weather(spark):
         daily(0.5, 0.0, dt.date(2024, 5, 5), temperature_2m_max=1.0),
         daily(4.5, 4.0, None, uv_index_max=3.0),
         daily(4.5, 4.0000001, uv_index_max=5.0),
-    ], WEATHER_DAILY)
+    ], WEATHER_DAILY).withColumn("ord", F.monotonically_increasing_id())
     got = {r.name: r for r in build(rows, weather=weather, with_points=True).collect()}
     assert {r.weather_date for r in got.values()} == {DAY}
     assert (got["A"].temperature_2m_max, got["A"].sunrise, got["A"].rain_sum) == (9.5, 1700000000, None)
@@ -158,7 +167,80 @@ def test_the_later_weather_record_wins(spark):
         [daily(0.5, 0.0, rain_sum=float(i)) for i in range(5)], WEATHER_DAILY
     ).withColumn("ord", F.col("daily.rain_sum")[0] * -1)
     assert build(rows, weather=weather).first().rain_sum == 0.0
-    assert build(rows, weather=weather.drop("ord")).first().rain_sum == 4.0
+    with pytest.raises(ValueError):
+        build(rows, weather=weather.drop("ord"))
+
+
+def test_landed_weather_carries_its_order_of_arrival(spark, tmp_path):
+    rows = elements(spark, [way(0, "A", line(2))])
+    landed = [daily(0.5, 0.0, rain_sum=30.0), daily(0.5, 0.0, rain_sum=10.0)]
+    spark.createDataFrame(landed, WEATHER_DAILY).coalesce(1).write.parquet(str(tmp_path / "w"))
+    assert build(rows, weather=read_weather(spark, str(tmp_path / "w"))).first().rain_sum == 10.0
+    with pytest.raises(ValueError):
+        read_weather(spark, str(tmp_path / "w"), "json")
+
+
+def test_the_asked_day_is_found_anywhere(spark):
+    lat, lon, days = daily(0.5, 0.0)
+    days |= {"time": [dt.date(2024, 1, 1), DAY], "rain_sum": [1.0, 2.0], "uv_index_max": [5.0]}
+    weather = spark.createDataFrame([(lat, lon, days)], WEATHER_DAILY).withColumn("ord", F.lit(1))
+    got = build(elements(spark, [way(0, "A", line(2))]), weather=weather).first()
+    assert (got.rain_sum, got.uv_index_max, got.weather_date) == (2.0, None, DAY)
+
+
+def test_lines_that_cross_the_area(spark):
+    area = (0.0, 0.0, 1.0, 1.0)
+    lines = {
+        "through": [(-1, 0.5), (2, 0.5)], "corner": [(-0.5, 0.5), (0.5, -0.5)], "past": [(-1, 0.5), (0.5, 2.1)],
+        "edge": [(1, -1), (1, 2)], "beside": [(1.1, -1), (1.1, 2)], "point": [(1, 1), (1, 1)], "one": [(0.5, 0.5)],
+        "out": [(2, 2), (2, 2)], "none": [],
+    }
+    rows = elements(spark, [way(i, n, p) for i, (n, p) in enumerate(lines.items())])
+    got = {r.tags["name"] for r in in_area(rows, area).collect()}
+    assert got == {"through", "corner", "edge", "point", "one"}
+
+
+def test_crossing_agrees_with_clipping(spark):
+    rng, area = random.Random(7), (0.0, 0.0, 4.0, 4.0)
+    lines = [[(rng.randint(-4, 8), rng.randint(-4, 8)) for _ in range(2)] for _ in range(300)]
+
+    def meets(p, q):
+        low, high = Fraction(0), Fraction(1)
+        for a, b in zip(p, q):
+            if a == b:
+                if not 0 <= a <= 4:
+                    return False
+            else:
+                ends = sorted([Fraction(0 - a, b - a), Fraction(4 - a, b - a)])
+                low, high = max(low, ends[0]), min(high, ends[1])
+        return low <= high
+
+    rows = elements(spark, [way(i, str(i), p) for i, p in enumerate(lines)])
+    assert {r.ord for r in in_area(rows, area).collect()} == {i for i, (p, q) in enumerate(lines) if meets(p, q)}
+
+
+def test_unknown_coordinates_drop_out_one_by_one(spark):
+    broken = [(0, "way", 0, None, None, {"name": n, "foot": "yes", "highway": "path"}, [(0.0, None), (1.0, 1.0)])
+              for n in "AB"]
+    rows = elements(spark, [*broken, way(2, "C", line(2)), way(3, "D", line(2, 5))])
+    assert names(build(rows)) == ["C", "D"]
+    metrics = trail_metrics(rows, area=None).first()
+    assert (metrics.segments, metrics.too_short, metrics.coordinates) == (4, 2, 2)
+
+
+@pytest.mark.parametrize("deduplicate", [True, False])
+def test_trails_are_batched_in_processing_order(spark, deduplicate):
+    pick = longest_segment if deduplicate else all_segments
+    rows = trail_segments(elements(spark, [way(i, "abc"[i % 3], line(2 + i % 2, i)) for i in range(9)]), None)
+    got = request_batches(pick(rows, []), processing_order(), 2).orderBy("batch_id", "batch_pos").collect()
+    want = sorted((r.first_ord, r.ord) for r in pick(rows, []).collect())
+    assert [(r.first_ord, r.ord) for r in got] == want
+    assert [(r.batch_id, r.batch_pos) for r in got] == [(i // 2, i % 2) for i in range(len(want))]
+
+
+def test_null_orders_are_kept_and_come_first(spark):
+    rows = spark.createDataFrame([(3,), (None,), (1,)], "o long")
+    assert [r.o for r in with_index(rows, "o").orderBy("index").collect()] == [None, 1, 3]
 
 
 def test_no_weather_source(spark):
