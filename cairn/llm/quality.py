@@ -161,6 +161,7 @@ def groups(good: DataFrame) -> DataFrame:
 def outliers(counted: DataFrame) -> DataFrame:
     """The counted rows with ``base_failed``, the squared ``distance`` (null for those that
     failed) and ``kept``."""
+    counted = keep(counted, "statistics")  # costly, and read for the groups and for the rows
     keyed = counted.withColumn("base_failed", base_failed()).withColumns({
         f"{c}_key": F.coalesce(F.col(c), F.lit(NO_VALUE)) for c in ("lang", "source")})
     good = keyed.where(~F.col("base_failed"))
