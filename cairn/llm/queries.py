@@ -101,14 +101,32 @@ WITH lines AS (
   FROM (SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents),
        unnest(parts) WITH ORDINALITY AS u(line, i)),
 units AS (
-  SELECT *, len(words)::INTEGER AS n_words,
-         row_number() OVER (PARTITION BY array_to_string(words, ' ') ORDER BY doc_id, i) AS place,
-         first_value(doc_id) OVER (PARTITION BY array_to_string(words, ' ') ORDER BY doc_id, i) AS kept_doc_id,
-         first_value("begin") OVER (PARTITION BY array_to_string(words, ' ') ORDER BY doc_id, i) AS kept_begin
-  FROM lines WHERE len(words) >= 10)
-SELECT doc_id, "begin", "begin" + size AS "end", ("begin" + size + CASE WHEN final THEN 0 ELSE 1 END)::INTEGER AS next,
-       n_words, kept_doc_id, kept_begin
+  SELECT *, len(words)::INTEGER AS n_words, row_number() OVER w AS place,
+         first_value(doc_id) OVER w AS kept_doc_id, first_value("begin") OVER w AS kept_begin
+  FROM lines WHERE len(words) >= 10
+  WINDOW w AS (PARTITION BY array_to_string(words, ' ') ORDER BY doc_id, i)),
+parts AS (
+  SELECT doc_id, i, regexp_extract_all(lower(part), '[^\\x20\\x09-\\x0D]+') AS words,
+         coalesce(sum(length(part)) OVER (PARTITION BY doc_id ORDER BY i
+           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::INTEGER AS "begin",
+         length(part)::INTEGER AS size
+  FROM (SELECT doc_id, regexp_extract_all(text, '[^.!?\\n]*[.!?\\n]+|[^.!?\\n]+') AS found FROM documents),
+       unnest(found) WITH ORDINALITY AS u(part, i)),
+sentences AS (
+  SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS idx, row_number() OVER w AS place,
+         first_value(doc_id) OVER w AS kept_doc_id, first_value("begin") OVER w AS kept_begin
+  FROM parts WHERE len(words) >= 3
+  WINDOW w AS (PARTITION BY array_to_string(words, ' ') ORDER BY doc_id, i)),
+runs AS (
+  SELECT doc_id, min("begin") AS "begin", max("begin" + size) AS next, sum(len(words))::INTEGER AS n_words,
+         arg_min(kept_doc_id, idx) AS kept_doc_id, arg_min(kept_begin, idx) AS kept_begin
+  FROM (SELECT *, idx - row_number() OVER (PARTITION BY doc_id ORDER BY idx) AS run FROM sentences WHERE place > 1)
+  GROUP BY doc_id, run)
+SELECT doc_id, 'unit' AS level, "begin", "begin" + size AS "end",
+       ("begin" + size + CASE WHEN final THEN 0 ELSE 1 END)::INTEGER AS next, n_words, kept_doc_id, kept_begin
 FROM units WHERE place > 1
+UNION ALL
+SELECT doc_id, 'run', "begin", next, next, n_words, kept_doc_id, kept_begin FROM runs WHERE n_words >= 25
 """
 
 

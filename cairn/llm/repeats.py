@@ -6,6 +6,10 @@ with the same digest, over all documents, the earliest stays: the one of the doc
 rank, and there the first in the text. The others are removed; their places in the original
 text, in characters, are kept.
 
+A passage may also stand inside longer lines. So sentences are hashed as well, and a run of
+neighbouring sentences that all have an earlier occurrence is removed when it has ``RUN_WORDS``
+words or more; sentences of fewer than ``SHORT`` words don't interrupt a run.
+
 A digest many units share is reduced in the map tasks to its earliest, and units are joined to
 these rows, where adaptive execution can split a hot digest.
 
@@ -22,15 +26,18 @@ import hashlib
 import re
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cairn.llm.common import keep, map_rows
 
 LEAST_WORDS = 10
+#: Words of repeated sentences in a row that are removed, and of the shortest sentence that counts.
+RUN_WORDS, SHORT = 25, 3
 LINES, PARAGRAPHS = "\n", r"\n[^\S\n]*\n\s*"
 
 
+SENTENCES = re.compile(r"[^.!?\n]*[.!?\n]+|[^.!?\n]+")
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 
 
@@ -67,32 +74,86 @@ def units(documents: DataFrame, rank: str = "doc_id", least_words: int = LEAST_W
         source, "rank bigint, doc_id bigint, begin int, end int, next int, n_words int, digest binary", run)
 
 
-def repeats(documents: DataFrame, rank: str = "doc_id", least_words: int = LEAST_WORDS, breaks: str = LINES) -> DataFrame:
-    """Each unit to remove: ``doc_id, begin, end, next, n_words, kept_doc_id, kept_begin``."""
-    found = keep(units(documents, rank, least_words, breaks), "units")
-    place = F.struct(F.col("rank").isNull().alias("last"), "rank", "doc_id", "begin")
-    first = (
-        found.groupBy("digest").agg(F.min(place).alias("first"), F.max(place).alias("final"))
-        .where(F.col("first") != F.col("final")).select("digest", "first")
-    )
-    return (
-        found.join(first, "digest").where(place != F.col("first"))
+def sentences(documents: DataFrame, rank: str = "doc_id") -> DataFrame:
+    """Sentences of ``SHORT`` words or more: ``rank, doc_id, place, begin, next, n_words, digest``.
+    ``place`` counts them in their text. The digest has 64 bits: one of them alone removes
+    nothing."""
+    import xxhash
+
+    def run(rows: dict) -> dict:
+        names = ("rank", "doc_id", "place", "begin", "next", "n_words", "digest")
+        made: dict[str, list] = {n: [] for n in names}
+        for doc, order, text in zip(rows["doc_id"], rows["rank"], rows["text"]):
+            begin, place = 0, 0
+            for part in SENTENCES.findall(text or ""):
+                found = WORDS.findall(part.lower())
+                if len(found) >= SHORT:
+                    digest = xxhash.xxh3_64_intdigest(" ".join(found).encode("utf-8", "surrogatepass"))
+                    values = (order, doc, place, begin, begin + len(part), len(found), digest - (1 << 63))
+                    for name, value in zip(names, values):
+                        made[name].append(value)
+                    place += 1
+                begin += len(part)
+        return made
+
+    source = documents.select(
+        F.col("doc_id").cast("bigint").alias("doc_id"), F.col(rank).cast("bigint").alias("rank"),
+        F.col("text").cast("string").alias("text"))
+    return map_rows(
+        source, "rank bigint, doc_id bigint, place int, begin int, next int, n_words int, digest bigint", run)
+
+
+def later(found: DataFrame) -> DataFrame:
+    """The units that are not the earliest of their digest, with the earliest (``first``)."""
+    order = F.struct(F.col("rank").isNull().alias("last"), "rank", "doc_id", "begin")
+    first = keep(  # as a table, so that the join shuffles both sides and a hot digest is split
+        found.groupBy("digest").agg(F.min(order).alias("first"), F.max(order).alias("final"))
+        .where(F.col("first") != F.col("final")).select("digest", "first"), "firsts")
+    return found.join(first, "digest").where(order != F.col("first"))
+
+
+def repeats(
+    documents: DataFrame, rank: str = "doc_id", least_words: int = LEAST_WORDS, breaks: str = LINES,
+    run_words: int = RUN_WORDS,
+) -> DataFrame:
+    """Each span to remove: ``doc_id, level, begin, end, next, n_words, kept_doc_id, kept_begin``,
+    of ``level`` ``unit`` or ``run``. Spans of the two levels may overlap."""
+    lines = later(keep(units(documents, rank, least_words, breaks), "units")).select(
+        "doc_id", F.lit("unit").alias("level"), "begin", "end", "next", "n_words",
+        F.col("first.doc_id").alias("kept_doc_id"), F.col("first.begin").alias("kept_begin"))
+    # Neighbours in a text have places one apart; the difference to their rank names the run.
+    inside = Window.partitionBy("doc_id").orderBy("place")
+    runs = (
+        later(keep(sentences(documents, rank), "sentences"))
+        .select("doc_id", "place", "begin", "next", "n_words", "first")
+        .dropDuplicates(["doc_id", "place", "begin", "next"])
+        .withColumn("run", F.col("place") - F.dense_rank().over(inside))
+        .groupBy("doc_id", "run").agg(
+            F.min("begin").alias("begin"), F.max("next").alias("next"),
+            F.sum("n_words").cast("int").alias("n_words"), F.min_by("first", "place").alias("first"))
+        .where(F.col("n_words") >= run_words)
         .select(
-            "doc_id", "begin", "end", "next", "n_words",
+            "doc_id", F.lit("run").alias("level"), "begin", F.col("next").alias("end"), "next", "n_words",
             F.col("first.doc_id").alias("kept_doc_id"), F.col("first.begin").alias("kept_begin"))
     )
+    return lines.unionByName(runs)
 
 
 def remove(documents: DataFrame, found: DataFrame, instead: str = "") -> DataFrame:
     """The documents without the spans ``found`` in them (from ``begin`` to ``next``, so a unit goes
-    with the break behind it), with all columns and ``instead`` in each place."""
+    with the break behind it), with all columns and ``instead`` in each place. Spans may overlap."""
     lists = found.groupBy(F.col("doc_id").alias("_rep_doc")).agg(
         F.array_sort(F.collect_set(F.struct("begin", "next"))).alias("_rep_spans"))  # of one document
     joined = documents.join(lists, documents["doc_id"] == F.col("_rep_doc"), "left")
     gone = F.col("_rep_spans")
-    ends = F.transform(gone, lambda s, i: F.coalesce(F.get(gone, i - 1)["next"], F.lit(0)))
-    stays = F.zip_with(gone, ends, lambda s, end: F.substring(F.col("text"), end + 1, s["begin"] - end))
-    rest = F.substring(F.col("text"), F.element_at(gone, -1)["next"] + 1, F.char_length("text"))
+    # Overlapping spans are one: what stays begins behind the furthest end so far.
+    furthest = F.transform(gone, lambda s, i: F.array_max(F.transform(F.slice(gone, 1, i + 1), lambda x: x["next"])))
+    ends = F.transform(gone, lambda s, i: F.coalesce(F.get(furthest, i - 1), F.lit(0)))
+    apart = F.filter(
+        F.zip_with(gone, ends, lambda s, end: F.struct(end.alias("end"), s["begin"].alias("begin"))),
+        lambda x: (x["begin"] > x["end"]) | (x["end"] == 0))
+    stays = F.transform(apart, lambda x: F.substring(F.col("text"), x["end"] + 1, x["begin"] - x["end"]))
+    rest = F.substring(F.col("text"), F.array_max(furthest) + 1, F.char_length("text"))
     return joined.withColumn(
         "text", F.when(gone.isNull(), F.col("text")).otherwise(F.concat(F.array_join(stays, instead), F.lit(instead), rest))
     ).select(*documents.columns)

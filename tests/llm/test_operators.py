@@ -345,6 +345,28 @@ def test_paragraphs_and_ranks(spark):
     assert {r.doc_id: r.text for r in repeats.remove(docs, found).collect()} == {1: "rest", 2: f"x\n \n{part}", 3: ""}
 
 
+def test_passages_inside_longer_lines_go(spark):
+    rnd = random.Random(5)
+    words = lambda n: " ".join(f"p{rnd.randrange(10 ** 6)}" for _ in range(n))
+    passage = ". ".join(words(9) for _ in range(7))
+    texts = {i: f"{words(20)}. {words(5)} {passage} {words(6)}. Ok. {words(20)}." for i in range(1, 5)}
+    texts[5] = ". ".join(passage.split(". ")[1:3]) + ". " + words(30)  # too short a run
+    docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    found = repeats.repeats(docs)
+    assert {(r.doc_id, r.level, r.kept_doc_id, r.n_words) for r in found.collect()} == {(i, "run", 1, 45) for i in (2, 3, 4)}
+    left = {r.doc_id: r.text for r in repeats.remove(docs, found).collect()}
+    middle = ". ".join(passage.split(". ")[1:6])
+    assert all(left[i] == texts[i].replace(f" {middle}.", "") for i in texts if i in (2, 3, 4))
+    assert left[1] == texts[1] and left[5] == texts[5]
+
+
+def test_overlapping_spans_are_removed_once(spark):
+    docs = spark.createDataFrame([(1, "0123456789", "k")], "doc_id bigint, text string, begin string")
+    spans = spark.createDataFrame([(1, 2, 5), (1, 3, 4), (1, 4, 7), (1, 9, 10)], "doc_id bigint, begin int, next int")
+    assert repeats.remove(docs, spans).first().text == "0178"
+    assert repeats.remove(docs, spans, "#").first().text == "01#78#"
+
+
 def test_repeated_lines_of_edges(edges, nothing):
     assert repeats.remove(edges, repeats.repeats(edges)).count() == len(EDGES)
     assert repeats.repeats(nothing).count() == 0
