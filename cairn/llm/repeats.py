@@ -10,6 +10,12 @@ A passage may also stand inside longer lines. So sentences are hashed as well, a
 neighbouring sentences that all have an earlier occurrence is removed when it has ``RUN_WORDS``
 words or more; sentences of fewer than ``SHORT`` words don't interrupt a run.
 
+``passages`` needs no sentences: every window of ``PASSAGE`` words that stands earlier, in any text,
+is removed. The smallest hash of the ``ANCHOR``-word runs in a window is its anchor, so equal windows
+have equal anchors; only windows whose anchor stands twice are hashed and compared. Every removed
+word stands in an equal window before it, so a first occurrence stays, word for word, though it can
+be spread over the texts that hold its parts first.
+
 A digest many units share is reduced in the map tasks to its earliest, and units are joined to
 these rows, where adaptive execution can split a hot digest.
 
@@ -26,19 +32,24 @@ import hashlib
 import re
 from collections.abc import Iterator
 
+import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cairn.llm.common import keep, map_rows
+from cairn.llm.near_duplicates import mixed, word_hashes
 
 LEAST_WORDS = 10
 #: Words of repeated sentences in a row that are removed, and of the shortest sentence that counts.
 RUN_WORDS, SHORT = 25, 3
+#: Words of a passage that is removed wherever it stands, and of the runs that are its anchors.
+PASSAGE, ANCHOR = 50, 16
 LINES, PARAGRAPHS = "\n", r"\n[^\S\n]*\n\s*"
 
 
 SENTENCES = re.compile(r"[^.!?\n]*[.!?\n]+|[^.!?\n]+")
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
+WORDS_AND_BLANKS = re.compile(r"[^\x20\x09-\x0D]+[\x20\x09]*")
 
 
 def spans(text: str, breaks: re.Pattern) -> Iterator[tuple[int, int, int]]:
@@ -139,6 +150,90 @@ def repeats(
     return lines.unionByName(runs)
 
 
+def joined_hashes(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return mixed(a * np.uint64(0x9E3779B97F4A7C15) + b)
+
+
+def windows(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of all runs of ``ANCHOR`` words, and of each window of ``PASSAGE`` words the anchor
+    and the hash. All are empty for a text with fewer words than a window."""
+    known = word_hashes()
+    get = known.new.get
+    hashes = np.array(
+        [get(w) or known(w) for w in text.lower().encode("utf-8", "surrogatepass").split()], dtype=np.uint64)
+    if len(hashes) < PASSAGE:
+        return (np.empty(0, np.int64),) * 3
+    size = 1
+    while size < ANCHOR:  # a power of two
+        hashes = joined_hashes(hashes[:-size], hashes[size:])
+        size *= 2
+    runs = hashes
+    while 2 * size <= PASSAGE:
+        hashes = joined_hashes(hashes[:-size], hashes[size:])
+        size *= 2
+    rest = PASSAGE - size  # two runs that overlap make a window
+    whole = joined_hashes(hashes[:len(hashes) - rest], hashes[rest:])
+    anchors = np.lib.stride_tricks.sliding_window_view(runs, PASSAGE - ANCHOR + 1).min(axis=1)
+    return runs.view(np.int64), anchors.view(np.int64), whole.view(np.int64)
+
+
+def anchors(documents: DataFrame) -> DataFrame:
+    """The anchors of every text and how often their words stand there: ``doc_id, digest, n``."""
+    def run(rows: dict) -> dict:
+        made: dict[str, list] = {n: [] for n in ("doc_id", "digest", "n")}
+        for doc, text in zip(rows["doc_id"], rows["text"]):
+            runs, some, _ = windows(text or "")
+            values, many = np.unique(runs[np.isin(runs, some)], return_counts=True)
+            made["doc_id"] += [doc] * len(values)
+            made["digest"] += values.tolist()
+            made["n"] += many.tolist()
+        return made
+
+    source = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return map_rows(source, "doc_id bigint, digest bigint, n bigint", run)
+
+
+def passages(documents: DataFrame, rank: str = "doc_id") -> DataFrame:
+    """The spans of ``PASSAGE`` words or more that stand earlier, as ``repeats`` gives them, of
+    ``level`` ``passage``. Rows without an id have none; see ``common.numbered``."""
+    found = keep(anchors(documents), "anchors")
+    twice = keep(found.groupBy("digest").agg(F.sum("n").alias("n")).where("n > 1").select("digest"), "twice")
+    asked = keep(
+        found.join(twice, "digest").groupBy("doc_id").agg(F.collect_set("digest").alias("anchors")), "asked")
+
+    def run(rows: dict) -> dict:
+        names = ("rank", "doc_id", "place", "begin", "next", "digest")
+        made: dict[str, list] = {n: [] for n in names}
+        for doc, order, text, some in zip(rows["doc_id"], rows["rank"], rows["text"], rows["anchors"]):
+            _, its, whole = windows(text or "")
+            if not len(its):
+                continue
+            words = [m.span() for m in WORDS_AND_BLANKS.finditer(text)]
+            for i in np.flatnonzero(np.isin(its, np.array(some, dtype=np.int64))).tolist():
+                values = (order, doc, i, words[i][0], words[i + PASSAGE - 1][1], int(whole[i]))
+                for name, value in zip(names, values):
+                    made[name].append(value)
+        return made
+
+    source = documents.select(
+        F.col("doc_id").cast("bigint").alias("doc_id"), F.col(rank).cast("bigint").alias("rank"),
+        F.col("text").cast("string").alias("text")).join(asked, "doc_id")
+    whole = map_rows(source, "rank bigint, doc_id bigint, place int, begin int, next int, digest bigint", run)
+    inside = Window.partitionBy("doc_id").orderBy("place", "begin")
+    return (
+        later(keep(whole, "windows"))
+        .select("doc_id", "place", "begin", "next", "first").dropDuplicates(["doc_id", "place", "begin", "next"])
+        .withColumn("new", (F.col("place") > F.lag("place").over(inside) + PASSAGE).cast("int"))
+        .withColumn("run", F.sum(F.coalesce("new", F.lit(0))).over(inside))
+        .groupBy("doc_id", "run").agg(
+            F.min("begin").alias("begin"), F.max("next").alias("next"),
+            (F.max("place") - F.min("place") + PASSAGE).cast("int").alias("n_words"), F.min_by("first", "place").alias("first"))
+        .select(
+            "doc_id", F.lit("passage").alias("level"), "begin", F.col("next").alias("end"), "next", "n_words",
+            F.col("first.doc_id").alias("kept_doc_id"), F.col("first.begin").alias("kept_begin"))
+    )
+
+
 def remove(documents: DataFrame, found: DataFrame, instead: str = "") -> DataFrame:
     """The documents without the spans ``found`` in them (from ``begin`` to ``next``, so a unit goes
     with the break behind it), with all columns and ``instead`` in each place. Spans may overlap."""

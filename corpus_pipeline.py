@@ -38,8 +38,9 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the lines that an earlier place has."""
-    return recounted(repeats.remove(docs, repeats.repeats(docs)))
+    """Documents without the lines, and without the passages of 50 words, that an earlier place has."""
+    found = repeats.repeats(docs).unionByName(repeats.passages(docs))
+    return recounted(repeats.remove(docs, found))
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

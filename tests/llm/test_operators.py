@@ -360,6 +360,26 @@ def test_passages_inside_longer_lines_go(spark):
     assert left[1] == texts[1] and left[5] == texts[5]
 
 
+def test_passages_without_sentences_go_word_by_word(spark):
+    rnd = random.Random(6)
+    words = lambda n, stop="": " ".join(f"q{rnd.randrange(10 ** 6)}{stop}" for _ in range(n))
+    long, commas, other, short = words(81), words(52, ","), words(50, "\u3002"), words(49)
+    texts = {1: f"{words(9)} {long} {words(9)} {commas} {short}", 2: f"{words(7)} {other} {words(3)}"}
+    texts |= {3: f"{words(30)} {long.upper()} {words(2)}. {commas} tail", 4: f"{other}\nnext {short}", 5: None}
+    half = words(60)
+    texts[6] = f"{half} between {half} end"
+    docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    found = repeats.passages(docs)
+    assert sorted((r.doc_id, r.n_words, r.kept_doc_id, r.kept_begin) for r in found.collect()) == [
+        (3, 52, 1, texts[1].index(commas)), (3, 81, 1, texts[1].index(long)), (4, 50, 2, texts[2].index(other)),
+        (6, 60, 6, 0)]
+    left = {r.doc_id: r.text for r in repeats.remove(docs, repeats.repeats(docs).unionByName(found)).collect()}
+    assert all(left[i] == texts[i] for i in (1, 2, 5))
+    assert left[3] == texts[3].replace(f"{long.upper()} ", "").replace(f"{commas} ", "")
+    assert left[4] == f"\nnext {short}" and left[6] == f"{half} between end"
+    assert repeats.passages(docs.where("false")).count() == 0
+
+
 def test_overlapping_spans_are_removed_once(spark):
     docs = spark.createDataFrame([(1, "0123456789", "k")], "doc_id bigint, text string, begin string")
     spans = spark.createDataFrame([(1, 2, 5), (1, 3, 4), (1, 4, 7), (1, 9, 10)], "doc_id bigint, begin int, next int")
