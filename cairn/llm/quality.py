@@ -7,6 +7,11 @@ Mahalanobis distances by them, the nearest half again). Every text then gets its
 beyond the chi-square bound are rejected. Small groups can't bear a covariance: groups of fewer
 than ``LEAST`` texts share one estimate per language, and languages with too few one in all.
 
+Statistics are scaled first, per group, by their median and median absolute deviation. Where half
+of a group or more share one value (no symbols, no repeats) there is no such scale, and no
+covariance: the statistic is left out of the determinant and adds the square of its difference in
+units of ``FLAT``.
+
 Everything is grouping and joining: sums of products are aggregated before the shuffle, so a hot
 source moves one row a task, and the nearest half is cut at an approximate quantile.
 
@@ -27,13 +32,18 @@ from cairn.llm.common import keep
 SPACE, SYMBOLS, RUN = r"[\x20\x09-\x0D]+", "#*$%&|<>", 3
 LEAST_WORDS, MOST_REPEATED_PERCENT = 50, 50
 #: Groups under this share their language's estimate; steps; and the quantile of chi-square with
-#: four degrees of freedom beyond which a text is rejected (one in a million).
-LEAST, STEPS, BOUND = 60, 3, 33.377
-#: The median of chi-square with four degrees of freedom: the half's covariance is too small, so
-#: distances whose median lies above are scaled down to it.
-MEDIAN = 3.3567
-#: Added to variances, so that statistics that never vary don't make a covariance singular.
-RIDGE = 0.03
+#: four degrees of freedom beyond which a text is rejected (one in a thousand).
+LEAST, STEPS, BOUND = 60, 3, 18.467
+#: The medians of chi-square with one to four degrees of freedom: the half's covariance is too small,
+#: so distances whose median lies above are scaled down to it.
+MEDIANS = (0.4549, 1.3863, 2.3660, 3.3567)
+#: The median absolute deviation of the normal distribution, and the least one that counts as a scale.
+NORMAL, LEAST_SPREAD = 0.67449, 1e-9
+#: The unit of a statistic without a scale: one whose rate is 0 in most texts rejects alone from 0.11
+#: a word on.
+FLAT = 0.173
+#: Added to the variances of scaled statistics, against rounding.
+FLOOR = 1e-6
 #: Stands for a null language or source in group keys.
 NO_VALUE = "\x00"
 DIMENSIONS = 4
@@ -106,17 +116,20 @@ PAIRS = [(i, j) for i in range(DIMENSIONS) for j in range(i + 1)]
 
 
 def estimate(rows: DataFrame) -> DataFrame:
-    """Mean and Cholesky factor of the covariance of ``x``, per ``grp``."""
+    """Mean and Cholesky factor of the covariance of ``x``, per ``grp``; statistics without a scale
+    have variance 1 and no covariance."""
     sums = rows.groupBy("grp").agg(
+        F.first("varies").alias("varies"),
         *[F.avg(F.col("x")[i]).alias(f"m{i}") for i in range(DIMENSIONS)],
         *[F.covar_pop(F.col("x")[i], F.col("x")[j]).alias(f"c{i}{j}") for i, j in PAIRS])
     for j in range(DIMENSIONS):
         for i in range(j, DIMENSIONS):
-            rest = F.col(f"c{i}{j}") + (RIDGE if i == j else 0.0)
+            both = F.col("varies")[i] & F.col("varies")[j]
+            rest = F.when(both, F.col(f"c{i}{j}") + (FLOOR if i == j else 0.0)).otherwise(1.0 if i == j else 0.0)
             for k in range(j):
                 rest = rest - F.col(f"l{i}{k}") * F.col(f"l{j}{k}")
             sums = sums.withColumn(
-                f"l{i}{j}", F.sqrt(F.greatest(rest, F.lit(RIDGE / 10))) if i == j else rest / F.col(f"l{j}{j}"))
+                f"l{i}{j}", F.sqrt(F.greatest(rest, F.lit(FLOOR))) if i == j else rest / F.col(f"l{j}{j}"))
     return sums.select(
         "grp", F.array(*[F.col(f"m{i}") for i in range(DIMENSIONS)]).alias("mean"),
         F.array(*[F.col(f"l{i}{j}") for i, j in PAIRS]).alias("factor"))
@@ -141,6 +154,17 @@ def distance(mean: Column, factor: Column) -> Column:
     return total(0, [])
 
 
+def scaled(rows: DataFrame) -> DataFrame:
+    """``x`` in units of its group's spreads, 0 for statistics without one; those make ``flat``."""
+    off = [F.col("x")[i] - F.col("middles")[i] for i in range(DIMENSIONS)]
+    varies = [F.col("varies")[i] for i in range(DIMENSIONS)]
+    flat = sum((F.when(varies[i], 0.0).otherwise(F.pow(off[i] / FLAT, F.lit(2))) for i in range(DIMENSIONS)), F.lit(0.0))
+    return rows.withColumns({
+        "flat": flat,
+        "x": F.when(F.col("x").isNotNull(), F.array(*[
+            F.when(varies[i], off[i] / F.col("spreads")[i]).otherwise(0.0) for i in range(DIMENSIONS)]))})
+
+
 def nearest_half(rows: DataFrame) -> DataFrame:
     """Rows with ``d`` at most about the median of their group."""
     cuts = rows.groupBy("grp").agg(F.percentile_approx("d", 0.5, 1000).alias("cut"))
@@ -171,25 +195,28 @@ def outliers(counted: DataFrame) -> DataFrame:
     vectors = rows.where(~F.col("base_failed")).select("grp", "x")
 
     middles = vectors.groupBy("grp").agg(F.array(*[
-        F.percentile_approx(F.col("x")[i], 0.5, 1000) for i in range(DIMENSIONS)]).alias("mean"))
-    spreads = vectors.join(middles, "grp").groupBy("grp").agg(
-        F.first("mean").alias("mean"),
+        F.percentile_approx(F.col("x")[i], 0.5, 1000) for i in range(DIMENSIONS)]).alias("middles"))
+    spreads = keep(vectors.join(middles, "grp").groupBy("grp").agg(
+        F.first("middles").alias("middles"),
         F.array(*[
-            F.percentile_approx(F.abs(F.col("x")[i] - F.col("mean")[i]), 0.5, 1000) + RIDGE ** 0.5
-            for i in range(DIMENSIONS)]).alias("spread"))
-    steps = [(F.col("x")[i] - F.col("mean")[i]) / F.col("spread")[i] for i in range(DIMENSIONS)]
-    near = vectors.join(keep(spreads, "spreads"), "grp").select(
-        "grp", "x", sum((s * s for s in steps), F.lit(0.0)).alias("d"))
+            F.percentile_approx(F.abs(F.col("x")[i] - F.col("middles")[i]), 0.5, 1000) / NORMAL
+            for i in range(DIMENSIONS)]).alias("spreads"))
+        .withColumn("varies", F.transform("spreads", lambda s: s > LEAST_SPREAD)), "spreads")
+    rows = scaled(rows.join(spreads, "grp", "left"))
+    vectors = rows.where(~F.col("base_failed")).select("grp", "x", "varies")
+    near = vectors.withColumn("d", sum((F.col("x")[i] * F.col("x")[i] for i in range(DIMENSIONS)), F.lit(0.0)))
     found = None
     for step in range(STEPS):
         found = keep(estimate(nearest_half(near)), f"estimate{step}")
         near = vectors.join(found, "grp").select(
-            "grp", "x", distance(F.col("mean"), F.col("factor")).alias("d"))
+            "grp", "x", "varies", distance(F.col("mean"), F.col("factor")).alias("d"))
     scales = keep(near.groupBy("grp").agg(F.percentile_approx("d", 0.5, 1000).alias("middle")), "scales")
-    scaled = distance(F.col("mean"), F.col("factor")) * MEDIAN / F.greatest(F.col("middle"), F.lit(MEDIAN))
+    degrees = F.size(F.filter("varies", lambda v: v))
+    median = F.get(F.array(*[F.lit(m) for m in MEDIANS]), F.greatest(degrees - 1, F.lit(0)))
+    total = distance(F.col("mean"), F.col("factor")) * median / F.greatest(F.col("middle"), median) + F.col("flat")
     return (
         rows.join(found, "grp", "left").join(scales, "grp", "left")
-        .withColumn("distance", F.when(~F.col("base_failed"), scaled))
+        .withColumn("distance", F.when(~F.col("base_failed"), total))
         .withColumn("kept", ~F.col("base_failed") & (F.coalesce("distance", F.lit(0.0)) <= BOUND))
         .select(*counted.columns, "base_failed", "distance", "kept")
     )

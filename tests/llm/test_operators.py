@@ -313,6 +313,30 @@ def test_outliers_are_told_from_the_rest(spark):
     assert [i for i in got if got[i].base_failed] == [100, 101] and got[100].distance is None
 
 
+def test_each_statistic_alone_tells_outliers(spark):
+    rnd = random.Random(4)
+
+    def text(kind):
+        words = ["".join(rnd.choice("abcdefgh") for _ in range(rnd.randint(2, 9))) for _ in range(120)]
+        if kind == "long":  # by a half longer: within the data's other scales, far out of this one
+            words = [w + w[:len(w) // 2] + rnd.choice("ab") for w in words]
+        if kind == "lines":
+            words = [f"{w}\n{'xy' if k % 4 else 'yx'}\n" if k % 3 == 0 else w for k, w in enumerate(words)]
+        if kind == "repeats":
+            words[60:100] = words[10:50]
+        if kind == "some" and rnd.random() < 0.5:
+            words[5] += "$"
+        return " ".join(words)
+
+    kinds = ["some"] * 120 + ["long"] * 4 + ["lines"] * 4 + ["repeats"] * 4
+    rows = [(i, text(k), "en", "s") for i, k in enumerate(kinds)]
+    got = {r.doc_id: r for r in quality.outliers(quality.statistics(
+        spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string"))).collect()}
+    assert sum(got[i].kept for i in range(120)) >= 117
+    assert not any(got[i].kept for i in range(120, 132))
+    assert not any(got[i].base_failed for i in range(124))
+
+
 def test_outliers_of_edges(edges, nothing):
     got = quality.outliers(quality.statistics(edges)).collect()
     assert len(got) == len(EDGES) and not any(r.kept for r in got if r.base_failed)
