@@ -39,14 +39,24 @@ THRESHOLD = 0.7
 REMEMBERED, AT_ONCE = 300_000, 4096
 
 WORDS = re.compile(r"\w+")
+#: Longer runs (scripts without blanks, names with underscores) are cut into pieces of so many
+#: characters that overlap by half; each is a word of its own.
+LONGEST = 40
 
 
 def words(text: str) -> list[str]:
-    return WORDS.findall(text.lower())
+    out: list[str] = []
+    for word in WORDS.findall(text.lower()):
+        if len(word) <= LONGEST:
+            out.append(word)
+        else:
+            half = LONGEST // 2
+            out += [word[i:i + LONGEST] for i in range(0, len(word) - half, half)]
+    return out
 
 
 def trigrams(word: str) -> list[int]:
-    data = f"<{word[:40]}>".encode()
+    data = f"<{word}>".encode()
     return [zlib.crc32(data[i:i + 3]) % BUCKETS for i in range(max(1, len(data) - 2))]
 
 

@@ -268,6 +268,19 @@ def test_toxicity_of_held_out_texts(net):
     assert right >= 0.9 * len(held_out)
 
 
+def test_long_runs_are_read_to_their_end(net):
+    run = "日" * 37
+    for bad in ("vexling", "grobber"):
+        scores = net[0].scores([f"{run}{'x' * 43}{'aeiou' * 8}", f"{run}{'x' * 43}{bad * 6}"])
+        assert scores[0] != scores[1]
+    long = "".join(chr(0x4E00 + i) for i in range(1003))
+    pieces = toxicity.words(f"short {long}")[1:]
+    assert all(len(p) <= toxicity.LONGEST for p in pieces) and pieces[-1].endswith(long[-1])
+    held = {p[i:i + 3] for p in pieces for i in range(len(p) - 2)}
+    assert {long[i:i + 3] for i in range(len(long) - 2)} <= held
+    assert toxicity.words("y" * 40) == ["y" * 40] and toxicity.words("y" * 41) == ["y" * 40, "y" * 21]
+
+
 def test_toxicity_of_edges(net, edges, nothing):
     got = toxicity.score(edges, net[0]).collect()
     assert len(got) == len(EDGES) and all(0 <= r.score <= 1 for r in got)
