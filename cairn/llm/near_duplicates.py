@@ -22,8 +22,10 @@ tables; nothing is collected.
 
 Defined results: null and empty texts, and texts without words, have 0 shingles and are kept and
 alone; fewer words than a shingle make the whole sequence one shingle; texts of any length are
-taken whole; repeated rows of an id are copies; an empty table gives an empty one. Only
-``doc_id`` and ``text`` are read, so further columns can't clash.
+taken whole; repeated rows of an id are copies; an empty table gives an empty one. Rows without an
+id are documents of their own and come after all others: their component is the smallest id in it,
+or null where none has one, and ``kept`` holds for the first. Only ``doc_id`` and ``text`` are read,
+so further columns can't clash.
 """
 
 from __future__ import annotations
@@ -36,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cairn.llm.common import Remembered, keep, map_rows, texts
+from cairn.llm.common import Remembered, keep, map_rows, numbered, texts
 
 BANDS, ROWS, SEED = 32, 5, 5
 SAMPLES, BITS = BANDS * ROWS, 512
@@ -328,6 +330,8 @@ def components(links: DataFrame) -> DataFrame:
 
 def near_duplicates(documents: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """Each document's set size and component: ``doc_id, n_shingles, component_id, kept``."""
+    documents = numbered(texts(documents), "no_id")
+    without = documents.where("no_id").select(F.col("doc_id").alias("new"))
     rows = keep(described(documents, size), "described")
     classes = keep(
         rows.where("n_shingles > 0").groupBy("digest", F.col("n_shingles").alias("n"))
@@ -351,8 +355,14 @@ def near_duplicates(documents: DataFrame, size: int = 5, percent: int = 80) -> D
 
     named = classes.select("digest", F.col("n").alias("n_shingles"), "id").join(groups, "id", "left").select(
         "digest", "n_shingles", F.coalesce("comp", "id").alias("component_id"))
-    return (
+    found = (
         rows.select("doc_id", "n_shingles", "digest").join(named, ["digest", "n_shingles"], "left")
         .withColumn("component_id", F.coalesce("component_id", "doc_id"))
         .select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
     )
+    if without.isEmpty():
+        return found
+    for column in ("doc_id", "component_id"):
+        found = found.join(without, F.col(column) == F.col("new"), "left").withColumn(
+            column, F.when(F.col("new").isNull(), F.col(column))).drop("new")
+    return found.select("doc_id", "n_shingles", "component_id", "kept")

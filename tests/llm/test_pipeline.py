@@ -7,6 +7,7 @@ import random
 import pytest
 
 import corpus_pipeline
+from cairn.llm import near_duplicates
 from cairn.llm.queries import ORACLES, QUERIES
 
 
@@ -39,6 +40,29 @@ def test_stages_hold_their_contract(spark, small, tmp_path):
     assert {r.doc_id for r in docs.where("doc_id > 900000").collect()} == set(kept["secrets"])
 
 
+def test_documents_without_an_id_are_neither_lost_nor_spared(spark, small, tmp_path):
+    rnd = random.Random(2)
+    words = lambda n: " ".join(f"item{rnd.randrange(5000)}" for _ in range(n))
+    passage, near, alone = words(60), words(80), words(70)
+    key = 'token = "9f86d081884c7d659a2feaa0c55ad015a3bf4f1b"'
+    rows = [
+        (1, f"{words(50)}\n{passage}"), (None, f"{passage}\n{words(50)}"), (2, near), (None, f"{near} end"),
+        (None, alone), (None, f"{alone} end"), (None, f"{words(30)} {key} {words(9)}"), (None, None), (None, ""),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = near_duplicates.near_duplicates(docs).collect()
+    assert sorted((r.doc_id or 0, r.component_id or 0, r.kept) for r in found) == sorted(
+        [(1, 1, True), (2, 2, True), (0, 2, False), (0, 0, False), *[(0, 0, True)] * 5])
+    for name, stage in corpus_pipeline.STAGES[1:4]:  # the others are tested with null ids as operators
+        stage(spark, docs, small).write.parquet(str(tmp_path / name))
+        docs = spark.read.parquet(str(tmp_path / name))
+        left = [(r.doc_id, r.text) for r in docs.collect()]
+        assert sum(i is None for i, _ in left) == 5, name
+    text = [t or "" for i, t in left if i is None]
+    assert sum(t.startswith(alone) for t in text) == 1 and not any(t.startswith(near) for t in text)
+    assert not any(passage in t or "9f86d081" in t for t in text) and sum(corpus_pipeline.REDACTED in t for t in text) == 1
+
+
 def test_no_documents(spark, small):
     docs = spark.read.parquet(f"{small}/documents.parquet").where("false")
     for _, stage in corpus_pipeline.STAGES:
