@@ -6,6 +6,7 @@ files are read at the path the installed package ``public_tokenizers`` gives.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import public_tokenizers
@@ -13,10 +14,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cairn.llm import (
-    language_id, near_duplicates, packing, quality, repeats, secrets, sentence_pieces, token_counts, top_k,
-    toxicity,
+    centroids, language_id, near_duplicates, packing, quality, repeats, secrets, sentence_pieces, token_counts,
+    top_k, toxicity, warc, whitening,
 )
 from cairn.llm.common import remainder
+from cairn.session import shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -162,3 +164,71 @@ r AS (
   FROM s)
 SELECT * FROM r WHERE rank <= 5
 """
+
+
+@query
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written as web archives and read back."""
+    folder = f"{shared_folder(spark)}/warc-{uuid.uuid4().hex}"
+    warc.write(table(spark, sf_dir, "pages"), folder)
+    return warc.read(spark, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+ORACLES["op11_warc"] = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS html, octet_length(encode(coalesce(html, '')))::BIGINT AS payload_bytes FROM pages),
+r AS (
+  SELECT *, CASE WHEN payload_bytes >= 1000 THEN max(page_id) OVER (PARTITION BY html) ELSE page_id END AS lead FROM p)
+SELECT page_id, payload_bytes, sha1(html) AS payload_digest,
+       CASE WHEN lead = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN lead <> page_id THEN lead END AS refers_to
+FROM r
+"""
+
+
+@query
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five rounds of clustering around 40 centroids, over all vectors."""
+    return centroids.cluster(table(spark, sf_dir, "embeddings"), k=40, rounds=5, dim=64, salt="2:")
+
+
+def _centroid_sql(rounds: int) -> str:
+    """The rounds as steps of a query: ``a0`` to ``a5`` assign, ``c0`` to ``c5`` hold the centroids."""
+    def nearest(i: int) -> str:
+        return f"""
+a{i} AS (
+  SELECT v.vec_id, arg_min(c.k, (d, c.k)) AS k, min(d) AS d
+  FROM v, c{i} AS c, LATERAL (SELECT list_sum(list_transform(list_zip(v.e, c.e), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d)
+  GROUP BY v.vec_id)"""
+
+    def move(i: int) -> str:
+        return f"""
+c{i} AS (
+  SELECT c.k, coalesce(m.e, c.e) AS e FROM c{i - 1} AS c LEFT JOIN (
+    SELECT k, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY j) AS e
+    FROM (SELECT a.k, j, sum(v.e[j]) AS s, count(*) AS n
+          FROM a{i - 1} AS a JOIN v USING (vec_id), unnest(range(1, 65)) AS u(j) GROUP BY a.k, j) GROUP BY k) AS m USING (k))"""
+
+    steps = [nearest(0)]
+    for i in range(1, rounds + 1):
+        steps += [move(i), nearest(i)]
+    return f"""
+WITH v AS MATERIALIZED (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS e FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+c0 AS (
+  SELECT (row_number() OVER (ORDER BY sha256('2:' || vec_id)) - 1)::INTEGER AS k, e FROM v
+  QUALIFY k < 40),{",".join(s.replace(" AS (", " AS MATERIALIZED (", 1) for s in steps)}
+SELECT vec_id, k AS cluster, d AS distance, sum(d) OVER (PARTITION BY k)::BIGINT AS cluster_inertia,
+       sum(d) OVER ()::BIGINT AS inertia, sha256(array_to_string(e, ',')) AS centroid_sha256
+FROM a{rounds} JOIN c{rounds} USING (k)
+"""
+
+
+ORACLES["op12_centroids"] = _centroid_sql(5)
+
+
+@query
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 16 whitened components of every vector."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
