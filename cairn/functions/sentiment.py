@@ -22,6 +22,9 @@ Scorer = Callable[[Column], Column]
 CLASSES = ("negative", "neutral", "positive")
 UNSURE = "NEUTRAL"
 
+# Fixed value: the tokens of a text that a model reads.
+MODEL_TOKENS = 256
+
 # The cut-offs of the policies.
 WEIGHTED_FLOOR = 0.2
 POSITIVE_OVER_NEUTRAL = 0.6
@@ -47,19 +50,63 @@ def lexicon_scorer(
     return score
 
 
-def model_scorer(load: Callable[[], Callable[[list[str]], list[dict]]]) -> Scorer:
+def model_scorer(
+    load: Callable[[], Callable[[list[str]], list[dict]]],
+    batch_size: int = 32,
+    truncate: Callable[[str, int], str] | None = None,
+    most_tokens: int = MODEL_TOKENS,
+    waiting_rows: int = 4096,
+) -> Scorer:
     """Scores from a user's model.
 
     ``load`` runs once per Python worker and returns a function from a list of
-    texts to a list of ``{"negative": …, "neutral": …, "positive": …}``; cutting
-    texts to the model's length is its business.
+    texts to a list of ``{"negative": …, "neutral": …, "positive": …}``. ``truncate`` cuts a text
+    to ``most_tokens`` tokens before that; without it, cutting is the model's business.
+
+    A model pads the texts of a batch to the longest. So a batch holds at most ``batch_size``
+    texts whose lengths have the same power of two above them: less than half of it is padding.
+    Batches fill up across Arrow chunks, until ``waiting_rows`` rows wait for their scores; those
+    left then go in short batches.
     """
+    if batch_size < 1 or waiting_rows < 1:
+        raise ValueError("batch_size and waiting_rows must be positive")
 
-    def score_batches(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def score_batches(chunks: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         model = load()
-        for texts in batches:
-            rows = model(texts.fillna("").tolist())
-            yield pd.DataFrame(rows, columns=["negative", "neutral", "positive"], dtype="float64")
+        names = ["negative", "neutral", "positive"]
+        results: list[list] = []  # of each waiting chunk, in order
+        classes: dict[int, list[tuple[list, int, str]]] = {}
+        rows = 0
+
+        def run(some: list[tuple[list, int, str]]) -> None:
+            for (result, place, _), scores in zip(some, model([text for _, _, text in some]), strict=True):
+                result[place] = [scores[n] for n in names]
+
+        for chunk in chunks:
+            result: list = [None] * len(chunk)
+            results.append(result)
+            rows += len(chunk)
+            for place, text in enumerate(chunk.fillna("").tolist()):
+                if truncate is not None:
+                    text = truncate(text, most_tokens)
+                same = classes.setdefault((len(text) - 1).bit_length() if text else 0, [])
+                same.append((result, place, text))
+                if len(same) == batch_size:
+                    run(same)
+                    same.clear()
+            if rows >= waiting_rows:
+                for same in classes.values():
+                    if same:
+                        run(same)
+                classes.clear()
+            while results and None not in results[0]:
+                rows -= len(results[0])
+                yield pd.DataFrame(results.pop(0), columns=names, dtype="float64")
+        for same in classes.values():
+            if same:
+                run(same)
+        for result in results:
+            yield pd.DataFrame(result, columns=names, dtype="float64")
 
     # Non-deterministic for the optimizer: a text must not be scored twice because a
     # later filter was moved below the projection.

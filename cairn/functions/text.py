@@ -7,6 +7,7 @@ look-arounds mean the same on all of them.
 
 from __future__ import annotations
 
+import os
 import re
 import unicodedata
 from collections.abc import Sequence
@@ -93,23 +94,59 @@ def _right_edge(text: str) -> str:
 
 
 def whole_words(words: Sequence[str], blank: str = " ") -> str:
-    """One alternation of whole words or phrases; at any position the earlier one wins.
+    """One pattern of whole words or phrases; at any position the earlier one of the list wins.
 
-    Alternatives are grouped by first character, which cannot change what matches
-    (two that match at the same place start alike) but saves most attempts.
+    Words are laid out as a tree by their characters, so what is tried at a position depends on the
+    text there and not on how many words are listed. All words that match at a position lie on one
+    branch; where one ends, those that are listed before it and go on are tried first.
     """
-    words = [w for w in words if w]
+    words = list(dict.fromkeys(w for w in words if w))
     if not words:
         return r"(?!)"
-    by_first: dict[str, list[str]] = {}
+    if not all(map(_plain, words)):
+        return _one_by_one(words, blank)
+    by_edge: dict[str, list[str]] = {}
     for w in words:
-        by_first.setdefault(w[0], []).append(w)
-    groups: dict[str, list[str]] = {}
-    for same_first in by_first.values():
-        tails = "|".join(_quote(w[1:], blank) + _right_edge(w) for w in same_first)
-        head = _quote(same_first[0][0], blank)
-        groups.setdefault(_left_edge(same_first[0]), []).append(f"{head}(?:{tails})")
-    return "(?:" + "|".join(f"{edge}(?:{'|'.join(g)})" for edge, g in groups.items()) + ")"
+        by_edge.setdefault(_left_edge(w), []).append(w)
+    return "(?:" + "|".join(
+        edge + _branches([(w, w) for w in ws], blank) for edge, ws in by_edge.items()) + ")"
+
+
+def _plain(word: str) -> bool:
+    """Whether no two different characters of such words can match the same text."""
+    return all(c == " " or not c.isspace() and c.upper().lower() == c for c in word)
+
+
+def _one_by_one(words: Sequence[str], blank: str) -> str:
+    return "(?:" + "|".join(_left_edge(w) + _quote(w, blank) + _right_edge(w) for w in words) + ")"
+
+
+def _branches(rests: Sequence[tuple[str, str]], blank: str) -> str:
+    """The pattern of what is left of words (with the words), earlier ones first."""
+    ends = next((i for i, (rest, _) in enumerate(rests) if not rest), None)
+    if ends is None:
+        return _forked(rests, blank)
+    options = [_branches(rests[:ends], blank)] if ends else []
+    options.append(_right_edge(rests[ends][1]))
+    if ends + 1 < len(rests):
+        options.append(_branches(rests[ends + 1:], blank))
+    return _either(options)
+
+
+def _forked(rests: Sequence[tuple[str, str]], blank: str) -> str:
+    by_first: dict[str, list[tuple[str, str]]] = {}
+    for rest, word in rests:
+        by_first.setdefault(rest[0], []).append((rest, word))
+    options = []
+    for same in by_first.values():
+        shared = os.path.commonprefix([rest for rest, _ in same])
+        tails = [(rest[len(shared):], word) for rest, word in same]
+        options.append(_quote(shared, blank) + _branches(tails, blank))
+    return _either(options)
+
+
+def _either(options: Sequence[str]) -> str:
+    return options[0] if len(options) == 1 else f"(?:{'|'.join(options)})"
 
 
 def _quote(text: str, blank: str) -> str:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from cairn.functions.geo import line_centroid, line_wkt, place_key, polyline, trailhead
@@ -25,7 +25,7 @@ from cairn.operators.ordering import (
 )
 from cairn.operators.selection import foot_trails, in_area, trail_tags
 from cairn.schemas import EPOCH_VARIABLES, TRAIL_WEATHER
-from cairn.session import settle
+from cairn.session import observed, settle
 from cairn.sinks.tables import conform
 from cairn.vocab import TRAIL_AREA, WEATHER_BATCH, WEATHER_VARIABLES
 
@@ -48,20 +48,70 @@ def drawable() -> Column:
     return (F.col("n_points") >= 2) & F.coalesce(known, F.lit(False))
 
 
-def located_trails(segments: DataFrame, deduplicate: bool = True) -> DataFrame:
-    """One row per centroid (``place``, ``lat``, ``lon``): the longest segment per name, or all.
+class TrailCounters:
+    """Counts trails while they are built, in the same pass: segments found, unique names, lines too
+    short or with an unknown coordinate, coordinates and weather batches.
+
+    ``get`` waits for the first action on the plan. Tasks that Spark runs again after an executor
+    was lost count again, as all of its observed metrics do; ``trail_metrics`` counts exactly.
+    """
+
+    def __init__(self, batch_size: int = WEATHER_BATCH):
+        self.batch_size = batch_size
+        self._seen: list[tuple[Observation, tuple[str, ...]]] = []
+
+    def _watch(self, rows: DataFrame, **counts: Column) -> DataFrame:
+        self._seen.append((Observation(), tuple(counts)))
+        return rows.observe(self._seen[-1][0], *(c.alias(n) for n, c in counts.items()))
+
+    def segments(self, segments: DataFrame, deduplicate: bool) -> DataFrame:
+        """All segments, before one per name is picked. Where all stay they are counted behind, as
+        they are read twice."""
+        if not deduplicate:
+            return segments
+        return self._watch(segments, segments=F.count(F.lit(1)), too_short=F.count_if(~drawable()))
+
+    def picked(self, lines: DataFrame, deduplicate: bool) -> DataFrame:
+        if deduplicate:
+            return self._watch(lines, unique_names=F.count(F.lit(1)), coordinates=F.count_if(drawable()))
+        return self._watch(
+            lines, segments=F.count(F.lit(1)), unique_names=F.count_if(F.col("ord") == F.col("first_ord")),
+            too_short=F.count_if(~drawable()), coordinates=F.count_if(drawable()))
+
+    def get(self) -> dict[str, int]:
+        found = {name: n for seen, names in self._seen for name, n in observed(seen, *names).items()}
+        names = ("segments", "unique_names", "too_short", "coordinates")
+        return {n: found[n] for n in names} | {"batches": -(-found["coordinates"] // self.batch_size)}
 
-    Of several with the same centroid the last in processing order stays. Lines of fewer
-    than two points, or with an unknown coordinate, drop out after they have counted for where
-    their name first occurs.
+
+def located_lines(
+    segments: DataFrame, deduplicate: bool = True, counters: TrailCounters | None = None
+) -> DataFrame:
+    """The longest segment per name, or all, with their centroids (``place``, ``lat``, ``lon``) and
+    the columns of their processing order.
+
+    Lines of fewer than two points, or with an unknown coordinate, drop out after they have
+    counted for where their name first occurs.
     """
     pick = longest_segment if deduplicate else all_segments
-    lines = pick(segments, ["line", *_TAGS]).where(drawable())
-    located = lines.withColumn("_c", line_centroid("line")).select(
+    if counters:
+        segments = counters.segments(segments, deduplicate)
+    lines = pick(segments, ["line", *_TAGS])
+    if counters:
+        lines = counters.picked(lines, deduplicate)
+    return lines.where(drawable()).withColumn("_c", line_centroid("line")).select(
         place_key("_c.lat", "_c.lon").alias("place"), "_c.lat", "_c.lon",
         "name", *_TAGS, "line", "first_ord", "ord",
     )
-    return last_wins(located, ["place"], processing_order()).drop("first_ord", "ord")
+
+
+def located_trails(segments: DataFrame, deduplicate: bool = True) -> DataFrame:
+    """One row per centroid: of several lines with the same one the last in processing order."""
+    return last_on_place(located_lines(segments, deduplicate))
+
+
+def last_on_place(lines: DataFrame) -> DataFrame:
+    return last_wins(lines, ["place"], processing_order()).drop("first_ord", "ord")
 
 
 def build_trails(
@@ -74,25 +124,30 @@ def build_trails(
     batch_size: int = WEATHER_BATCH,
     area: Area | None = TRAIL_AREA,
     with_points: bool = False,
+    ledger_folder: str | None = None,
+    counters: TrailCounters | None = None,
 ) -> DataFrame:
     """Trails with tags, weather (unless left out) and ``geometry`` as (lon, lat) points.
 
     Weather comes from a landed table, or from ``fetch``, called with batches of (lat,
-    lon); the trails and the answers are then computed right away and kept in the shared
-    folder. Without either, and wherever both are silent, the variables are null.
-    ``with_points`` adds ``centroid`` and ``trailhead``.
+    lon), consecutive in processing order; the lines and the answers are then computed right
+    away and kept in the shared folder. With ``ledger_folder`` answered batches are never asked
+    again, see ``ordered_lookup``. Without either, and wherever both are silent, the variables are null.
+    ``with_points`` adds ``centroid`` and ``trailhead``. ``counters`` count on the way.
     """
     if weather is not None and fetch is not None:
         raise ValueError("give landed weather or a fetch function, not both")
-    trails = located_trails(trail_segments(elements, area), deduplicate)
+    lines = located_lines(trail_segments(elements, area), deduplicate, counters)
+    if include_weather and fetch is not None:
+        lines = settle(lines)
+    trails = last_on_place(lines)
     columns = ["name", *_TAGS]
     if include_weather:
         if weather is not None:
             records = latest_record(first_day(weather, weather_date))
             trails = attach_weather(trails, records, weather_date)
         elif fetch is not None:
-            trails = settle(trails)
-            records = fetched_weather(trails, fetch, weather_date, batch_size)
+            records = fetched_weather(lines, fetch, weather_date, batch_size, ledger_folder)
             trails = attach_weather(trails, records, weather_date)
         else:
             trails = without_records(trails, weather_date)

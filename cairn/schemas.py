@@ -19,11 +19,11 @@ ELEMENT = T.StructType([
     T.StructField("geometry", T.ArrayType(POINT)),
 ])
 
-# An element with its place: the payload it came in and its position there.
+# An element with its place: the payload it came in and its position or byte offset there.
 LANDED_ELEMENT = T.StructType([
     T.StructField("ord", T.StructType([
         T.StructField("payload", T.StringType()),
-        T.StructField("pos", T.IntegerType()),
+        T.StructField("pos", T.LongType()),
     ])),
     *ELEMENT.fields,
 ])

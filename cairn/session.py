@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import functools
 import tempfile
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -54,6 +56,24 @@ def settle(rows: DataFrame) -> DataFrame:
     return rows.checkpoint()
 
 
+def landed(rows: DataFrame, name: str) -> DataFrame:
+    """The rows, computed once and kept as Parquet in the shared folder, so that later steps read
+    only the columns they need."""
+    path = f"{shared_folder(rows.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
+def observed(seen: Observation, *names: str) -> dict[str, int]:
+    """The counters of an observation, after an action: 0 where adaptive execution found the rows
+    below it to be none and left the counting out."""
+    try:
+        found = seen.get
+    except Py4JJavaError:
+        found = {}
+    return {n: found.get(n, 0) for n in names}
+
+
 @functools.cache
 def _local_folder() -> str:
     return tempfile.mkdtemp(prefix="cairn-")

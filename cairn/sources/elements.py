@@ -11,7 +11,7 @@ from cairn.schemas import ELEMENT, LANDED_ELEMENT, PAYLOAD
 def _element_rows(payloads: DataFrame, elements: Column, payload_key: Column) -> DataFrame:
     exploded = payloads.select(payload_key.alias("_payload"), F.posexplode(elements))
     return exploded.select(
-        F.struct(F.col("_payload").alias("payload"), F.col("pos").alias("pos")).alias("ord"),
+        F.struct(F.col("_payload").alias("payload"), F.col("pos").cast("bigint").alias("pos")).alias("ord"),
         *(F.col("col")[name].alias(name) for name in ELEMENT.names),
     )
 
@@ -19,7 +19,8 @@ def _element_rows(payloads: DataFrame, elements: Column, payload_key: Column) ->
 def read_elements(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """One row per element of every file; ``ord`` is (file, position in the payload).
 
-    A file that is no valid payload fails the job.
+    A payload is parsed by one task, in memory; for large files see ``split.scan_elements``. A file
+    that is no valid payload fails the job.
     """
     payloads = (
         spark.read.schema(PAYLOAD).option("multiLine", True).option("mode", "FAILFAST").json(path)
@@ -30,8 +31,7 @@ def read_elements(spark: SparkSession, path: str | list[str]) -> DataFrame:
 def read_landed_elements(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Elements once parsed and written as parquet, ``ord`` included.
 
-    A payload is parsed by one task; landed like this, a large one is split afterwards,
-    and a job reads only the columns it needs.
+    Landed like this, elements are split among tasks and a job reads only the columns it needs.
     """
     return spark.read.schema(LANDED_ELEMENT).format("parquet").load(path)
 

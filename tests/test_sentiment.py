@@ -49,3 +49,38 @@ def test_model_is_loaded_once_and_scores_each_text_once(spark, tmp_path):
     assert sorted(map(tuple, found.collect())) == [("ab", 0.2), ("abcd", 0.4)]
     assert open(f"{log}/loads").read() == "x"
     assert open(f"{log}/texts").read() == "xxx"
+
+
+@pytest.mark.parametrize("chunk, waiting", [(3, 4096), (7, 20), (500, 1), (1, 5)])
+def test_batches_hold_texts_of_like_lengths_across_chunks(spark, tmp_path, chunk, waiting):
+    log = str(tmp_path / "batches")
+
+    def load():
+        def model(texts):
+            sizes = [len(t) for t in texts]
+            assert max(sizes) <= 2 * max(1, min(sizes))
+            with open(log, "a") as file:
+                file.write(f"{len(texts)}\n")
+            return [{"negative": len(t), "neutral": t.count("a"), "positive": max(sizes) > 8} for t in texts]
+
+        return model
+
+    texts = [None if i % 11 == 0 else "a" * (i * 7 % 23) + "b" * (i % 3) for i in range(120)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, t string").coalesce(1)
+    score = model_scorer(load, 8, truncate=lambda text, most: text[:most], most_tokens=12, waiting_rows=waiting)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(chunk))
+    try:
+        got = {r.i: tuple(r.s) for r in rows.select("i", score(F.col("t")).alias("s")).collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    cut = [(t or "")[:12] for t in texts]
+    assert got == {i: (len(t), t.count("a"), float(len(t) > 8)) for i, t in enumerate(cut)}
+    sizes = [int(x) for x in open(log).read().split()]
+    assert sum(sizes) == 120 and max(sizes) <= 8
+    if waiting == 4096:  # batches fill up, whatever the chunks are
+        assert len(sizes) <= 120 // 8 + 6
+
+
+def test_scorer_settings_are_checked():
+    with pytest.raises(ValueError):
+        model_scorer(lambda: None, batch_size=0)

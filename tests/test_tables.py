@@ -1,10 +1,12 @@
 import json
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
-from cairn import apply_ddl, init_tables, load_all, load_gear_reviews, load_trails
+from cairn import apply_ddl, init_tables, load_all, load_gear_reviews, load_trails, trail_metrics
 from cairn.schemas import COMMENTS, GEAR_REVIEWS, SUBMISSIONS, TRAIL_WEATHER
+from cairn.sinks.loads import Folder, location
 from cairn.sources.elements import parse_elements, read_elements, read_landed_elements
 from cairn.sources.landed import read_comments, read_submissions
 
@@ -83,6 +85,76 @@ def test_load_everything(spark, payloads, tmp_path):
     assert load_trails(rows.where("id < 0"), **options) == 0
 
 
+def review_inputs(spark):
+    subs = spark.createDataFrame([("s1", "hiking", "Winter", "u", 1)], SUBMISSIONS)
+    return subs, spark.createDataFrame([("c1", "s1", None, "comment", "winter vest, Osprey", 5.0)], COMMENTS)
+
+
+def test_a_load_with_an_id_adds_its_rows_once(spark, payloads):
+    rows = read_elements(spark, str(payloads[0]) + "/p*.json")
+    tables = {"trails": {"table": "once_trails", "area": AREA}, "reviews": {"table": "once_reviews"}}
+    first = load_all(rows, *review_inputs(spark), **tables, load_id="day-1")
+    again = load_all(rows, *review_inputs(spark), **tables, load_id="day-1")
+    assert first == {"trails": 3, "reviews": 1} and again == {"trails": 0, "reviews": 0}
+    assert again["trails"].report == first["trails"].report and first["reviews"].report == {"rows": 1}
+    assert spark.table("once_trails").count() == 3 and spark.table("once_reviews").count() == 1
+    assert load_trails(rows, "once_trails", load_id="day-2", area=AREA) == 3
+    assert load_trails(rows, "once_trails", area=AREA) == 3  # appends, as ever
+    assert spark.table("once_trails").count() == 9
+    folder = Folder(spark, location(spark, "once_trails"))
+    assert folder.has("_loads/day-1/done") and not folder.has("_loads/day-1/staged")
+    assert load_gear_reviews(*(f.where("false") for f in review_inputs(spark)), table="once_reviews", load_id="none") == 0
+    assert spark.table("once_reviews").count() == 1
+    with pytest.raises(ValueError, match="load id"):
+        load_trails(rows, "once_trails", load_id="../x", area=AREA)
+    spark.sql("CREATE TABLE in_json (name STRING) USING json")
+    with pytest.raises(ValueError, match="Parquet"):
+        location(spark, "in_json")
+
+
+@pytest.mark.parametrize("moves", [0, 1, 3])
+def test_a_load_that_was_cut_short_goes_on(spark, payloads, monkeypatch, moves):
+    table = f"cut_{moves}"
+    rows = read_elements(spark, str(payloads[0]) + "/p*.json").repartition(3)
+    whole, done = Folder.move, []
+
+    def cut(self, name, target):
+        if len(done) == moves:
+            raise OSError("the driver was lost")
+        done.append(name)
+        whole(self, name, target)
+
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        monkeypatch.setattr(Folder, "move", cut)
+        with pytest.raises(OSError):
+            load_trails(rows, table, load_id="a", area=AREA)
+        monkeypatch.setattr(Folder, "move", whole)
+        loaded = load_trails(rows, table, load_id="a", area=AREA)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert loaded == 3 and loaded.report["segments"] == 4
+    assert sorted(r.name for r in spark.table(table).collect()) == ["A", "B", "C"]
+    assert load_trails(rows, table, load_id="a", area=AREA) == 0 and spark.table(table).count() == 3
+
+
+@pytest.mark.parametrize("deduplicate", [True, False])
+@pytest.mark.parametrize("fetch", [None, lambda keys: [{"rain_sum": 1.0} for _ in keys]])
+def test_a_load_reports_what_the_metrics_say(spark, payloads, deduplicate, fetch):
+    rows = read_elements(spark, str(payloads[0]) + "/p*.json")
+    table = f"reported_{deduplicate}_{fetch is None}"
+    loaded = load_trails(rows, table, deduplicate=deduplicate, fetch=fetch, batch_size=2, area=AREA)
+    want = trail_metrics(rows, deduplicate, 2, AREA).first().asDict()
+    assert loaded.report == {"rows": int(loaded), **want} and loaded.report["segments"] == 4
+
+
+def test_staged_reviews_are_removed(spark, payloads):
+    shared = spark.conf.get("spark.checkpoint.dir")
+    before = set(Path(shared).glob("reviews-*"))
+    assert load_gear_reviews(*review_inputs(spark), table="staged_reviews") == 1
+    assert set(Path(shared).glob("reviews-*")) == before
+
+
 def test_a_failing_trail_load_stops_the_reviews(spark):
     subs = spark.createDataFrame([("s1", "hiking", "Winter", "u", 1)], SUBMISSIONS)
     comments = spark.createDataFrame([("c1", "s1", None, "comment", "winter vest, Osprey", 5.0)], COMMENTS)

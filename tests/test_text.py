@@ -1,4 +1,5 @@
 import random
+import random
 import re
 import unicodedata
 
@@ -13,6 +14,7 @@ from cairn.functions.text import (
     has_keyword,
     nfkc_candidate_pattern,
     normalize_text,
+    whole_words,
 )
 from cairn.operators.mentions import brand_mentions
 from cairn.vocab import GEAR_BRANDS, GEAR_CATEGORIES, WEATHER_SEASON_WORDS
@@ -177,3 +179,45 @@ def test_many_mentions_in_one_text(spark):
     assert found.count() == 20_000
     middle = found.where(F.col("mention_pos") == 10).first().brand_context
     assert middle == "osprey pack and rain " * 6 + "osprey"
+
+
+def first_listed(text, words):
+    """Of the words that stand whole at the first place where any does, the one listed first."""
+    edge = lambda c: c is not None and (c == "_" or c.isalnum())
+    for at in range(len(text)):
+        for word in words:
+            end = at + len(word)
+            if word and text[at:end] == word:
+                before, after = text[at - 1] if at else None, text[end] if end < len(text) else None
+                if edge(before) != edge(word[0]) and edge(after) != edge(word[-1]):
+                    return at, word
+    return None
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_a_tree_of_words_matches_what_the_list_does(spark, seed):
+    rnd = random.Random(seed)
+    letters = ["ab ", "abc", "a-b +", "aé "][seed]
+    words = [w.strip() or "a" for w in ("".join(rnd.choices(letters, k=rnd.randrange(1, 6))) for _ in range(40))]
+    texts = ["".join(rnd.choices(letters + " ", k=rnd.randrange(14))) for _ in range(300)]
+    got = column(spark, texts, lambda c: F.regexp_extract(c, whole_words(words), 0))
+    assert got == [(first_listed(t, words) or (0, ""))[1] for t in texts]
+
+
+def test_ten_thousand_words(spark):
+    rnd = random.Random(9)
+    words = sorted({"".join(rnd.choices("abcdefghij", k=rnd.randrange(3, 9))) for _ in range(13_000)})[:10_000]
+    rnd.shuffle(words)
+    pattern = whole_words(words)
+    assert len(words) == 10_000 and len(pattern) < sum(len(w) + 30 for w in words)
+    texts = [" ".join(rnd.choice(words) if rnd.random() < 0.3 else "".join(rnd.choices("abcdefghijk", k=5))
+                      for _ in range(rnd.randrange(12))) for _ in range(2_000)]
+    known = set(words)
+    got = column(spark, texts, lambda c: F.array_join(F.regexp_extract_all(c, F.lit(pattern), F.lit(0)), " "))
+    assert got == [" ".join(w for w in t.split() if w in known) for t in texts]
+
+
+def test_words_with_characters_that_fold_alike_are_tried_in_turn(spark):
+    words = ["straße", "\u017fo", "so"]  # a long s folds to an s
+    got = column(spark, ["So", "\u017fo x", "STRASSE straße"], lambda c: F.regexp_extract(c, "(?iu)" + whole_words(words), 0))
+    assert got == ["So", "\u017fo", "straße"]
