@@ -103,8 +103,6 @@ def whole_words(words: Sequence[str], blank: str = " ") -> str:
     words = list(dict.fromkeys(w for w in words if w))
     if not words:
         return r"(?!)"
-    if not all(map(_plain, words)):
-        return _one_by_one(words, blank)
     by_edge: dict[str, list[str]] = {}
     for w in words:
         by_edge.setdefault(_left_edge(w), []).append(w)
@@ -112,13 +110,12 @@ def whole_words(words: Sequence[str], blank: str = " ") -> str:
         edge + _branches([(w, w) for w in ws], blank) for edge, ws in by_edge.items()) + ")"
 
 
-def _plain(word: str) -> bool:
-    """Whether no two different characters of such words can match the same text."""
-    return all(c == " " or not c.isspace() and c.upper().lower() == c for c in word)
-
-
-def _one_by_one(words: Sequence[str], blank: str) -> str:
-    return "(?:" + "|".join(_left_edge(w) + _quote(w, blank) + _right_edge(w) for w in words) + ")"
+def _folded(c: str) -> str:
+    """What two characters have in common that may match the same text, whatever the flags."""
+    if c.isspace():
+        return " "
+    upper = c.upper() if len(c.upper()) == 1 else c
+    return upper.lower() if len(upper.lower()) == 1 else upper
 
 
 def _branches(rests: Sequence[tuple[str, str]], blank: str) -> str:
@@ -136,9 +133,12 @@ def _branches(rests: Sequence[tuple[str, str]], blank: str) -> str:
 def _forked(rests: Sequence[tuple[str, str]], blank: str) -> str:
     by_first: dict[str, list[tuple[str, str]]] = {}
     for rest, word in rests:
-        by_first.setdefault(rest[0], []).append((rest, word))
+        by_first.setdefault(_folded(rest[0]), []).append((rest, word))
     options = []
     for same in by_first.values():
+        if len({rest[0] for rest, _ in same}) > 1:  # no tree: these could match the same text
+            options += [_quote(rest, blank) + _right_edge(word) for rest, word in same]
+            continue
         shared = os.path.commonprefix([rest for rest, _ in same])
         tails = [(rest[len(shared):], word) for rest, word in same]
         options.append(_quote(shared, blank) + _branches(tails, blank))
