@@ -469,3 +469,68 @@ ORACLES["comment_walk"] = """
 SELECT doc_id::VARCHAR AS submission_id, doc_id || '-' || i AS comment_id, 'level ' || i AS body, i::INTEGER AS depth
 FROM documents, unnest(range(0, doc_id % 9 + 1)) AS u(i) WHERE i % 4 <> 3
 """
+ORACLES["element_file_scan"] = f"""
+WITH {_ELEMENTS}
+SELECT row_number() OVER (ORDER BY ord) - 1 AS place, ord AS id, type, CASE WHEN type = 'node' THEN base END AS lat,
+       surface, 5 + (sac_scale IS NOT NULL)::BIGINT + (trail_visibility IS NOT NULL)::BIGINT AS n_tags, wkt
+FROM els LEFT JOIN lines USING (ord)
+"""
+ORACLES["resumed_lookup"] = """
+WITH placed AS (SELECT c_custkey, row_number() OVER (ORDER BY c_custkey) - 1 AS i FROM customer),
+batched AS (
+  SELECT *, i // 10 AS batch_id, i % 10 AS batch_pos, min(c_custkey) OVER w AS first, count(*) OVER w AS n
+  FROM placed WINDOW w AS (PARTITION BY i // 10))
+SELECT c_custkey, CASE WHEN first // 10 % 3 = 0 THEN 'second' ELSE 'first' END AS run, n, batch_id, batch_pos
+FROM batched WHERE c_custkey % 5 <> 0
+"""
+ORACLES["trail_fetched_weather"] = f"""
+WITH {_ELEMENTS}, {_winners("place = 1")},
+asked AS (
+  SELECT lat, lon, row_number() OVER (ORDER BY first_ord, segs.ord) - 1 AS i
+  FROM segs JOIN cents USING (ord) WHERE place = 1),
+answered AS (
+  SELECT *, count(*) OVER w AS n, arg_min(lat, i) OVER w AS first FROM asked WINDOW w AS (PARTITION BY i // 10)),
+records AS (
+  SELECT lat, lon, max(i) AS i, arg_max(n, i) AS n, arg_max(first, i) AS first
+  FROM answered WHERE i % 10 <> 7 GROUP BY lat, lon)
+SELECT name, surface, '{S.DAY}' AS weather_date, (r.i % 10)::DOUBLE AS temperature_2m_max, r.n::DOUBLE AS rain_sum,
+       r.first AS showers_sum,
+       CASE WHEN r.i IS NOT NULL THEN strftime(make_timestamp(floor(l.lat)::BIGINT * 1000000), '%Y-%m-%d %H:%M:%S') END AS sunrise,
+       wkt AS geometry
+FROM located AS l LEFT JOIN records AS r ON l.lat = r.lat AND l.lon = r.lon
+"""
+ORACLES["load_once"] = f"""
+WITH {_ELEMENTS}, {_winners("place = 1")}, reviewed AS ({ORACLES["gear_reviews"]}),
+rows AS (
+  SELECT 'trail' AS kind, name AS label, wkt AS detail FROM located
+  UNION ALL SELECT 'review', gear_brand, brand_context FROM reviewed)
+SELECT * FROM rows UNION ALL SELECT * FROM rows
+"""
+
+
+def _load_report(where: str, deduplicate: str) -> str:
+    return f"""
+SELECT {deduplicate} AS deduplicate, count(*) AS segments, count(DISTINCT name) AS unique_names,
+       count(*) FILTER (n < 2) AS too_short, count(*) FILTER (n >= 2 AND {where}) AS coordinates,
+       (count(*) FILTER (n >= 2 AND {where}) + 9) // 10 AS batches,
+       (SELECT count(*) FROM (SELECT DISTINCT lat, lon FROM segs JOIN cents USING (ord) WHERE {where})) AS rows
+FROM segs"""
+
+
+ORACLES["load_report"] = f"""
+WITH {_ELEMENTS} {_load_report("place = 1", "true")} UNION ALL {_load_report("true", "false")}
+"""
+ORACLES["many_keywords"] = rf"""
+WITH found AS (
+  SELECT doc_id, regexp_extract_all({_SHADOW.format("lower(text)").replace("'x'", "'0'")}, '\b(?:[a-z]{{2}}|[aeiou][a-z]{{2}})\b') AS g
+  FROM documents)
+SELECT doc_id, len(g) AS n, g[1] AS first FROM found
+"""
+ORACLES["model_scores_by_length"] = """
+WITH cut AS (SELECT doc_id, coalesce(left(text, 256), '') AS t FROM documents),
+sized AS (
+  SELECT *, list_min(list_filter([1, 2, 4, 8, 16, 32, 64, 128, 256], lambda p: p >= length(t))) AS padded FROM cut)
+SELECT doc_id, length(t) / (2 * padded)::DOUBLE AS negative, 1 / padded::DOUBLE AS neutral,
+       (length(t) - length(replace(t, ' ', ''))) / padded::DOUBLE AS positive
+FROM sized
+"""

@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, LongType, StructType
+from pyspark.sql.types import DoubleType, LongType, StringType, StructType
 
 from cairn import (
     build_gear_reviews,
@@ -27,9 +27,16 @@ from cairn.functions.text import (
     brand_pattern,
     first_keyword,
     normalize_text,
+    whole_words,
 )
 from cairn.functions.times import as_date, epoch_timestamp
-from cairn.operators.enrich import attach_weather, batched_lookup, first_day, latest_record
+from cairn.operators.enrich import (
+    attach_weather,
+    batched_lookup,
+    first_day,
+    latest_record,
+    ordered_lookup,
+)
 from cairn.operators.joins import with_submission
 from cairn.operators.mentions import brand_mentions
 from cairn.operators.ordering import (
@@ -37,6 +44,7 @@ from cairn.operators.ordering import (
     longest_segment,
     processing_order,
     request_batches,
+    with_index,
 )
 from cairn.operators.selection import (
     body_gate,
@@ -52,6 +60,7 @@ from cairn.schemas import EPOCH_VARIABLES
 from cairn.session import shared_folder
 from cairn.sources.elements import parse_elements
 from cairn.sources.landed import flatten_comments, walk_comments
+from cairn.sources.split import scan_elements
 from cairn.vocab import GEAR_CATEGORIES, HOT_SUBMISSIONS, WEATHER_SEASON_WORDS, WEATHER_VARIABLES
 from contract import standins as S
 
@@ -292,18 +301,95 @@ def osm_payload_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def element_file_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All orders in one payload file, read by many tasks."""
+    rows = with_index(scan_elements(spark, S.payload_file(spark, sf_dir)).where("id >= 0"), "ord", "place")
+    return rows.select(
+        "place", "id", "type", "lat", F.col("tags")["surface"].alias("surface"),
+        F.map_keys("tags").alias("_keys"), line_wkt("geometry").alias("wkt"),
+    ).withColumn("n_tags", F.size("_keys").cast("long")).drop("_keys")
+
+
+@query
+def resumed_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A lookup whose every third batch fails, and the run that asks for the rest."""
+    def fetch(run: str):
+        def answers(keys: list[tuple]) -> list[dict | None]:
+            if run == "first" and keys[0][0] // 10 % 3 == 0:
+                raise RuntimeError("no answer")
+            return [{"run": run, "n": len(keys)} if key % 5 else None for key, in keys]
+
+        return answers
+
+    keys = S.table(spark, sf_dir, "customer").select("c_custkey")
+    fields = StructType().add("c_custkey", LongType()).add("run", StringType()).add("n", LongType())
+    folder = f"{shared_folder(spark)}/ledger-{uuid.uuid4().hex}"
+    for run in ("first", "second"):
+        found = ordered_lookup(keys, F.col("c_custkey"), fetch(run), fields, 10, folder)
+    return found
+
+
+@query
+def trail_fetched_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weather that depends on the batch a trail is asked with; each batch's eighth has none."""
+    def fetch(keys: list[tuple]) -> list[dict | None]:
+        return [
+            {"temperature_2m_max": float(i), "rain_sum": float(len(keys)), "showers_sum": keys[0][0], "sunrise": int(lat)}
+            if i != 7 else None
+            for i, (lat, _) in enumerate(keys)]
+
+    trails = build_trails(S.elements(spark, sf_dir), weather_date=S.DAY, fetch=fetch, area=None)
+    return trail_rows(trails).selectExpr(
+        "name", "surface", "CAST(weather_date AS STRING) AS weather_date", "temperature_2m_max", "rain_sum",
+        "showers_sum", "date_format(sunrise, 'yyyy-MM-dd HH:mm:ss') AS sunrise", "geometry")
+
+
 # What the last call set up; the next one drops it.
 _SCHEMAS: list[str] = []
 
 
-@query
-def append_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sets up both tables in a schema of its own, appends to them twice, reads them back."""
+def _own_schema(spark: SparkSession) -> str:
     for earlier in _SCHEMAS:
         spark.sql(f"DROP SCHEMA IF EXISTS {earlier} CASCADE")
     schema = f"cairn_{uuid.uuid4().hex}"
     _SCHEMAS[:] = [schema]
     spark.sql(f"CREATE SCHEMA {schema} LOCATION '{shared_folder(spark)}/{schema}'")
+    return schema
+
+
+@query
+def load_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One load run twice under its id, another once, both tables read back."""
+    schema = _own_schema(spark)
+    tables = {
+        "trails": {"table": f"{schema}.trail_weather", "include_weather": False, "area": None},
+        "reviews": {"table": f"{schema}.gear_reviews", **_REVIEW_OPTIONS}}
+    for load_id in ("monday", "monday", "tuesday"):
+        load_all(
+            S.elements(spark, sf_dir), S.submissions(spark, sf_dir), S.comments(spark, sf_dir),
+            load_id=load_id, **tables)
+    trails, reviews = (spark.table(t["table"]) for t in tables.values())
+    return trails.select(F.lit("trail").alias("kind"), F.col("name").alias("label"), F.col("geometry").alias("detail")).unionAll(
+        reviews.select(F.lit("review").alias("kind"), F.col("gear_brand").alias("label"), F.col("brand_context").alias("detail")))
+
+
+@query
+def load_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What two loads, with and without duplicates, count while they write."""
+    schema = _own_schema(spark)
+    reports = [
+        {"deduplicate": one, **load_trails(
+            S.elements(spark, sf_dir), f"{schema}.trail_weather", include_weather=False, area=None, deduplicate=one).report}
+        for one in (True, False)]
+    return spark.createDataFrame(reports, "deduplicate boolean, segments long, unique_names long, "
+                                 "too_short long, coordinates long, batches long, rows long")
+
+
+@query
+def append_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sets up both tables in a schema of its own, appends to them twice, reads them back."""
+    schema = _own_schema(spark)
     trail_table, gear_table = f"{schema}.trail_weather", f"{schema}.gear_reviews"
     init_tables(spark, trail_table, gear_table)
     elements = S.elements(spark, sf_dir)
@@ -369,6 +455,14 @@ def keyword_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def many_keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many of some thousand short words a text holds, and the first of them."""
+    found = F.regexp_extract_all(F.lower("text"), F.lit(whole_words(S.MANY_WORDS)), F.lit(0))
+    return S.documents(spark, sf_dir).select("doc_id", found.alias("_f")).select(
+        "doc_id", F.size("_f").cast("long").alias("n"), F.get("_f", F.lit(0)).alias("first"))
+
+
 @query
 def normalized_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.documents(spark, sf_dir).select(
@@ -467,6 +561,25 @@ def model_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def model_scores_by_length(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A model whose scores depend on how far the texts of its batch are padded."""
+    def load():
+        def model(texts: list[str]) -> list[dict]:
+            padded = 1
+            while padded < max(map(len, texts)):
+                padded *= 2
+            return [
+                {"negative": len(t) / (2 * padded), "neutral": 1 / padded, "positive": t.count(" ") / padded}
+                for t in texts]
+
+        return model
+
+    scorer = model_scorer(load, batch_size=8, truncate=lambda text, most: text[:most], most_tokens=256)
+    scored = S.documents(spark, sf_dir).select("doc_id", scorer(F.col("text")).alias("s"))
+    return scored.selectExpr("doc_id", *(f"s.{c} AS {c}" for c in ("negative", "neutral", "positive")))
+
+
 def _reviews(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
     rows = build_gear_reviews(
         S.submissions(spark, sf_dir), S.comments(spark, sf_dir), **(_REVIEW_OPTIONS | options)

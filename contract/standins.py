@@ -6,9 +6,13 @@ so a key that holds a third of a table costs no more than any other row.
 
 from __future__ import annotations
 
+import itertools
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 from cairn.schemas import EPOCH_VARIABLES
+from cairn.session import shared_folder
 from cairn.vocab import WEATHER_VARIABLES
 
 AREA = (10.0, 5.0, 300.0, 25.0)
@@ -22,6 +26,10 @@ COMMUNITIES = ["user", "system"]
 SOURCES = [f"src{i}" for i in range(10)]
 POSITIVE = ["the", "le", "und"]
 NEGATIVE = ["of", "la", "die"]
+# All words of two letters, and those of three that begin with a vowel.
+_LETTERS = "abcdefghijklmnopqrstuvwxyz"
+MANY_WORDS = ["".join(w) for w in itertools.product(_LETTERS, repeat=2)] + [
+    "".join(w) for w in itertools.product("aeiou", _LETTERS, _LETTERS)]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -67,6 +75,18 @@ def elements(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def payload_file(spark: SparkSession, sf_dir: str) -> str:
+    """The elements landed as one payload file, in their order, behind a node of its own; the folder."""
+    element = "to_json(struct(type, id, lat, lon, tags, geometry))"
+    begin = spark.sql("""SELECT -2L AS ord, '{"version": 0.6, "elements": [{"type": "node", "id": -1}' AS value""")
+    end = spark.sql("SELECT 9223372036854775807L AS ord, '], \"remark\": \"the \\\\\"type\\\\\" is }\"}' AS value")
+    rows = elements(spark, sf_dir).selectExpr("ord", f"concat(',', {element}) AS value")
+    folder = f"{shared_folder(spark)}/payload-{uuid.uuid4().hex}"
+    # Sorted by all tasks, then written by one: the file is the point.
+    rows.unionAll(begin).unionAll(end).orderBy("ord").select("value").coalesce(1).write.text(folder)
+    return folder
+
+
 def vector_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A vector is a line: pairs of neighbouring entries are its points."""
     return table(spark, sf_dir, "embeddings").selectExpr(

@@ -38,7 +38,7 @@ module = importlib.util.module_from_spec(spec)
 spec.loader.exec_module(module)
 from pyspark.sql import SparkSession
 spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").getOrCreate()
-for name in ("gear_reviews", "batched_enrichment"):
+for name in ("gear_reviews", "batched_enrichment", "resumed_lookup", "trail_fetched_weather", "element_file_scan"):
     print(name, module.queries()[name](spark, "/root/testdata/sf0.001").count())
 """
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}

@@ -174,3 +174,17 @@ def test_top_submissions_keep_ties_apart(spark):
     )
     got = [r.submission_id for r in top_submissions(rows, ["a"], 5).collect()]
     assert sorted(got) == sorted(sorted(str(i) for i in range(1000))[:5])
+
+
+@pytest.mark.parametrize("deduplicate", [True, False])
+def test_counters_add_no_scan(spark, small, deduplicate):
+    from cairn.plans.trails import TrailCounters
+
+    elements = S.elements(spark, small)
+
+    def plan(counters):
+        found = build_trails(elements, include_weather=False, deduplicate=deduplicate, area=None, counters=counters)
+        return initial_plan(found)
+
+    assert plan(TrailCounters()).count("FileScan") == plan(None).count("FileScan") == (1 if deduplicate else 2)
+    assert "CollectMetrics" in plan(TrailCounters())
