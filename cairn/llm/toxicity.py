@@ -6,8 +6,11 @@ run through a gated recurrent layer in either direction; attention weighs the st
 into one vector and a logit. A text is as toxic as its most toxic window. In training only whole
 texts have labels, so a text's probability is that at least one window is toxic (noisy or).
 
-The labelled sample is bounded by ``SAMPLE`` texts of each label, chosen by their ids' hashes,
-and ``SAMPLE_CHARS`` characters of each; scoring takes all windows of whole texts.
+The labelled sample is bounded by ``SAMPLE`` texts of each label, chosen by their ids' hashes, and
+taken whole. It is read by one task, which keeps four bytes for each word, trains, and returns the
+weights; the driver sees only those. Of a text with more than ``DRAWN`` windows a step of the
+training draws half of them from the whole text and half from those the network last took for the
+most toxic. Scoring takes all windows of whole texts.
 
 Defined results: texts that are null or hold no word score 0; labels that are null are not
 learned from; with no labelled text of both kinds every score is 0; repeated rows give repeated
@@ -16,9 +19,10 @@ results. A score reads only ``text``; ``doc_id`` is passed on, and further colum
 
 from __future__ import annotations
 
+import pickle
 import re
 import zlib
-from collections import Counter
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, fields
 
 import numpy as np
@@ -30,7 +34,9 @@ from cairn.llm.common import keep, map_rows, pieces, ship, texts
 
 WINDOW, STRIDE = 32, 16
 WORD_SIZE, CHAR_SIZE, HIDDEN, BUCKETS = 8, 12, 8, 1 << 13
-SAMPLE, SAMPLE_CHARS, VOCABULARY, LEAST_TEXTS = 800, 12_000, 20_000, 4
+SAMPLE, VOCABULARY, LEAST_TEXTS = 800, 20_000, 4
+#: Windows of a text that a training step takes; steps after which long texts are scored anew.
+DRAWN, REFRESH = 256, 75
 STEPS, TEXTS_A_STEP, RATE, SEED = 450, 16, 0.01, 7
 #: The share of words that a training step hides.
 HIDDEN_WORDS = 0.3
@@ -216,18 +222,49 @@ class Network:
         return np.where(np.isfinite(best), sigmoid(best), 0.0).astype(float)
 
 
+class Samples:
+    """Labelled texts as numbers of their words."""
+
+    def __init__(self) -> None:
+        self.numbers: dict[str, int] = {}
+        self.texts: list[np.ndarray] = []
+        self.labels: list[int] = []
+
+    def add(self, text: str, label: int) -> None:
+        """Takes a text in; one without words is left out."""
+        numbers = self.numbers
+        found = np.array([numbers.setdefault(w, len(numbers)) for w in words(text)], dtype=np.int32)
+        if len(found):
+            self.texts.append(found)
+            self.labels.append(label)
+
+
+def drawn(size: int, hard: np.ndarray, random: np.random.Generator) -> tuple[np.ndarray, np.ndarray]:
+    """First words and ends of a text's windows that a step takes: all, or ``DRAWN`` of a long one."""
+    _, first, end = windows(np.array([size]))
+    if len(first) <= DRAWN:
+        return first, end
+    some = np.unique(np.concatenate([hard, random.choice(len(first), DRAWN - len(hard), replace=False)]))
+    return first[some], end[some]
+
+
 def train_step(
-    net: Network, lists: list[list[str]], labels: np.ndarray, random: np.random.Generator
+    net: Network, names: list[str], texts: list[np.ndarray], hard: list[np.ndarray], labels: np.ndarray,
+    random: np.random.Generator,
 ) -> dict[str, np.ndarray]:
-    """Gradients of the loss of some texts; part of the words are hidden, so that their characters
-    are learned as well."""
+    """Gradients of the loss of some texts (numbers into ``names``); part of the words are hidden, so
+    that their characters are learned as well."""
     w = net.weights
-    vocabulary = sorted(set().union(*lists))
-    place = {word: i for i, word in enumerate(vocabulary)}
+    some = [drawn(len(t), h, random) for t, h in zip(texts, hard)]
+    sizes = np.array([len(t) for t in texts])
+    base = np.cumsum(sizes) - sizes
+    owner = np.repeat(np.arange(len(texts)), [len(f) for f, _ in some])
+    first = np.concatenate([f + b for (f, _), b in zip(some, base)])
+    end = np.concatenate([e + b for (_, e), b in zip(some, base)])
+    used, numbers = np.unique(np.concatenate(texts), return_inverse=True)
+    vocabulary = [names[i] for i in used]
     x, word_numbers, flat, counts = net.inputs(vocabulary, random.random(len(vocabulary)))
     gates = np.stack([x @ w.inward[d] + w.bias[d] for d in (0, 1)])
-    numbers = np.array([place[word] for ws in lists for word in ws])
-    owner, first, end = windows(np.array([len(ws) for ws in lists]))
     rows = first + np.arange(WINDOW)[:, None]
     mask = rows < end
     rows = numbers[np.where(mask, rows, 0)]
@@ -236,10 +273,10 @@ def train_step(
     states = np.concatenate([forward, backward[::-1]], axis=2)
     logits, a, c = pool(w, states, mask)
     p = sigmoid(logits.astype(np.float64))
-    none = np.bincount(owner, weights=np.log1p(-np.minimum(p, 1 - 1e-7)), minlength=len(lists))
+    none = np.bincount(owner, weights=np.log1p(-np.minimum(p, 1 - 1e-7)), minlength=len(texts))
     toxic = np.maximum(1 - np.exp(none), 1e-7)
     factor = np.where(labels > 0, -(1 - toxic) / toxic, 1.0)[owner]
-    d = (p * factor / len(lists)).astype(np.float32)
+    d = (p * factor / len(texts)).astype(np.float32)
 
     grads = {"shift": np.array([d.sum()]), "out": d @ c}
     dc = d[:, None] * w.out
@@ -268,37 +305,56 @@ def train_step(
     return grads
 
 
-def train(samples: list[tuple[str, int]], steps: int = STEPS) -> Network | None:
-    """A network from (text, label) pairs, or None without texts of both labels.
+def train(samples: Samples, steps: int = STEPS) -> Network | None:
+    """A network from labelled texts, or None without texts of both labels.
 
     As many texts of either label make a step; afterwards the threshold that parts the sample
     best, by F1, is moved to ``THRESHOLD``.
     """
-    lists = [(words(t), y) for t, y in samples]
-    lists = [x for x in lists if x[0]]
-    sides = [[ws for ws, y in lists if y == side] for side in (0, 1)]
-    if not all(sides):
+    labels = np.array(samples.labels)
+    sides = [np.flatnonzero(labels == side) for side in (0, 1)]
+    if not all(len(s) for s in sides):
         return None
-    seen = Counter(word for ws, _ in lists for word in set(ws))
-    common = sorted((-n, word) for word, n in seen.items() if n >= LEAST_TEXTS)[:VOCABULARY]
+    names = list(samples.numbers)
+    seen = np.zeros(len(names), dtype=np.int64)
+    for text in samples.texts:
+        seen[np.unique(text)] += 1
+    common = sorted((-int(seen[i]), names[i]) for i in np.flatnonzero(seen >= LEAST_TEXTS))[:VOCABULARY]
     net = Network(Weights.start(len(common)), {word: i + 1 for i, (_, word) in enumerate(common)})
     random = np.random.default_rng(SEED)
     first = {f.name: np.zeros_like(getattr(net.weights, f.name)) for f in fields(Weights)}
     second = {k: v.copy() for k, v in first.items()}
-    labels = np.repeat([0, 1], TEXTS_A_STEP // 2)
+    half = np.repeat([0, 1], TEXTS_A_STEP // 2)
+    hard = [np.empty(0, np.int64)] * len(labels)
+    long = [i for i, t in enumerate(samples.texts) if len(windows(np.array([len(t)]))[0]) > DRAWN]
     for step in range(1, steps + 1):
-        some = [s[random.integers(len(s))] for s in sides for _ in range(TEXTS_A_STEP // 2)]
+        if step % REFRESH == 0:
+            for i, logits in window_logits(net, names, samples.texts, long):
+                hard[i] = np.argsort(-logits, kind="stable")[:DRAWN // 2]
+        some = np.concatenate([s[random.integers(len(s), size=TEXTS_A_STEP // 2)] for s in sides])
         rate = RATE * min(1.0, 2 * (1 - step / (steps + 1)))
-        for k, g in train_step(net, some, labels, random).items():
+        grads = train_step(net, names, [samples.texts[i] for i in some], [hard[i] for i in some], half, random)
+        for k, g in grads.items():
             first[k] += 0.1 * (g - first[k])
             second[k] += 0.01 * (g * g - second[k])
             change = first[k] / (1 - 0.9 ** step) / (np.sqrt(second[k] / (1 - 0.99 ** step)) + 1e-6)
             setattr(net.weights, k, (getattr(net.weights, k) - rate * change).astype(np.float32))
-    scored = net.scores([" ".join(ws) for ws, _ in lists])
-    net.weights.shift += parting(scored, np.array([y for _, y in lists]))
+    best = [logits.max() for _, logits in window_logits(net, names, samples.texts, range(len(labels)))]
+    net.weights.shift += parting(sigmoid(np.array(best, dtype=float)), labels)
     return Network(net.weights, net.vocabulary)
 
 
+def window_logits(
+    net: Network, names: list[str], texts: list[np.ndarray], some: Iterable[int]
+) -> Iterator[tuple[int, np.ndarray]]:
+    """The logits of all windows of some texts."""
+    some = list(some)
+    gates = net.word_gates(names) if some else None
+    for i in some:
+        _, first, end = windows(np.array([len(texts[i])]))
+        yield i, net.logits(gates, texts[i], first, end)
+
+
 def parting(scores: np.ndarray, labels: np.ndarray) -> np.float32:
     """What to add to the logits, so that the best parting threshold becomes ``THRESHOLD``."""
     logits = np.log(np.clip(scores, 1e-7, 1 - 1e-7) / (1 - np.clip(scores, 1e-7, 1 - 1e-7)))
@@ -311,8 +367,10 @@ def parting(scores: np.ndarray, labels: np.ndarray) -> np.float32:
     return np.float32(np.log(THRESHOLD / (1 - THRESHOLD)) - (low + high) / 2)
 
 
-def sample(documents: DataFrame, labels: DataFrame, most: int = SAMPLE) -> list[tuple[str, int]]:
-    """At most ``most`` labelled texts of each label, chosen by their ids' hashes."""
+def learn(documents: DataFrame, labels: DataFrame, most: int = SAMPLE) -> Network | None:
+    """A network from at most ``most`` labelled texts of each label, chosen by their ids' hashes;
+    it is trained in a task."""
+    ship(documents.sparkSession)
     known = labels.where(F.col("toxic").isin(0, 1)).select(
         F.col("doc_id").cast("bigint").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")
     ).join(documents.select(F.col("doc_id").cast("bigint").alias("doc_id")), "doc_id", "left_semi")
@@ -321,11 +379,22 @@ def sample(documents: DataFrame, labels: DataFrame, most: int = SAMPLE) -> list[
         .orderBy("place", "doc_id").limit(most) for side in (0, 1)
     ]
     chosen = keep(sides[0].unionByName(sides[1]), "labelled")
-    rows = (
-        texts(documents).join(F.broadcast(chosen), "doc_id")  # at most 2 * most ids
-        .select("toxic", "place", F.substring("text", 1, SAMPLE_CHARS).alias("text")).collect()
-    )
-    return [(text, toxic) for toxic, _, text in sorted(tuple(r) for r in rows)]
+    rows = keep(  # at most 2 * most ids, and of repeated ids 2 * most texts a label
+        texts(documents).join(F.broadcast(chosen), "doc_id").select("toxic", "place", "doc_id", "text")
+        .orderBy("place", "doc_id", "toxic", "text").limit(4 * most), "sample")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        samples = Samples()
+        for batch in batches:
+            for text, label in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
+                samples.add(text, label)
+        net = train(samples)
+        made = [] if net is None else [pickle.dumps((net.weights, net.vocabulary))]
+        yield pa.RecordBatch.from_arrays([pa.array(made, pa.binary())], names=["net"])
+
+    order = ("place", "doc_id", "toxic", "text")
+    found = rows.repartition(1).sortWithinPartitions(*order).select("toxic", "text").mapInArrow(run, "net binary").collect()
+    return Network(*pickle.loads(found[0].net)) if found else None
 
 
 def score(documents: DataFrame, net: Network | None) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import collections
+import math
 import random
 import re
 import zlib
@@ -208,13 +209,83 @@ def test_null_labels_are_not_learned(edges):
 
 # --- toxicity -------------------------------------------------------------------------------------
 
+def samples_of(pairs):
+    made = toxicity.Samples()
+    for text, label in pairs:
+        made.add(text, label)
+    return made
+
+
+def plain_score(net, text):
+    """The network, one number after another."""
+    w, best = net.weights, None
+    found = toxicity.words(text)
+    sigmoid = lambda x: 1 / (1 + math.exp(-x))
+    size = toxicity.HIDDEN
+    inputs = []
+    for word in found:
+        grams = toxicity.trigrams(word)
+        chars = [sum(float(w.char[g][k]) for g in grams) / len(grams) for k in range(toxicity.CHAR_SIZE)]
+        inputs.append([float(v) for v in w.word[net.vocabulary.get(word, 0)]] + chars)
+    for begin in range(0, max(1, len(found)), toxicity.STRIDE):
+        if begin and begin - toxicity.STRIDE + toxicity.WINDOW >= len(found):
+            break
+        some = inputs[begin:begin + toxicity.WINDOW]
+        sides = []
+        for d in (0, 1):
+            h, states = [0.0] * size, []
+            for x in (some if d == 0 else some[::-1]):
+                g = [sum(x[i] * float(w.inward[d][i][k]) for i in range(len(x))) + float(w.bias[d][k]) for k in range(3 * size)]
+                r = [sum(h[i] * float(w.state[d][i][k]) for i in range(size)) for k in range(3 * size)]
+                z = [sigmoid(g[k] + r[k]) for k in range(size)]
+                reset = [sigmoid(g[size + k] + r[size + k]) for k in range(size)]
+                new = [math.tanh(g[2 * size + k] + reset[k] * r[2 * size + k]) for k in range(size)]
+                h = [new[k] + z[k] * (h[k] - new[k]) for k in range(size)]
+                states.append(h)
+            sides.append(states if d == 0 else states[::-1])
+        states = [a + b for a, b in zip(*sides)]
+        e = [math.exp(sum(s * float(a) for s, a in zip(state, w.attention))) for state in states]
+        pooled = [sum(x * state[k] for x, state in zip(e, states)) / sum(e) for k in range(2 * size)]
+        logit = sum(p * float(o) for p, o in zip(pooled, w.out)) + float(w.shift[0])
+        best = logit if best is None else max(best, logit)
+    return sigmoid(best)
+
+
+def test_scores_are_those_of_a_plain_forward_pass(net):
+    texts = [t for t, _ in net[1][:12]] + ["one", "a longer text of vexlum words " * 12]
+    for text, score in zip(texts, net[0].scores(texts)):
+        assert score == pytest.approx(plain_score(net[0], text), abs=1e-4)
+
+
+def test_training_reads_long_texts_to_their_end():
+    rnd = random.Random(3)
+    words = lambda n: [rnd.choice(["fine", "words", "of", "no", "harm", "calm", "day"]) for _ in range(n)]
+    long = toxicity.DRAWN * toxicity.STRIDE * 3
+    pairs = [(" ".join(words(long) + (["vexling", "grobber"] * 4 if y else []) + words(9)), y) for y in (0, 1) * 6]
+    network = toxicity.train(samples_of(pairs), steps=160)
+    scores = network.scores([t for t, _ in pairs])
+    assert all((s >= toxicity.THRESHOLD) == bool(y) for s, (_, y) in zip(scores, pairs))
+
+
+def test_learning_in_a_task(spark, net):
+    rows = [(i, t) for i, (t, _) in enumerate(net[1])] + [(0, net[1][0][0]), (None, "no id"), (999, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    labels = spark.createDataFrame([(i, y) for i, (_, y) in enumerate(net[1])] + [(999, 1), (998, 1), (5, None)], "doc_id bigint, toxic int")
+    learned = [toxicity.learn(docs.repartition(n), labels, most=30) for n in (1, 4)]
+    assert (learned[0].weights.out == learned[1].weights.out).all() and learned[0].vocabulary == learned[1].vocabulary
+    assert toxicity.learn(docs, labels.where("toxic = 0")) is None
+    assert toxicity.learn(docs.where("false"), labels) is None
+
+
 def test_gradients_agree_with_differences(monkeypatch):
     monkeypatch.setattr(toxicity, "HIDDEN_WORDS", 0.0)
     texts = [toxicity.words("one bad word and some more words " * 9), toxicity.words("only fine words")]
     labels = np.array([1, 0])
     net = toxicity.Network(toxicity.Weights.start(3), {"bad": 1, "fine": 2, "word": 3})
     net.weights.shift[:] = -0.5
-    grads = toxicity.train_step(net, texts, labels, np.random.default_rng(0))
+    made = samples_of([(" ".join(ws), y) for ws, y in zip(texts, labels)])
+    none = [np.empty(0, np.int64)] * 2
+    grads = toxicity.train_step(net, list(made.numbers), made.texts, none, labels, np.random.default_rng(0))
 
     def loss():
         numbers = net.numbered(texts)
@@ -258,7 +329,7 @@ def net():
             for _ in range(3):
                 words[rnd.randrange(len(words))] = rnd.choice(["vexling", "vexlo", "vexlum", "grobber"])
         made.append((" ".join(words), i % 2))
-    return toxicity.train(made[:160], steps=150), made[160:]
+    return toxicity.train(samples_of(made[:160]), steps=150), made[160:]
 
 
 def test_toxicity_of_held_out_texts(net):
@@ -287,7 +358,7 @@ def test_toxicity_of_edges(net, edges, nothing):
     assert all(r.score == 0 for r in got if r.doc_id in (0, 1, 2, 5))
     assert toxicity.score(nothing, net[0]).count() == 0
     assert {r.score for r in toxicity.score(edges, None).collect()} == {0.0}
-    assert toxicity.train([("only clean", 0)]) is None
+    assert toxicity.train(samples_of([("only clean", 0)])) is None
     stays = toxicity.without_toxic(edges, net[0])
     assert stays.columns == edges.columns and stays.where("rank = 'taken'").count() > 0
 
