@@ -30,7 +30,7 @@ def recounted(docs: DataFrame) -> DataFrame:
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents under the toxicity threshold. The network learns from the labelled two folds."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where(remainder(F.col("doc_id"), 3) != 1)
-    return toxicity.without_toxic(docs, toxicity.train(toxicity.sample(docs, labels)))
+    return toxicity.without_toxic(docs, toxicity.learn(docs, labels))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
