@@ -47,25 +47,19 @@ def texts(documents: DataFrame) -> DataFrame:
     )
 
 
-def numbered(documents: DataFrame, flag: str) -> DataFrame:
-    """The documents with ids of their own in place of null ones, above all others, and the column
-    ``flag`` that tells those. The rows without an id are written once, so their numbers stay."""
-    doc_id = F.col("doc_id").cast("bigint")
-    most, without = documents.agg(
-        F.max(doc_id), F.count_if(F.col("doc_id").isNull())).first()
-    if not without:
-        return documents.withColumn(flag, F.lit(False))
-    after = max(most or 0, 0) + 1
-    new = keep(
-        documents.where(F.col("doc_id").isNull())
-        .withColumn("doc_id", F.lit(after).cast("bigint") + F.monotonically_increasing_id()), "numbered")
-    old = documents.where(F.col("doc_id").isNotNull()).withColumn("doc_id", doc_id)
-    return old.withColumn(flag, F.lit(False)).unionByName(new.withColumn(flag, F.lit(True)))
-
-
-def unnumbered(documents: DataFrame, flag: str, columns: list[str]) -> DataFrame:
-    """``columns`` of numbered documents, with null for the ids that ``numbered`` gave."""
-    return documents.withColumn("doc_id", F.when(~F.col(flag), F.col("doc_id"))).select(*columns)
+#: What tells documents of one id, or without one, apart.
+KEY = "text_key"
+
+
+def text_key() -> Column:
+    """A 64-bit hash of the text (null as empty). With the id it names a document: rows that are equal
+    in both are one document, and rows without an id, or with the same one, are told apart."""
+    return F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
+
+
+def same_document(a: DataFrame, b: DataFrame, doc_id: str = "doc_id", key: str = KEY) -> Column:
+    """Joins ``a`` and ``b`` by id, null ones as well, and text."""
+    return a["doc_id"].cast("bigint").eqNullSafe(b[doc_id]) & (a[KEY] == b[key])
 
 
 def remainder(doc_id: Column, parts: int) -> Column:

@@ -22,10 +22,12 @@ tables; nothing is collected.
 
 Defined results: null and empty texts, and texts without words, have 0 shingles and are kept and
 alone; fewer words than a shingle make the whole sequence one shingle; texts of any length are
-taken whole; repeated rows of an id are copies; an empty table gives an empty one. Rows without an
-id are documents of their own and come after all others: their component is the smallest id in it,
-or null where none has one, and ``kept`` holds for the first. Only ``doc_id`` and ``text`` are read,
-so further columns can't clash.
+taken whole; rows of one id are documents of their own, linked if their texts are; an empty table
+gives an empty one. Rows without an id come after all others: a component is named by the smallest
+id in it, or null where none has one, and then ``kept`` holds for one row of it. Of each component
+``distinct_documents`` keeps one row, of the smallest id and there of the smallest text hash; rows
+without words all stay. Only ``doc_id`` and ``text`` are read, so further columns can't clash; names
+that begin with ``_near_`` are the operator's.
 """
 
 from __future__ import annotations
@@ -38,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cairn.llm.common import Remembered, keep, map_rows, numbered, texts
+from cairn.llm.common import KEY, Remembered, keep, map_rows, same_document, text_key, texts
 
 BANDS, ROWS, SEED = 32, 5, 5
 SAMPLES, BITS = BANDS * ROWS, 512
@@ -125,7 +127,7 @@ def most_differing_bits(threshold: float) -> int:
 
 
 def described(documents: DataFrame, size: int) -> DataFrame:
-    """``doc_id, n_shingles, digest, bands, sketch`` of every document."""
+    """``doc_id, text_key, n_shingles, digest, bands, sketch`` of every document."""
     import hashlib
 
     def run(rows: dict) -> dict:
@@ -137,11 +139,11 @@ def described(documents: DataFrame, size: int) -> DataFrame:
             mins = samples(found) if len(found) else None
             made["bands"].append(None if mins is None else band_keys(mins))
             made["sketch"].append(None if mins is None else sketch(mins))
-        return {"doc_id": rows["doc_id"], **made}
+        return {"doc_id": rows["doc_id"], KEY: rows[KEY], **made}
 
     return map_rows(
-        texts(documents),
-        "doc_id bigint, n_shingles bigint, digest binary, bands array<bigint>, sketch array<bigint>", run)
+        texts(documents).withColumn(KEY, text_key()),
+        f"doc_id bigint, {KEY} bigint, n_shingles bigint, digest binary, bands array<bigint>, sketch array<bigint>", run)
 
 
 def differing_bits(a: Column, b: Column) -> Column:
@@ -328,14 +330,16 @@ def components(links: DataFrame) -> DataFrame:
     return keep(edges.select(F.col("u").alias("id"), F.col("v").alias("comp")).unionByName(ends), "components")
 
 
-def near_duplicates(documents: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """Each document's set size and component: ``doc_id, n_shingles, component_id, kept``."""
-    documents = numbered(texts(documents), "no_id")
-    without = documents.where("no_id").select(F.col("doc_id").alias("new"))
-    rows = keep(described(documents, size), "described")
+def grouped(documents: DataFrame, size: int, percent: int) -> DataFrame:
+    """Each row's ``doc_id, text_key, n_shingles, component_id``, and whether it is the ``first`` of its
+    component."""
+    # The rows' numbers are written with them, so they stay.
+    rows = keep(described(documents, size).withColumn("row", F.monotonically_increasing_id()), "described")
+    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", KEY, "row")
     classes = keep(
         rows.where("n_shingles > 0").groupBy("digest", F.col("n_shingles").alias("n"))
-        .agg(F.min("doc_id").alias("id"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")), "classes")
+        .agg(F.min(place).alias("lead"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
+        .withColumn("id", F.monotonically_increasing_id()), "classes")
     placed = classes.select("id", F.explode("bands").alias("key"))
     buckets = placed.groupBy("key").agg(F.min("id").alias("first"), F.count("*").alias("many")).where("many > 1")
     met = keep(placed.join(buckets, "key"), "met")
@@ -343,8 +347,11 @@ def near_duplicates(documents: DataFrame, size: int = 5, percent: int = 80) -> D
     stars = keep(star_pairs(met, classes, percent), "stars")
     needed = met.where("many > 2").select("id").unionByName(
         stars.select(F.explode(F.array("u", "v")).alias("id"))).distinct()
+    leads = classes.join(needed, "id", "left_semi").select(
+        "id", F.col("lead.doc_id").alias("lead_doc"), F.col(f"lead.{KEY}").alias("lead_key"))
+    source = texts(documents).withColumn(KEY, text_key())
     words_of = keep(
-        texts(documents).withColumnRenamed("doc_id", "id").join(needed, "id", "left_semi")
+        source.join(leads, same_document(source, leads, "lead_doc", "lead_key")).select("id", "text")
         .dropDuplicates(["id"]), "texts")
     links = keep(confirmed(stars, words_of, size, percent), "links")
     families = components(stars)
@@ -353,16 +360,32 @@ def near_duplicates(documents: DataFrame, size: int = 5, percent: int = 80) -> D
         family_links(families, components(links), classes, words_of, size, percent))
     groups = components(links.unionByName(more))
 
-    named = classes.select("digest", F.col("n").alias("n_shingles"), "id").join(groups, "id", "left").select(
-        "digest", "n_shingles", F.coalesce("comp", "id").alias("component_id"))
-    found = (
-        rows.select("doc_id", "n_shingles", "digest").join(named, ["digest", "n_shingles"], "left")
-        .withColumn("component_id", F.coalesce("component_id", "doc_id"))
-        .select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
+    named = classes.select("digest", "n", "lead", "id").join(groups, "id", "left").withColumn(
+        "comp", F.coalesce("comp", "id"))
+    heads = keep(named.groupBy("comp").agg(F.min("lead").alias("head")), "heads")
+    named = named.join(heads, "comp").select("digest", F.col("n").alias("n_shingles"), "head")
+    return (
+        rows.select("doc_id", KEY, "row", "n_shingles", "digest").join(named, ["digest", "n_shingles"], "left")
+        .select(
+            "doc_id", KEY, "n_shingles",
+            F.when(F.col("head").isNull(), F.col("doc_id")).otherwise(F.col("head.doc_id")).alias("component_id"),
+            F.coalesce(F.col("row") == F.col("head.row"), F.lit(True)).alias("first"))
     )
-    if without.isEmpty():
-        return found
-    for column in ("doc_id", "component_id"):
-        found = found.join(without, F.col(column) == F.col("new"), "left").withColumn(
-            column, F.when(F.col("new").isNull(), F.col(column))).drop("new")
-    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def near_duplicates(documents: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+    """Each document's set size and component: ``doc_id, n_shingles, component_id, kept``."""
+    return grouped(documents, size, percent).select(
+        "doc_id", "n_shingles", "component_id",
+        F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("first")).alias("kept"))
+
+
+def distinct_documents(documents: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+    """One document of each component, and all without words, with all their columns."""
+    stays = grouped(documents, size, percent).where("first AND n_shingles > 0").select(
+        F.col("doc_id").alias("_near_doc"), F.col(KEY).alias("_near_key"))
+    own = documents.withColumn("_near_own", text_key())
+    worded = F.coalesce(F.col("text").cast("string"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    same = own["doc_id"].cast("bigint").eqNullSafe(stays["_near_doc"]) & (own["_near_own"] == stays["_near_key"])
+    some = own.where(worded).join(stays, same).dropDuplicates(["_near_doc", "_near_key"])  # rows equal in both
+    return some.select(*documents.columns).unionByName(documents.where(~worded))

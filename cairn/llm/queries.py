@@ -17,7 +17,7 @@ from cairn.llm import (
     centroids, language_id, near_duplicates, packing, quality, repeats, secrets, sentence_pieces, token_counts,
     top_k, toxicity, warc, whitening,
 )
-from cairn.llm.common import remainder
+from cairn.llm.common import KEY, remainder
 from cairn.session import shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -96,8 +96,11 @@ def op3_quality_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op4_repeated_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every line that an earlier document, or the same text before, has as well."""
-    return repeats.repeats(table(spark, sf_dir, "documents"), least_words=10)
+    """Every line, run of sentences and passage of 50 words that an earlier document, or the same text
+    before, has as well."""
+    documents = table(spark, sf_dir, "documents")
+    found = repeats.repeats(documents, least_words=10).unionByName(repeats.passages(documents))
+    return found.drop(KEY)
 
 
 ORACLES["op4_repeated_lines"] = """
@@ -105,7 +108,7 @@ WITH lines AS (
   SELECT doc_id, i, line, coalesce(list_sum(list_transform(parts[1:i - 1], lambda p: length(p) + 1)), 0)::INTEGER AS "begin",
          length(line)::INTEGER AS size, i = len(parts) AS final,
          regexp_extract_all(lower(line), '[^\\x20\\x09-\\x0D]+') AS words
-  FROM (SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents),
+  FROM (SELECT DISTINCT doc_id, text, string_split(text, chr(10)) AS parts FROM documents),
        unnest(parts) WITH ORDINALITY AS u(line, i)),
 units AS (
   SELECT *, len(words)::INTEGER AS n_words, row_number() OVER w AS place,
@@ -128,19 +131,45 @@ runs AS (
   SELECT doc_id, min("begin") AS "begin", max("begin" + size) AS next, sum(len(words))::INTEGER AS n_words,
          arg_min(kept_doc_id, idx) AS kept_doc_id, arg_min(kept_begin, idx) AS kept_begin
   FROM (SELECT *, idx - row_number() OVER (PARTITION BY doc_id ORDER BY idx) AS run FROM sentences WHERE place > 1)
+  GROUP BY doc_id, run),
+pieces AS (
+  SELECT doc_id, i - 1 AS place, lower(regexp_extract(piece, '^[^\\x20\\x09-\\x0D]+')) AS word,
+         length(regexp_extract(piece, '^[^\\x20\\x09-\\x0D]+[\\x20\\x09]*')) AS size,
+         lead + coalesce(sum(length(piece)) OVER (PARTITION BY doc_id ORDER BY i
+           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS "begin"
+  FROM (SELECT DISTINCT doc_id, length(regexp_extract(text, '^[\\x20\\x09-\\x0D]*')) AS lead,
+               regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+[\\x20\\x09-\\x0D]*') AS found FROM documents),
+       unnest(found) WITH ORDINALITY AS u(piece, i)),
+windows AS (
+  SELECT * FROM (
+    SELECT doc_id, place, "begin"::INTEGER AS "begin", (max("begin" + size) OVER w)::INTEGER AS next,
+           count(*) OVER w AS n, md5(string_agg(word, ' ') OVER w) AS key
+    FROM pieces WINDOW w AS (PARTITION BY doc_id ORDER BY place ROWS BETWEEN CURRENT ROW AND 49 FOLLOWING))
+  WHERE n = 50),
+again AS (
+  SELECT *, place > lag(place) OVER (PARTITION BY doc_id ORDER BY place) + 50 AS new FROM (
+    SELECT *, row_number() OVER w AS nth, first_value(doc_id) OVER w AS kept_doc_id, first_value("begin") OVER w AS kept_begin
+    FROM windows WINDOW w AS (PARTITION BY key ORDER BY doc_id, place))
+  WHERE nth > 1),
+passages AS (
+  SELECT doc_id, min("begin") AS "begin", max(next) AS next, (max(place) - min(place) + 50)::INTEGER AS n_words,
+         arg_min(kept_doc_id, place) AS kept_doc_id, arg_min(kept_begin, place) AS kept_begin
+  FROM (SELECT *, sum(coalesce(new, false)::INTEGER) OVER (PARTITION BY doc_id ORDER BY place) AS run FROM again)
   GROUP BY doc_id, run)
 SELECT doc_id, 'unit' AS level, "begin", "begin" + size AS "end",
        ("begin" + size + CASE WHEN final THEN 0 ELSE 1 END)::INTEGER AS next, n_words, kept_doc_id, kept_begin
 FROM units WHERE place > 1
 UNION ALL
 SELECT doc_id, 'run', "begin", next, next, n_words, kept_doc_id, kept_begin FROM runs WHERE n_words >= 25
+UNION ALL
+SELECT doc_id, 'passage', "begin", next, next, n_words, kept_doc_id, kept_begin FROM passages
 """
 
 
 @query
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every candidate of every text with the forest's verdict."""
-    return secrets.scan(table(spark, sf_dir, "documents"))
+    return secrets.scan(table(spark, sf_dir, "documents")).drop(KEY)
 
 
 @query

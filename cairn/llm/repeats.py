@@ -20,10 +20,11 @@ A digest many units share is reduced in the map tasks to its earliest, and units
 these rows, where adaptive execution can split a hot digest.
 
 Defined results: null texts stay null and have no units; texts of any length are taken whole;
-copies, and repeated rows of an id, count as later occurrences, in the order of the rank and then
-of the id (rows equal in both are one document's text repeated: each keeps or loses the same
-units); an empty table gives an empty one. Null ranks come last. Further columns are kept by
-``remove`` whatever their names; names that begin with ``_rep_`` are the operator's.
+copies under other ids count as later occurrences, in the order of the rank, then of the id, then of
+the text's hash. Rows of one id, or without one, are told apart by their texts (``text_key``); rows
+equal in id and text are one document: each keeps or loses the same units. Null ranks and ids come
+last; an empty table gives an empty one. Further columns are kept by ``remove`` whatever their names;
+names that begin with ``_rep_`` are the operator's.
 """
 
 from __future__ import annotations
@@ -36,7 +37,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cairn.llm.common import keep, map_rows
+from cairn.llm.common import KEY, keep, map_rows, same_document, text_key
 from cairn.llm.near_duplicates import mixed, word_hashes
 
 LEAST_WORDS = 10
@@ -61,62 +62,67 @@ def spans(text: str, breaks: re.Pattern) -> Iterator[tuple[int, int, int]]:
     yield begin, len(text), len(text)
 
 
+def source_of(documents: DataFrame, rank: str) -> DataFrame:
+    return documents.select(
+        F.col("doc_id").cast("bigint").alias("doc_id"), text_key().alias(KEY),
+        F.col(rank).cast("bigint").alias("rank"), F.col("text").cast("string").alias("text"))
+
+
 def units(documents: DataFrame, rank: str = "doc_id", least_words: int = LEAST_WORDS, breaks: str = LINES) -> DataFrame:
-    """Each unit that counts: ``rank, doc_id, begin, end, next, n_words, digest``."""
+    """Each unit that counts: ``rank, doc_id, text_key, begin, end, next, n_words, digest``."""
     pattern = re.compile(breaks)
 
     def run(rows: dict) -> dict:
-        names = ("rank", "doc_id", "begin", "end", "next", "n_words", "digest")
+        names = ("rank", "doc_id", KEY, "begin", "end", "next", "n_words", "digest")
         made: dict[str, list] = {n: [] for n in names}
-        for doc, order, text in zip(rows["doc_id"], rows["rank"], rows["text"]):
+        for doc, own, order, text in zip(rows["doc_id"], rows[KEY], rows["rank"], rows["text"]):
             for begin, end, after in spans(text or "", pattern):
                 found = WORDS.findall((text or "")[begin:end].lower())
                 if len(found) >= least_words:
                     same = " ".join(found).encode("utf-8", "surrogatepass")
                     digest = hashlib.blake2b(same, digest_size=16).digest()
-                    for name, value in zip(names, (order, doc, begin, end, after, len(found), digest)):
+                    for name, value in zip(names, (order, doc, own, begin, end, after, len(found), digest)):
                         made[name].append(value)
         return made
 
-    source = documents.select(
-        F.col("doc_id").cast("bigint").alias("doc_id"), F.col(rank).cast("bigint").alias("rank"),
-        F.col("text").cast("string").alias("text"))
+    source = source_of(documents, rank)
     return map_rows(
-        source, "rank bigint, doc_id bigint, begin int, end int, next int, n_words int, digest binary", run)
+        source,
+        f"rank bigint, doc_id bigint, {KEY} bigint, begin int, end int, next int, n_words int, digest binary", run)
 
 
 def sentences(documents: DataFrame, rank: str = "doc_id") -> DataFrame:
-    """Sentences of ``SHORT`` words or more: ``rank, doc_id, place, begin, next, n_words, digest``.
+    """Sentences of ``SHORT`` words or more: ``rank, doc_id, text_key, place, begin, next, n_words, digest``.
     ``place`` counts them in their text. The digest has 64 bits: one of them alone removes
     nothing."""
     import xxhash
 
     def run(rows: dict) -> dict:
-        names = ("rank", "doc_id", "place", "begin", "next", "n_words", "digest")
+        names = ("rank", "doc_id", KEY, "place", "begin", "next", "n_words", "digest")
         made: dict[str, list] = {n: [] for n in names}
-        for doc, order, text in zip(rows["doc_id"], rows["rank"], rows["text"]):
+        for doc, own, order, text in zip(rows["doc_id"], rows[KEY], rows["rank"], rows["text"]):
             begin, place = 0, 0
             for part in SENTENCES.findall(text or ""):
                 found = WORDS.findall(part.lower())
                 if len(found) >= SHORT:
                     digest = xxhash.xxh3_64_intdigest(" ".join(found).encode("utf-8", "surrogatepass"))
-                    values = (order, doc, place, begin, begin + len(part), len(found), digest - (1 << 63))
+                    values = (order, doc, own, place, begin, begin + len(part), len(found), digest - (1 << 63))
                     for name, value in zip(names, values):
                         made[name].append(value)
                     place += 1
                 begin += len(part)
         return made
 
-    source = documents.select(
-        F.col("doc_id").cast("bigint").alias("doc_id"), F.col(rank).cast("bigint").alias("rank"),
-        F.col("text").cast("string").alias("text"))
+    source = source_of(documents, rank)
     return map_rows(
-        source, "rank bigint, doc_id bigint, place int, begin int, next int, n_words int, digest bigint", run)
+        source,
+        f"rank bigint, doc_id bigint, {KEY} bigint, place int, begin int, next int, n_words int, digest bigint", run)
 
 
 def later(found: DataFrame) -> DataFrame:
     """The units that are not the earliest of their digest, with the earliest (``first``)."""
-    order = F.struct(F.col("rank").isNull().alias("last"), "rank", "doc_id", "begin")
+    order = F.struct(
+        F.col("rank").isNull().alias("last"), "rank", F.col("doc_id").isNull().alias("no_id"), "doc_id", KEY, "begin")
     first = keep(  # as a table, so that the join shuffles both sides and a hot digest is split
         found.groupBy("digest").agg(F.min(order).alias("first"), F.max(order).alias("final"))
         .where(F.col("first") != F.col("final")).select("digest", "first"), "firsts")
@@ -127,24 +133,24 @@ def repeats(
     documents: DataFrame, rank: str = "doc_id", least_words: int = LEAST_WORDS, breaks: str = LINES,
     run_words: int = RUN_WORDS,
 ) -> DataFrame:
-    """Each span to remove: ``doc_id, level, begin, end, next, n_words, kept_doc_id, kept_begin``,
-    of ``level`` ``unit`` or ``run``. Spans of the two levels may overlap."""
-    lines = later(keep(units(documents, rank, least_words, breaks), "units")).select(
-        "doc_id", F.lit("unit").alias("level"), "begin", "end", "next", "n_words",
+    """Each span to remove: ``doc_id, text_key, level, begin, end, next, n_words, kept_doc_id,
+    kept_begin``, of ``level`` ``unit`` or ``run``. Spans of the two levels may overlap."""
+    lines = later(keep(units(documents, rank, least_words, breaks), "units")).dropDuplicates(["doc_id", KEY, "begin"]).select(
+        "doc_id", KEY, F.lit("unit").alias("level"), "begin", "end", "next", "n_words",
         F.col("first.doc_id").alias("kept_doc_id"), F.col("first.begin").alias("kept_begin"))
     # Neighbours in a text have places one apart; the difference to their rank names the run.
-    inside = Window.partitionBy("doc_id").orderBy("place")
+    inside = Window.partitionBy("doc_id", KEY).orderBy("place")
     runs = (
         later(keep(sentences(documents, rank), "sentences"))
-        .select("doc_id", "place", "begin", "next", "n_words", "first")
-        .dropDuplicates(["doc_id", "place", "begin", "next"])
+        .select("doc_id", KEY, "place", "begin", "next", "n_words", "first")
+        .dropDuplicates(["doc_id", KEY, "place"])
         .withColumn("run", F.col("place") - F.dense_rank().over(inside))
-        .groupBy("doc_id", "run").agg(
+        .groupBy("doc_id", KEY, "run").agg(
             F.min("begin").alias("begin"), F.max("next").alias("next"),
             F.sum("n_words").cast("int").alias("n_words"), F.min_by("first", "place").alias("first"))
         .where(F.col("n_words") >= run_words)
         .select(
-            "doc_id", F.lit("run").alias("level"), "begin", F.col("next").alias("end"), "next", "n_words",
+            "doc_id", KEY, F.lit("run").alias("level"), "begin", F.col("next").alias("end"), "next", "n_words",
             F.col("first.doc_id").alias("kept_doc_id"), F.col("first.begin").alias("kept_begin"))
     )
     return lines.unionByName(runs)
@@ -178,68 +184,75 @@ def windows(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def anchors(documents: DataFrame) -> DataFrame:
-    """The anchors of every text and how often their words stand there: ``doc_id, digest, n``."""
+    """The anchors of every text and how often their words stand there: ``doc_id, text_key, digest, n``."""
     def run(rows: dict) -> dict:
-        made: dict[str, list] = {n: [] for n in ("doc_id", "digest", "n")}
-        for doc, text in zip(rows["doc_id"], rows["text"]):
+        made: dict[str, list] = {n: [] for n in ("doc_id", KEY, "digest", "n")}
+        for doc, own, text in zip(rows["doc_id"], rows[KEY], rows["text"]):
             runs, some, _ = windows(text or "")
             values, many = np.unique(runs[np.isin(runs, some)], return_counts=True)
             made["doc_id"] += [doc] * len(values)
+            made[KEY] += [own] * len(values)
             made["digest"] += values.tolist()
             made["n"] += many.tolist()
         return made
 
-    source = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return map_rows(source, "doc_id bigint, digest bigint, n bigint", run)
+    source = source_of(documents, "doc_id").drop("rank")
+    return map_rows(source, f"doc_id bigint, {KEY} bigint, digest bigint, n bigint", run)
 
 
 def passages(documents: DataFrame, rank: str = "doc_id") -> DataFrame:
     """The spans of ``PASSAGE`` words or more that stand earlier, as ``repeats`` gives them, of
-    ``level`` ``passage``. Rows without an id have none; see ``common.numbered``."""
+    ``level`` ``passage``."""
     found = keep(anchors(documents), "anchors")
     twice = keep(found.groupBy("digest").agg(F.sum("n").alias("n")).where("n > 1").select("digest"), "twice")
     asked = keep(
-        found.join(twice, "digest").groupBy("doc_id").agg(F.collect_set("digest").alias("anchors")), "asked")
+        found.join(twice, "digest").groupBy("doc_id", KEY).agg(F.collect_set("digest").alias("anchors")), "asked")
 
     def run(rows: dict) -> dict:
-        names = ("rank", "doc_id", "place", "begin", "next", "digest")
+        names = ("rank", "doc_id", KEY, "place", "begin", "next", "digest")
         made: dict[str, list] = {n: [] for n in names}
-        for doc, order, text, some in zip(rows["doc_id"], rows["rank"], rows["text"], rows["anchors"]):
+        for doc, own, order, text, some in zip(*(rows[n] for n in ("doc_id", KEY, "rank", "text", "anchors"))):
             _, its, whole = windows(text or "")
             if not len(its):
                 continue
             words = [m.span() for m in WORDS_AND_BLANKS.finditer(text)]
             for i in np.flatnonzero(np.isin(its, np.array(some, dtype=np.int64))).tolist():
-                values = (order, doc, i, words[i][0], words[i + PASSAGE - 1][1], int(whole[i]))
+                values = (order, doc, own, i, words[i][0], words[i + PASSAGE - 1][1], int(whole[i]))
                 for name, value in zip(names, values):
                     made[name].append(value)
         return made
 
-    source = documents.select(
-        F.col("doc_id").cast("bigint").alias("doc_id"), F.col(rank).cast("bigint").alias("rank"),
-        F.col("text").cast("string").alias("text")).join(asked, "doc_id")
-    whole = map_rows(source, "rank bigint, doc_id bigint, place int, begin int, next int, digest bigint", run)
-    inside = Window.partitionBy("doc_id").orderBy("place", "begin")
+    source = source_of(documents, rank)
+    source = source.join(asked, same_document(source, asked)).select(*(source[c] for c in source.columns), "anchors")
+    whole = map_rows(
+        source, f"rank bigint, doc_id bigint, {KEY} bigint, place int, begin int, next int, digest bigint", run)
+    inside = Window.partitionBy("doc_id", KEY).orderBy("place")
     return (
         later(keep(whole, "windows"))
-        .select("doc_id", "place", "begin", "next", "first").dropDuplicates(["doc_id", "place", "begin", "next"])
+        .select("doc_id", KEY, "place", "begin", "next", "first").dropDuplicates(["doc_id", KEY, "place"])
         .withColumn("new", (F.col("place") > F.lag("place").over(inside) + PASSAGE).cast("int"))
         .withColumn("run", F.sum(F.coalesce("new", F.lit(0))).over(inside))
-        .groupBy("doc_id", "run").agg(
+        .groupBy("doc_id", KEY, "run").agg(
             F.min("begin").alias("begin"), F.max("next").alias("next"),
             (F.max("place") - F.min("place") + PASSAGE).cast("int").alias("n_words"), F.min_by("first", "place").alias("first"))
         .select(
-            "doc_id", F.lit("passage").alias("level"), "begin", F.col("next").alias("end"), "next", "n_words",
+            "doc_id", KEY, F.lit("passage").alias("level"), "begin", F.col("next").alias("end"), "next", "n_words",
             F.col("first.doc_id").alias("kept_doc_id"), F.col("first.begin").alias("kept_begin"))
     )
 
 
 def remove(documents: DataFrame, found: DataFrame, instead: str = "") -> DataFrame:
     """The documents without the spans ``found`` in them (from ``begin`` to ``next``, so a unit goes
-    with the break behind it), with all columns and ``instead`` in each place. Spans may overlap."""
-    lists = found.groupBy(F.col("doc_id").alias("_rep_doc")).agg(
+    with the break behind it), with all columns and ``instead`` in each place. Spans may overlap.
+    Spans without a ``text_key`` are those of all rows of their id."""
+    keys = {"_rep_doc": F.col("doc_id")} | ({"_rep_key": F.col(KEY)} if KEY in found.columns else {})
+    lists = found.groupBy(*(c.alias(n) for n, c in keys.items())).agg(
         F.array_sort(F.collect_set(F.struct("begin", "next"))).alias("_rep_spans"))  # of one document
-    joined = documents.join(lists, documents["doc_id"] == F.col("_rep_doc"), "left")
+    own = documents.withColumn("_rep_own", text_key())
+    same = own["doc_id"].cast("bigint").eqNullSafe(lists["_rep_doc"])
+    if "_rep_key" in keys:
+        same &= own["_rep_own"] == lists["_rep_key"]
+    joined = own.join(lists, same, "left")
     gone = F.col("_rep_spans")
     # Overlapping spans are one: what stays begins behind the furthest end so far.
     furthest = F.transform(gone, lambda s, i: F.array_max(F.transform(F.slice(gone, 1, i + 1), lambda x: x["next"])))

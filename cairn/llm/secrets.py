@@ -23,7 +23,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cairn.llm.common import texts
+from cairn.llm.common import KEY, text_key, texts
 
 TOKEN = r"A-Za-z0-9+/_=.\-"
 CANDIDATE = (
@@ -124,11 +124,11 @@ def train(findings: DataFrame) -> RandomForestClassificationModel:
 
 
 def candidates(documents: DataFrame) -> DataFrame:
-    """``doc_id, begin, next, candidate, before, after`` of all candidates."""
+    """``doc_id, text_key, begin, next, candidate, before, after`` of all candidates."""
     rows = (
         texts(documents).where(F.col("text").rlike(CANDIDATE))
         .select(
-            "doc_id", F.regexp_extract_all("text", F.lit(CANDIDATE), F.lit(0)).alias("hits"),
+            "doc_id", text_key().alias(KEY), F.regexp_extract_all("text", F.lit(CANDIDATE), F.lit(0)).alias("hits"),
             F.split("text", CANDIDATE, -1).alias("parts"))
     )
     sizes = F.zip_with(
@@ -136,9 +136,9 @@ def candidates(documents: DataFrame) -> DataFrame:
         lambda part, hit: part + F.coalesce(hit, F.lit(0)))
     return (
         rows.withColumn("sizes", sizes)
-        .select("doc_id", "hits", "parts", "sizes", F.posexplode("hits").alias("i", "candidate"))
+        .select("doc_id", KEY, "hits", "parts", "sizes", F.posexplode("hits").alias("i", "candidate"))
         .select(
-            "doc_id", "candidate",
+            "doc_id", KEY, "candidate",
             (F.aggregate(F.slice("sizes", 1, F.col("i")), F.lit(0), lambda a, b: a + b)
              + F.char_length(F.get("parts", F.col("i")))).alias("begin"),
             F.right(F.get("parts", F.col("i")), F.lit(NEAR)).alias("before"),
@@ -149,10 +149,10 @@ def candidates(documents: DataFrame) -> DataFrame:
 
 def scan(documents: DataFrame, forest: RandomForestClassificationModel | None = None) -> DataFrame:
     """All candidates with the forest's ``score`` and whether it takes them for a ``secret``:
-    ``doc_id, begin, next, candidate, score, secret``."""
+    ``doc_id, text_key, begin, next, candidate, score, secret``."""
     forest = forest or train(labelled_findings(documents.sparkSession))
     scored = forest.transform(features(candidates(documents)))
     return scored.select(
-        "doc_id", "begin", "next", "candidate",
+        "doc_id", KEY, "begin", "next", "candidate",
         vector_to_array("probability")[1].alias("score"),
     ).withColumn("secret", F.col("score") >= LEAST)
