@@ -1,8 +1,8 @@
 """The corpus pipeline: documents in, packed sequences out.
 
 Each stage takes what the one before kept, and all but the last return the columns of
-``documents``; ``n_chars`` follows a text that changes. Rows without an id are documents of their
-own, after all others; they pass every stage like the rest and keep their null id.
+``documents``; ``n_chars`` follows a text that changes. Rows of one id, or without one, are documents
+of their own, told apart by their texts; they pass every stage like the rest and keep their id.
 """
 
 from __future__ import annotations
@@ -12,12 +12,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cairn.llm import near_duplicates, packing, repeats, secrets, toxicity
-from cairn.llm.common import keep, numbered, remainder, unnumbered
+from cairn.llm.common import KEY, keep, remainder
 
 #: What stands in a text where a secret was.
 REDACTED = "[SECRET]"
-#: Marks documents without an id while a stage gives them one.
-NO_ID = "_cairn_no_id"
 
 
 def recounted(docs: DataFrame) -> DataFrame:
@@ -34,25 +32,20 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first document of each group of near duplicates, on five-word shingles; of rows with
-    the same id, one."""
-    own = numbered(docs, NO_ID)
-    stays = near_duplicates.near_duplicates(own, size=5, percent=80).where("kept").select("doc_id")
-    return unnumbered(own.join(stays, "doc_id", "left_semi").dropDuplicates(["doc_id"]), NO_ID, docs.columns)
+    """One document of each group of near duplicates, on five-word shingles."""
+    return near_duplicates.distinct_documents(docs, size=5, percent=80)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines, and without the passages of 50 words, that an earlier place has."""
-    own = numbered(docs, NO_ID)
-    found = repeats.repeats(own).unionByName(repeats.passages(own))
-    return recounted(unnumbered(repeats.remove(own, found), NO_ID, docs.columns))
+    found = repeats.repeats(docs).unionByName(repeats.passages(docs))
+    return recounted(repeats.remove(docs, found))
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with ``REDACTED`` in place of each secret."""
-    own = numbered(docs, NO_ID)
-    found = keep(secrets.scan(own).where("secret").select("doc_id", "begin", "next"), "secrets")
-    return recounted(unnumbered(repeats.remove(own, found, REDACTED), NO_ID, docs.columns))
+    found = keep(secrets.scan(docs).where("secret").select("doc_id", KEY, "begin", "next"), "secrets")
+    return recounted(repeats.remove(docs, found, REDACTED))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
