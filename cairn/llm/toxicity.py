@@ -36,7 +36,9 @@ WINDOW, STRIDE = 32, 16
 WORD_SIZE, CHAR_SIZE, HIDDEN, BUCKETS = 8, 12, 8, 1 << 13
 SAMPLE, VOCABULARY, LEAST_TEXTS = 800, 20_000, 4
 #: Windows of a text that a training step takes; steps after which long texts are scored anew.
-DRAWN, REFRESH = 256, 75
+DRAWN, REFRESH = 96, 75
+#: One labelled text in so many sets the threshold.
+APART = 5
 STEPS, TEXTS_A_STEP, RATE, SEED = 450, 16, 0.01, 7
 #: The share of words that a training step hides.
 HIDDEN_WORDS = 0.3
@@ -308,13 +310,17 @@ def train_step(
 def train(samples: Samples, steps: int = STEPS) -> Network | None:
     """A network from labelled texts, or None without texts of both labels.
 
-    As many texts of either label make a step; afterwards the threshold that parts the sample
-    best, by F1, is moved to ``THRESHOLD``.
+    As many texts of either label make a step. A text in ``APART`` of either label is not learned
+    from: afterwards the threshold that parts those best, by F1, is moved to ``THRESHOLD`` (that of
+    all texts, if a label has fewer than ``APART``).
     """
     labels = np.array(samples.labels)
-    sides = [np.flatnonzero(labels == side) for side in (0, 1)]
-    if not all(len(s) for s in sides):
+    every = [np.flatnonzero(labels == side) for side in (0, 1)]
+    if not all(len(s) for s in every):
         return None
+    some_apart = all(len(s) >= APART for s in every)
+    sides = [s[np.arange(len(s)) % APART > 0] for s in every] if some_apart else every
+    apart = np.concatenate([s[::APART] for s in every] if some_apart else every)
     names = list(samples.numbers)
     seen = np.zeros(len(names), dtype=np.int64)
     for text in samples.texts:
@@ -339,8 +345,8 @@ def train(samples: Samples, steps: int = STEPS) -> Network | None:
             second[k] += 0.01 * (g * g - second[k])
             change = first[k] / (1 - 0.9 ** step) / (np.sqrt(second[k] / (1 - 0.99 ** step)) + 1e-6)
             setattr(net.weights, k, (getattr(net.weights, k) - rate * change).astype(np.float32))
-    best = [logits.max() for _, logits in window_logits(net, names, samples.texts, range(len(labels)))]
-    net.weights.shift += parting(sigmoid(np.array(best, dtype=float)), labels)
+    best = [logits.max() for _, logits in window_logits(net, names, samples.texts, apart.tolist())]
+    net.weights.shift += parting(sigmoid(np.array(best, dtype=float)), labels[apart])
     return Network(net.weights, net.vocabulary)
 
 
