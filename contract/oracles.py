@@ -534,3 +534,8 @@ SELECT doc_id, length(t) / (2 * padded)::DOUBLE AS negative, 1 / padded::DOUBLE
        (length(t) - length(replace(t, ' ', ''))) / padded::DOUBLE AS positive
 FROM sized
 """
+ORACLES["landed_threads"] = """
+SELECT c.conv_id || '-' || c.turn AS comment_id, c.conv_id::VARCHAR AS submission_id, 'comment' AS kind, c.text AS body,
+       (c.conv_id * 1000 + c.turn)::DOUBLE AS created_utc, s.role AS subreddit, s.text AS title, s.conv_id::INTEGER AS hot_rank
+FROM conversations AS c LEFT JOIN (SELECT * FROM conversations WHERE turn = 0) AS s USING (conv_id) WHERE c.turn > 0
+"""

@@ -59,7 +59,7 @@ from cairn.plans.trails import located_trails, trail_rows, trail_segments
 from cairn.schemas import EPOCH_VARIABLES
 from cairn.session import shared_folder
 from cairn.sources.elements import parse_elements
-from cairn.sources.landed import flatten_comments, walk_comments
+from cairn.sources.landed import flatten_comments, read_comments, read_submissions, walk_comments
 from cairn.sources.split import scan_elements
 from cairn.vocab import GEAR_CATEGORIES, HOT_SUBMISSIONS, WEATHER_SEASON_WORDS, WEATHER_VARIABLES
 from contract import standins as S
@@ -506,6 +506,18 @@ def comment_submission_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def landed_threads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Submissions and comments landed as files, read with the explicit schemas."""
+    folder = f"{shared_folder(spark)}/landed-{uuid.uuid4().hex}"
+    posts = S.submissions(spark, sf_dir).withColumn("hot_rank", F.col("hot_rank").cast("int"))
+    posts.write.parquet(f"{folder}/submissions")
+    S.comments(spark, sf_dir).write.parquet(f"{folder}/comments")
+    submissions, comments = read_submissions(spark, f"{folder}/submissions"), read_comments(spark, f"{folder}/comments")
+    return comments.join(submissions, "submission_id", "left").select(
+        "comment_id", "submission_id", "kind", "body", "created_utc", "subreddit", "title", "hot_rank")
+
+
 @query
 def comment_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     flat = loaded_comments(flatten_comments(S.threads(spark, sf_dir)))
