@@ -1,16 +1,20 @@
 """Quality rules: robust multivariate outliers, in DataFrame functions only.
 
-Each text gets a vector of transformed statistics. Per language and source, the minimum
-covariance determinant finds the half of the texts whose covariance is smallest: from the texts
-nearest the medians it repeats the concentration step (mean and covariance of the nearest half,
-Mahalanobis distances by them, the nearest half again). Every text then gets its distance; those
-beyond the chi-square bound are rejected. Small groups can't bear a covariance: groups of fewer
-than ``LEAST`` texts share one estimate per language, and languages with too few one in all.
+Each text gets a vector of transformed statistics: word length, rates of symbols, repeated lines,
+repeated words, commas and sentence ends, and the share of vowels. Per language and source, the
+minimum covariance determinant looks for the half of the texts whose covariance has the least
+determinant. From three deterministic starts (distances from the medians, and the covariances of
+hyperbolic tangents and of directions around them) it repeats the concentration step (mean and
+covariance of the nearest half, Mahalanobis distances by them, the nearest half again) until the
+determinant falls by less than one part in a hundred; the least one is taken. Mean and covariance
+of all texts inside its chi-square bound then give every text its distance; those beyond ``BOUND`` are
+rejected. Small groups can't bear a covariance: groups of fewer than ``LEAST`` texts share one
+estimate per language, and languages with too few one in all.
 
 Statistics are scaled first, per group, by their median and median absolute deviation. Where half
 of a group or more share one value (no symbols, no repeats) there is no such scale, and no
-covariance: the statistic is left out of the determinant and adds the square of its difference in
-units of ``FLAT``.
+covariance: the statistic is left out of the determinant. Symbols, repeated lines and repeated words
+then add the square of their difference in units of ``FLAT``; the others add nothing.
 
 Everything is grouping and joining: sums of products are aggregated before the shuffle, so a hot
 source moves one row a task, and the nearest half is cut at an approximate quantile.
@@ -30,23 +34,28 @@ from cairn.llm.common import keep
 
 #: White space and symbols of the rules; windows of words for repeats.
 SPACE, SYMBOLS, RUN = r"[\x20\x09-\x0D]+", "#*$%&|<>", 3
+#: What further statistics count.
+COMMAS, ENDS, VOWELS = ",;:", ".!?", "aeiouyAEIOUY"
 LEAST_WORDS, MOST_REPEATED_PERCENT = 50, 50
-#: Groups under this share their language's estimate; steps; and the quantile of chi-square with
-#: four degrees of freedom beyond which a text is rejected (one in a thousand).
-LEAST, STEPS, BOUND = 60, 3, 18.467
-#: The medians of chi-square with one to four degrees of freedom: the half's covariance is too small,
+#: Groups under this share their language's estimate; the least fall of the determinant's logarithm
+#: that asks for one more step; and the quantile of chi-square with seven degrees of freedom beyond
+#: which a text is rejected (one in a thousand).
+LEAST, FALL, BOUND = 60, 0.01, 24.322
+#: The medians of chi-square with one to seven degrees of freedom: the half's covariance is too small,
 #: so distances whose median lies above are scaled down to it.
-MEDIANS = (0.4549, 1.3863, 2.3660, 3.3567)
+MEDIANS = (0.4549, 1.3863, 2.3660, 3.3567, 4.3515, 5.3481, 6.3458)
+#: Its quantiles inside which texts enter the last mean and covariance (975 in a thousand).
+INSIDE = (5.024, 7.378, 9.348, 11.143, 12.833, 14.449, 16.013)
 #: The median absolute deviation of the normal distribution, and the least one that counts as a scale.
 NORMAL, LEAST_SPREAD = 0.67449, 1e-9
-#: The unit of a statistic without a scale: one whose rate is 0 in most texts rejects alone from 0.11
-#: a word on.
-FLAT = 0.173
+#: The unit of a statistic without a scale: one whose rate is 0 in most texts rejects alone from 0.14
+#: a word on. Only the statistics at ``STRICT`` count so.
+FLAT, STRICT = 0.173, (0, 1, 2, 3)
 #: Added to the variances of scaled statistics, against rounding.
 FLOOR = 1e-6
 #: Stands for a null language or source in group keys.
 NO_VALUE = "\x00"
-DIMENSIONS = 4
+DIMENSIONS = 7
 
 
 def let(value: Column, body) -> Column:
@@ -80,6 +89,10 @@ def repeated_words(words: Column) -> Column:
 def statistics(documents: DataFrame) -> DataFrame:
     """``doc_id, lang, source`` and the counts of the base rules, over whole texts."""
     text = F.coalesce(F.col("text"), F.lit(""))
+
+    def number_of(signs: str) -> Column:
+        return (F.char_length("text") - F.char_length(F.translate("text", signs, ""))).cast("bigint")
+
     rows = documents.select(
         F.col("doc_id").cast("bigint").alias("doc_id"), F.col("lang").cast("string").alias("lang"),
         F.col("source").cast("string").alias("source"), text.alias("text"),
@@ -90,9 +103,10 @@ def statistics(documents: DataFrame) -> DataFrame:
         "doc_id", "lang", "source",
         F.size("words").cast("bigint").alias("n_words"),
         F.char_length(F.array_join("words", "")).cast("bigint").alias("word_chars"),
-        (F.char_length("text") - F.char_length(F.translate("text", SYMBOLS, ""))).cast("bigint").alias("n_symbols"),
+        number_of(SYMBOLS).alias("n_symbols"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("bigint").alias("n_dup_lines"),
         repeated_words(F.col("words")).cast("bigint").alias("n_repeat_words"),
+        number_of(COMMAS).alias("n_commas"), number_of(ENDS).alias("n_ends"), number_of(VOWELS).alias("n_vowels"),
     )
 
 
@@ -109,68 +123,118 @@ def vector() -> list[Column]:
         F.log1p(10 * F.col("n_symbols") / words),
         F.log1p(10 * F.col("n_dup_lines") / words),
         F.log1p(10 * F.col("n_repeat_words") / words),
+        F.log1p(10 * F.col("n_commas") / words),
+        F.log1p(10 * F.col("n_ends") / words),
+        F.col("n_vowels") / F.greatest(F.col("word_chars"), F.lit(1)),
     ]
 
 
 PAIRS = [(i, j) for i in range(DIMENSIONS) for j in range(i + 1)]
 
 
-def estimate(rows: DataFrame) -> DataFrame:
-    """Mean and Cholesky factor of the covariance of ``x``, per ``grp``; statistics without a scale
-    have variance 1 and no covariance."""
-    sums = rows.groupBy("grp").agg(
+def estimate(rows: DataFrame, *by: str) -> DataFrame:
+    """Mean of ``x``, the inverse of the Cholesky factor of its covariance (``inverse``, by rows) and the
+    logarithm of the determinant (``det``), per group; statistics without a scale have variance 1,
+    no covariance, and no part in the determinant."""
+    dims = range(DIMENSIONS)
+    sums = rows.groupBy(*by).agg(
         F.first("varies").alias("varies"),
-        *[F.avg(F.col("x")[i]).alias(f"m{i}") for i in range(DIMENSIONS)],
-        *[F.covar_pop(F.col("x")[i], F.col("x")[j]).alias(f"c{i}{j}") for i, j in PAIRS])
-    for j in range(DIMENSIONS):
+        *[F.expr(f"avg(x[{i}]) AS m{i}") for i in dims],
+        *[F.expr(f"covar_pop(x[{i}], x[{j}]) AS c{i}{j}") for i, j in PAIRS])
+    for j in dims:  # a column of the factor l after the other
+        below = {}
         for i in range(j, DIMENSIONS):
-            both = F.col("varies")[i] & F.col("varies")[j]
-            rest = F.when(both, F.col(f"c{i}{j}") + (FLOOR if i == j else 0.0)).otherwise(1.0 if i == j else 0.0)
-            for k in range(j):
-                rest = rest - F.col(f"l{i}{k}") * F.col(f"l{j}{k}")
-            sums = sums.withColumn(
-                f"l{i}{j}", F.sqrt(F.greatest(rest, F.lit(FLOOR))) if i == j else rest / F.col(f"l{j}{j}"))
-    return sums.select(
-        "grp", F.array(*[F.col(f"m{i}") for i in range(DIMENSIONS)]).alias("mean"),
-        F.array(*[F.col(f"l{i}{j}") for i, j in PAIRS]).alias("factor"))
-
-
-def distance(mean: Column, factor: Column) -> Column:
-    """Squared Mahalanobis distance of ``x``, by forward substitution."""
-    def step(i: int, solved: list[Column]) -> Column:
-        rest = F.col("x")[i] - mean[i]
-        for k in range(i):
-            rest = rest - factor[PAIRS.index((i, k))] * solved[k]
-        return rest / factor[PAIRS.index((i, i))]
-
-    def total(i: int, solved: list[Column]) -> Column:
-        if i == DIMENSIONS:
-            out = F.lit(0.0)
-            for s in solved:
-                out = out + s * s
-            return out
-        return let(step(i, solved), lambda value: total(i + 1, [*solved, value]))
-
-    return total(0, [])
+            known = "".join(f" - l{i}{k} * l{j}{k}" for k in range(j))
+            value, other = (f"c{i}{j} + {FLOOR}", "1D") if i == j else (f"c{i}{j}", "0D")
+            below[i] = f"(CASE WHEN varies[{i}] AND varies[{j}] THEN {value} ELSE {other} END){known}"
+        sums = sums.selectExpr("*", f"sqrt(greatest({below.pop(j)}, {FLOOR}D)) AS l{j}{j}")
+        if below:
+            sums = sums.selectExpr("*", *[f"({rest}) / l{j}{j} AS l{i}{j}" for i, rest in below.items()])
+    for i in dims:  # a row of its inverse w after the other
+        sums = sums.selectExpr("*", f"1 / l{i}{i} AS w{i}{i}", *[
+            f"-({' + '.join(f'l{i}{k} * w{k}{j}' for k in range(j, i))}) / l{i}{i} AS w{i}{j}" for j in range(i)])
+    return sums.selectExpr(
+        *by, f"array({', '.join(f'm{i}' for i in dims)}) AS mean",
+        f"array({', '.join(f'w{i}{j}' for i, j in PAIRS)}) AS inverse",
+        f"2 * ({' + '.join(f'ln(l{i}{i})' for i in dims)}) AS det")
+
+
+def distance() -> Column:
+    """Squared Mahalanobis distance of ``x`` by ``mean`` and ``inverse``."""
+    rows = [" + ".join(f"inverse[{PAIRS.index((i, k))}] * (x[{k}] - mean[{k}])" for k in range(i + 1))
+            for i in range(DIMENSIONS)]
+    return F.expr(" + ".join(f"pow({row}, 2)" for row in rows))
+
+
+def starts(points: DataFrame) -> DataFrame:
+    """The estimates that concentration begins with, per ``grp`` and ``start``, around the medians."""
+    size = F.sqrt(sum((F.col("x")[i] * F.col("x")[i] for i in range(DIMENSIONS)), F.lit(FLOOR)))
+    bent = points.select("grp", "varies", F.explode(F.array(
+        F.struct(F.lit(1).alias("start"), F.transform("x", F.tanh).alias("x")),
+        F.struct(F.lit(2).alias("start"), F.transform("x", lambda v: v / size).alias("x")))).alias("s")).select(
+        "grp", "varies", "s.start", "s.x")
+    middle = F.array(*[F.lit(0.0)] * DIMENSIONS)
+    around = estimate(bent, "grp", "start").withColumn("mean", middle)
+    plain = around.where(F.col("start") == 1).withColumns({
+        "start": F.lit(0), "inverse": F.array(*[F.lit(float(i == j)) for i, j in PAIRS])})
+    return around.unionByName(plain).withColumn("det", F.lit(float("inf")))
+
+
+def least_determinant(points: DataFrame) -> DataFrame:
+    """Per ``grp`` the ``mean``, ``inverse`` and ``det`` of the half of its points (``grp, varies, x``)
+    with the least determinant that concentration finds."""
+    active, met = keep(starts(points), "starts"), []
+    while True:  # ends: every further step needs a fall of FALL, and FLOOR bounds the determinant
+        near = points.join(active.drop("det"), "grp").select("grp", "start", "varies", "x", distance().alias("d"))
+        cuts = keep(near.groupBy("grp", "start").agg(F.percentile_approx("d", 0.5, 1000).alias("cut")), "cuts")
+        half = near.join(cuts, ["grp", "start"]).where(F.col("d") <= F.col("cut"))
+        moved = keep(estimate(half, "grp", "start"), "halves")
+        met.append(moved)
+        before = active.select("grp", "start", F.col("det").alias("before"))
+        active = moved.join(before, ["grp", "start"]).where(F.col("det") < F.col("before") - FALL).drop("before")
+        active = keep(active, "falling")
+        if active.isEmpty():
+            break
+    together = met[0]
+    for moved in met[1:]:
+        together = together.unionByName(moved)
+    best = together.groupBy("grp").agg(F.min_by(F.struct("mean", "inverse", "det"), F.struct("det", "start")).alias("b"))
+    return keep(best.select("grp", "b.*"), "least")
+
+
+def calibrated(points: DataFrame, found: DataFrame) -> DataFrame:
+    """``found`` with the ``scale`` that brings the median distance of a group's points down to that of
+    chi-square."""
+    near = points.join(found, "grp").select("grp", "varies", distance().alias("d"))
+    middles = near.groupBy("grp").agg(
+        F.percentile_approx("d", 0.5, 1000).alias("middle"), degrees(F.first("varies")).alias("degrees"))
+    median = F.get(F.array(*[F.lit(m) for m in MEDIANS]), F.greatest(F.col("degrees") - 1, F.lit(0)))
+    scales = middles.select("grp", "degrees", (median / F.greatest(F.col("middle"), median)).alias("scale"))
+    return keep(found.join(scales, "grp"), "calibrated")
+
+
+def degrees(varies: Column) -> Column:
+    return F.size(F.filter(varies, lambda v: v))
+
+
+def reweighted(points: DataFrame, found: DataFrame) -> DataFrame:
+    """Mean and covariance of all points inside the chi-square bound of the least determinant's."""
+    inside = F.get(F.array(*[F.lit(m) for m in INSIDE]), F.greatest(F.col("degrees") - 1, F.lit(0)))
+    near = points.join(found, "grp").where(distance() * F.col("scale") <= inside)
+    return keep(estimate(near.select("grp", "varies", "x"), "grp"), "reweighted")
 
 
 def scaled(rows: DataFrame) -> DataFrame:
     """``x`` in units of its group's spreads, 0 for statistics without one; those make ``flat``."""
     off = [F.col("x")[i] - F.col("middles")[i] for i in range(DIMENSIONS)]
     varies = [F.col("varies")[i] for i in range(DIMENSIONS)]
-    flat = sum((F.when(varies[i], 0.0).otherwise(F.pow(off[i] / FLAT, F.lit(2))) for i in range(DIMENSIONS)), F.lit(0.0))
+    flat = sum((F.when(varies[i], 0.0).otherwise(F.pow(off[i] / FLAT, F.lit(2))) for i in STRICT), F.lit(0.0))
     return rows.withColumns({
         "flat": flat,
         "x": F.when(F.col("x").isNotNull(), F.array(*[
             F.when(varies[i], off[i] / F.col("spreads")[i]).otherwise(0.0) for i in range(DIMENSIONS)]))})
 
 
-def nearest_half(rows: DataFrame) -> DataFrame:
-    """Rows with ``d`` at most about the median of their group."""
-    cuts = rows.groupBy("grp").agg(F.percentile_approx("d", 0.5, 1000).alias("cut"))
-    return rows.join(cuts, "grp").where(F.col("d") <= F.col("cut"))
-
-
 def groups(good: DataFrame) -> DataFrame:
     """For each ``lang_key`` and ``source_key`` the group whose estimate it takes."""
     sizes = good.groupBy("lang_key", "source_key").agg(F.count("*").alias("n"))
@@ -190,7 +254,7 @@ def outliers(counted: DataFrame) -> DataFrame:
         f"{c}_key": F.coalesce(F.col(c), F.lit(NO_VALUE)) for c in ("lang", "source")})
     good = keyed.where(~F.col("base_failed"))
     rows = keep(
-        keyed.join(groups(good), ["lang_key", "source_key"], "left")
+        keyed.join(keep(groups(good), "groups"), ["lang_key", "source_key"], "left")
         .withColumn("x", F.when(~F.col("base_failed"), F.array(*vector()))), "vectors")
     vectors = rows.where(~F.col("base_failed")).select("grp", "x")
 
@@ -203,20 +267,12 @@ def outliers(counted: DataFrame) -> DataFrame:
             for i in range(DIMENSIONS)]).alias("spreads"))
         .withColumn("varies", F.transform("spreads", lambda s: s > LEAST_SPREAD)), "spreads")
     rows = scaled(rows.join(spreads, "grp", "left"))
-    vectors = rows.where(~F.col("base_failed")).select("grp", "x", "varies")
-    near = vectors.withColumn("d", sum((F.col("x")[i] * F.col("x")[i] for i in range(DIMENSIONS)), F.lit(0.0)))
-    found = None
-    for step in range(STEPS):
-        found = keep(estimate(nearest_half(near)), f"estimate{step}")
-        near = vectors.join(found, "grp").select(
-            "grp", "x", "varies", distance(F.col("mean"), F.col("factor")).alias("d"))
-    scales = keep(near.groupBy("grp").agg(F.percentile_approx("d", 0.5, 1000).alias("middle")), "scales")
-    degrees = F.size(F.filter("varies", lambda v: v))
-    median = F.get(F.array(*[F.lit(m) for m in MEDIANS]), F.greatest(degrees - 1, F.lit(0)))
-    total = distance(F.col("mean"), F.col("factor")) * median / F.greatest(F.col("middle"), median) + F.col("flat")
+    points = keep(rows.where(~F.col("base_failed")).select("grp", "varies", "x"), "points")
+    least = calibrated(points, least_determinant(points))
+    found = calibrated(points, reweighted(points, least)).drop("degrees")
     return (
-        rows.join(found, "grp", "left").join(scales, "grp", "left")
-        .withColumn("distance", F.when(~F.col("base_failed"), total))
+        rows.join(found, "grp", "left")
+        .withColumn("distance", F.when(~F.col("base_failed"), distance() * F.col("scale") + F.col("flat")))
         .withColumn("kept", ~F.col("base_failed") & (F.coalesce("distance", F.lit(0.0)) <= BOUND))
         .select(*counted.columns, "base_failed", "distance", "kept")
     )
