@@ -183,16 +183,17 @@ def starts(points: DataFrame) -> DataFrame:
 def least_determinant(points: DataFrame) -> DataFrame:
     """Per ``grp`` the ``mean``, ``inverse`` and ``det`` of the half of its points (``grp, varies, x``)
     with the least determinant that concentration finds."""
-    active, met = keep(starts(points), "starts"), []
+    before, met = keep(starts(points), "starts"), []
+    active = before
     while True:  # ends: every further step needs a fall of FALL, and FLOOR bounds the determinant
         near = points.join(active.drop("det"), "grp").select("grp", "start", "varies", "x", distance().alias("d"))
         cuts = keep(near.groupBy("grp", "start").agg(F.percentile_approx("d", 0.5, 1000).alias("cut")), "cuts")
         half = near.join(cuts, ["grp", "start"]).where(F.col("d") <= F.col("cut"))
         moved = keep(estimate(half, "grp", "start"), "halves")
         met.append(moved)
-        before = active.select("grp", "start", F.col("det").alias("before"))
-        active = moved.join(before, ["grp", "start"]).where(F.col("det") < F.col("before") - FALL).drop("before")
-        active = keep(active, "falling")
+        active = moved.join(before.select("grp", "start", F.col("det").alias("was")), ["grp", "start"]).where(
+            F.col("det") < F.col("was") - FALL).drop("was")
+        before = moved
         if active.isEmpty():
             break
     together = met[0]

@@ -1,8 +1,9 @@
 """Secret scan: candidates by pattern, false positives removed by a random forest. DataFrame
 functions and Spark's own forest only; no Python runs on executors.
 
-Candidates are long runs of token characters with a digit, and quoted values behind ``=`` or
-``:``. Their places follow from the texts between them. Each candidate is described by its length,
+Candidates are long runs of token characters with a digit, quoted values of eight characters and
+more behind ``=`` or ``:``, and whatever stands behind a secret word (``ASSIGNED``) with ``=`` or
+``:``, quoted or not, of any length, up to a blank or quote and without closing signs. Their places follow from the texts between them. Each candidate is described by its length,
 classes of characters and the transitions between them, how much of it dictionary words cover,
 whether it looks like a path, and the words before and after it. A random forest trained from
 labelled findings tells secrets from other candidates.
@@ -26,9 +27,14 @@ from pyspark.sql import functions as F
 from cairn.llm.common import KEY, text_key, texts
 
 TOKEN = r"A-Za-z0-9+/_=.\-"
+#: Names whose values are candidates whatever they look like.
+ASSIGNED = r"pass(?:word|wd|phrase)?|pwd|secret|token|(?:api|access|private|secret|auth)[_-]?key|credentials?"
+#: Java looks back a bounded way only: up to three blanks on either side of the sign.
+BEHIND = rf"""(?<=[:=]\s{{0,3}}["']?)(?<=(?i:{ASSIGNED})["']?\s{{0,3}}[:=]\s{{0,3}}["']?)"""
 CANDIDATE = (
-    rf"(?<![{TOKEN}])(?=[A-Za-z+/_=.\-]*+[0-9])[{TOKEN}]{{16,}}+"
-    r"""|(?<=[:=]["'])[^\s"']{8,200}+(?=["'])|(?<=[:=] ["'])[^\s"']{8,200}+(?=["'])"""
+    rf"""{BEHIND}(?<=[:=\s"'])[^\s"']*[^\s"'()\[\]{{}}<>.,;:=]"""
+    rf"|(?<![{TOKEN}])(?=[A-Za-z+/_=.\-]*+[0-9])[{TOKEN}]{{16,}}+"
+    r"""|(?<=[:=]["'])[^\s"']{8,}+(?=["'])|(?<=[:=] ["'])[^\s"']{8,}+(?=["'])"""
 )
 NEAR = 40
 TREES, DEPTH, SEED, EXAMPLES = 24, 6, 11, 60
@@ -47,6 +53,7 @@ DICTIONARY = (
 #: Words that tell what stands next to a candidate.
 SECRET_WORDS = ("token", "secret", "passw", "api_key|api-key|apikey", "access", "private", "auth|bearer", "key")
 OTHER_WORDS = ("commit|revision|sha|digest|checksum", "version|build|release", "https?:|www|href|src", "uuid|id|ref", "path|file|folder")
+WORDS = ", ".join(f"'{w}'" for w in DICTIONARY)
 KINDS = (
     # label, text before, candidate by SQL over ``h`` (hex digits of a hash) and ``n``, text after
     (1, 'token = "', "substr(h, 1, 40)", '"'),
@@ -67,6 +74,16 @@ KINDS = (
     (0, 'title: "', "'report-' || n || '-final-version'", '"'),
     (0, "mail ", "'some.user' || n || '-name.example.com'", " the"),
     (0, 'name = "', "'default_user_value'", '"'),
+    (1, "password: ", "substr(b, 1, 8 + n % 7) || '&' || n % 10", " "),
+    (1, "password=", "translate(substr(b, 1, 10), '0123456789', '@$!%#^&*~?')", " "),
+    (1, "api-key: ", "substr(b, 5, 8)", " "),
+    (1, "token=", "translate(substr(b, 1, 34), '0123456789', 'qwertZUIOP')", " "),
+    (1, 'secret_key = "', "b || b || b || b || b || b", '"'),
+    (0, "password: ", f"element_at(array({WORDS}), int(n % {len(DICTIONARY)}) + 1)", " "),
+    (0, "the token: ", f"initcap(element_at(array({WORDS}), int(n * 7 % {len(DICTIONARY)}) + 1))", " and"),
+    (0, "secret = ", f"element_at(array({WORDS}), int(n * 5 % {len(DICTIONARY)}) + 1) || '_' || element_at(array({WORDS}), int(n * 3 % {len(DICTIONARY)}) + 1)", " "),
+    (0, "token: ", "lower(translate(substr(b, 1, 3 + n % 5), '0123456789', 'aeioulnrst'))", " "),
+    (0, "token = ", "element_at(array('None', 'null', 'str', '$TOKEN', '1', '0', 'xxxxxxxx', '********', 'true'), int(n % 9) + 1)", " "),
 )
 
 

@@ -521,6 +521,31 @@ def test_secrets_are_found_and_others_left(spark, forest):
     assert all(text[r.doc_id][r.begin:r.next] == r.candidate for r in found)
 
 
+def test_values_behind_secret_words_are_candidates(spark, forest):
+    letters, long = "abcdefghijklmnopQRSTUVWXYZabcdefg", "aB3@" * 60
+    rows = [
+        ("password: Tr0ub4dor&3", "Tr0ub4dor&3", True), ("api-key: abcdEF12", "abcdEF12", True),
+        (f"use token={letters}, then", letters, True), (f'some.setting = "{long}"', long, None),
+        (f'secret: "{long}"', long, True), ("PASSWORD='s3cr3t!!'", "s3cr3t!!", None), ("pwd:a1b", "a1b", None),
+        ("password: required for all", "required", False), ("token: None.", "None", False),
+        (f"password: {long * 500}", long * 500, True),
+    ]
+    docs = spark.createDataFrame([(i, r[0]) for i, r in enumerate(rows)], "doc_id bigint, text string")
+    found = {r.doc_id: r for r in secrets.scan(docs, forest).collect()}
+    for i, (text, value, secret) in enumerate(rows):
+        assert found[i].candidate == value and text[found[i].begin:found[i].next] == value
+        assert secret is None or found[i].secret == secret, text
+
+
+def test_given_secrets_are_found_by_an_independent_rule(spark, forest):
+    """Hex tokens behind a name that says so, by Python's own patterns, against the forest's verdicts."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rule = re.compile(r"""(?i)(?:key|token|secret|pass\w*)\s*[=:]\s*["']?([0-9a-f]{32,64})(?![0-9a-z])""")
+    want = {(r.doc_id, m.start(1)) for r in docs.collect() for m in rule.finditer(r.text or "")}
+    got = {(r.doc_id, r.begin) for r in secrets.scan(docs, forest).where("secret").collect()}
+    assert want and got == want
+
+
 def test_secrets_of_edges(edges, nothing, forest):
     assert all(not r.secret for r in secrets.scan(edges, forest).collect())
     assert secrets.scan(nothing, forest).count() == 0

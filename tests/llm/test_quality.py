@@ -88,7 +88,7 @@ def test_outliers_of_two_statistics_at_once(spark):
 
 def test_equal_rows_and_small_groups(spark):
     """No statistic varies: nothing is far from the rest but what has a strict statistic of its own."""
-    rows = [counted(0, 30, 15)] * 70 + [(9, None, None, 200, 1000, 150, 0, 0, 30, 15, 400)]
+    rows = [counted(0, 30, 15)] * 70 + [(9, "en", "s", 200, 1000, 150, 0, 0, 30, 15, 400)]
     got = quality.outliers(spark.createDataFrame(rows, FIELDS)).collect()
     assert len(got) == 71 and all(r.kept for r in got if r.doc_id == 0)
     assert [r.kept for r in got if r.doc_id == 9] == [False]
