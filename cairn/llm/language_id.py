@@ -15,19 +15,28 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cairn.llm.common import keep, map_rows, texts
 
 UNDETERMINED = "und"
-#: Of each language, so many labelled texts, by their ids' hashes, and characters of each at most
-#: fill its dictionary; and so many languages are learned at most. They bound what the driver gets.
-SAMPLE_TEXTS, SAMPLE_CHARS, LANGUAGES = 100, 2000, 200
+#: Of each language, so many labelled texts, by their ids' hashes, fill its dictionary, each with
+#: ``WINDOWS`` windows at equal steps from its begin to its end that hold so many characters together;
+#: where all languages would take more than ``ALL_CHARS``, each gets an equal, smaller share. They
+#: bound what the driver gets; no language is left out.
+SAMPLE_TEXTS, SAMPLE_CHARS, WINDOWS, ALL_CHARS = 100, 2000, 8, 40_000_000
 PARTS = 32
 BLOCK, LEVEL, NARROW = 1024, 9, 0.02
 
 
+def windows(text: Column, size: int) -> Column:
+    """``WINDOWS`` windows of ``size`` characters over the whole text, or the text where they hold it all."""
+    step = (F.char_length(text) - size) / (WINDOWS - 1)
+    parts = [F.substring(text, F.floor(step * i).cast("int") + 1, F.lit(size)) for i in range(WINDOWS)]
+    return F.when(F.char_length(text) <= size * WINDOWS, text).otherwise(F.concat_ws("\n", *parts))
+
+
 def learn(labelled: DataFrame) -> dict[str, bytes]:
     """A dictionary of raw text for each ``lang``, from ``doc_id``, ``text`` and ``lang``."""
     known = labelled.where(F.col("lang").isNotNull() & (F.trim(F.col("text")) != "")).select(
@@ -39,12 +48,11 @@ def learn(labelled: DataFrame) -> dict[str, bytes]:
     chosen = keep(  # first of each part of a language, so that no task gets all its rows
         hashed.withColumn("place", F.row_number().over(inside)).where(F.col("place") <= SAMPLE_TEXTS)
         .withColumn("place", F.row_number().over(first)).where(F.col("place") <= SAMPLE_TEXTS), "languages")
-    langs = chosen.groupBy("lang").count().orderBy("lang").limit(LANGUAGES + 1).collect()
-    if len(langs) > LANGUAGES:
-        raise ValueError(f"more than {LANGUAGES} languages are labelled")
+    langs = chosen.select("lang").distinct().count()
+    window = max(1, min(SAMPLE_CHARS, ALL_CHARS // max(1, langs * SAMPLE_TEXTS)) // WINDOWS)
     rows = (
         known.join(F.broadcast(chosen.select("doc_id", "lang", "place")), ["doc_id", "lang"])
-        .select("lang", "place", F.substring("text", 1, SAMPLE_CHARS).alias("text")).collect()
+        .select("lang", "place", windows(F.col("text"), window).alias("text")).collect()
     )
     out: dict[str, list[str]] = {}
     for lang, _, text in sorted(tuple(r) for r in rows):

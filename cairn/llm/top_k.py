@@ -9,8 +9,11 @@ meet, a cover tree of either is walked together: a pair of nodes is dropped by t
 against the worst kth score of the query node's members.
 
 Pivots are a bounded sample by hash (``PIVOTS``); every vector is in a block, and a pivot with many
-vectors, copies too, is split by hash into blocks of about ``BLOCK``. Queries are a stated set, met
-with all rows in blocks. Results are exact integers.
+vectors, copies too, is split by hash into blocks of about ``VALUES`` components. Queries are a stated
+set, met with all rows in blocks; theirs hold as many components and go on from one pivot to the next,
+so few queries are one block. A pair of blocks that meets is shuffled in the narrowest integers that
+hold it, so N vectors and Q queries of d components move about ``2 N Q d / VALUES`` vectors at most.
+Results are exact integers.
 
 Defined results: vectors that are null, empty, or hold nulls or non-finite values take no part; a
 query's candidates are the vectors of its length, without its own id; ties go to the smaller id;
@@ -30,7 +33,7 @@ from pyspark.sql import functions as F
 
 from cairn.llm.common import keep, ship
 
-PIVOTS, BLOCK, LEAF = 64, 2048, 48
+PIVOTS, VALUES, LEAF = 64, 1 << 20, 128
 #: Room for rounding in bounds, which are computed in floating point.
 ROUND = 1e-9
 
@@ -48,8 +51,9 @@ class Node:
 
 
 def cover_tree(points: np.ndarray, members: np.ndarray | None = None) -> Node:
-    """A cover tree: a node's children are a net of its members at half its radius, each taking
-    the members that are nearest to it."""
+    """A cover tree: a node's children are a net of its members, farthest first, at half its radius or
+    as near as ``LEAF`` children come, each taking the members that are nearest to it. Every node has
+    the radius that really covers its members."""
     if members is None:
         members = np.arange(len(points))
     some = points[members]
@@ -106,10 +110,10 @@ class Search:
     def _compare(self, some: np.ndarray, members: np.ndarray) -> None:
         a, b = self.queries[some], self.vectors[members]
         scores = (a.astype(float) @ b.astype(float).T).astype(np.int64) if self.exact else a @ b.T
-        for row, q in zip(scores, some):
-            take = np.flatnonzero((row >= self.worst[q]) & (self.ids[members] != self.query_ids[q]))
-            if not len(take):
-                continue
+        enough = scores >= self.worst[some][:, None]
+        for i in np.flatnonzero(enough.any(axis=1)):
+            row, q = scores[i], some[i]
+            take = np.flatnonzero(enough[i] & (self.ids[members] != self.query_ids[q]))
             s = np.concatenate([self.scores[q], row[take]])
             ids = np.concatenate([self.found[q], self.ids[members[take]]])
             best = np.lexsort((ids, -s))[:self.k]
@@ -172,11 +176,33 @@ def dealt(vectors: DataFrame) -> DataFrame:
 BLOCKS = "block bigint, dim int, size int, center array<double>, radius double, ids binary, data binary"
 
 
-def packed(rows: DataFrame) -> DataFrame:
-    """One row for each block: its centre, radius, ids and vectors."""
+def narrowest(points: np.ndarray) -> bytes:
+    """The integers as bytes, in 2, 4 or 8 each."""
+    low, high = points.min(initial=0), points.max(initial=0)
+    kind = next(k for k in (np.int16, np.int32, np.int64) if np.iinfo(k).min <= low and high <= np.iinfo(k).max)
+    return points.astype(kind).tobytes()
+
+
+def widened(data: bytes, rows: int, dim: int) -> np.ndarray:
+    kind = {2: np.int16, 4: np.int32, 8: np.int64}[len(data) // (rows * dim)]
+    return np.frombuffer(data, kind).reshape(rows, dim).astype(np.int64)
+
+
+def packed(rows: DataFrame, across: bool = False) -> DataFrame:
+    """One row for each block: its centre, radius, ids and vectors. Blocks ``across`` pivots go on from
+    one to the next; others hold vectors of one pivot."""
     counts = rows.groupBy("dim", "pivot").agg(F.count("*").alias("n"))
-    dealt_rows = rows.join(counts, ["dim", "pivot"]).withColumn(
-        "part", F.pmod(F.xxhash64("vec_id"), F.ceil(F.col("n") / BLOCK)))
+    size = F.greatest(F.floor(F.lit(VALUES) / F.col("dim")), F.lit(1))
+    place = F.pmod(F.xxhash64("vec_id"), F.col("n"))
+    if across:  # at most PIVOTS counts a length are summed up
+        before = Window.partitionBy("dim").orderBy("pivot").rowsBetween(Window.unboundedPreceding, -1)
+        counts = counts.withColumn("start", F.coalesce(F.sum("n").over(before), F.lit(0)))
+        part = F.floor((F.col("start") + place) / size)
+    else:
+        part = F.pmod(place, F.ceil(F.col("n") / size))
+    dealt_rows = rows.join(keep(counts, "counts"), ["dim", "pivot"]).withColumn("part", part).drop("start")
+    if across:
+        dealt_rows = dealt_rows.withColumn("pivot", F.lit(0))
 
     def run(table: pa.Table) -> pa.Table:
         points = matrix(table)
@@ -189,7 +215,7 @@ def packed(rows: DataFrame) -> DataFrame:
             "dim": pa.array([key[0]], pa.int32()), "size": pa.array([len(ids)], pa.int32()),
             "center": pa.array([center.tolist()], pa.list_(pa.float64())), "radius": pa.array([radius], pa.float64()),
             "ids": pa.array([ids.astype(np.int64).tobytes()], pa.binary()),
-            "data": pa.array([points.astype(np.int64).tobytes()], pa.binary()),
+            "data": pa.array([narrowest(points)], pa.binary()),
         })
 
     return dealt_rows.drop("n").groupBy("dim", "pivot", "part").applyInArrow(run, BLOCKS)
@@ -210,8 +236,8 @@ def meet(pairs: DataFrame, k: int) -> DataFrame:
             for row in range(batch.num_rows):
                 x = {n: c[row].as_py() for n, c in zip(batch.schema.names, batch.columns)}
                 query_ids, ids = np.frombuffer(x["q_ids"], np.int64), np.frombuffer(x["ids"], np.int64)
-                queries = np.frombuffer(x["q_data"], np.int64).reshape(len(query_ids), -1)
-                vectors = np.frombuffer(x["data"], np.int64).reshape(len(ids), -1)
+                queries = widened(x["q_data"], len(query_ids), x["dim"])
+                vectors = widened(x["data"], len(ids), x["dim"])
                 floors = np.frombuffer(x["floors"]) if x["floors"] else np.full(len(query_ids), -np.inf)
                 search = Search(queries, query_ids, vectors, ids, k, floors)
                 search.run()
@@ -247,7 +273,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5) -> DataFrame:
     ``query_id, rank, vec_id, score``."""
     rows = keep(dealt(vectors), "dealt")
     data = keep(packed(rows), "blocks")
-    queries = keep(packed(rows.where(is_query)), "query-blocks").withColumnsRenamed({
+    queries = keep(packed(rows.where(is_query), across=True), "query-blocks").withColumnsRenamed({
         "block": "query_block", "center": "q_center", "radius": "q_radius", "ids": "q_ids", "data": "q_data"})
     norm = lambda c: F.sqrt(dot(F.col(c), F.col(c)))
     bound = (
@@ -259,7 +285,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5) -> DataFrame:
         .join(data.select("block", "dim", "center", "radius"), "dim")
         .select("query_block", "block", (bound + ROUND * (1 + F.abs(bound) + norm("center") * norm("q_center"))).alias("bound")), "bounds")
     first = bounds.groupBy("query_block").agg(F.max_by("block", F.struct("bound", "block")).alias("block"))
-    vectors_of = data.select("block", "ids", "data")
+    vectors_of = data.select("block", "dim", "ids", "data")
     queries_of = queries.select("query_block", "q_ids", "q_data")
     begun = keep(
         meet(first.join(queries_of, "query_block").join(vectors_of, "block").withColumn("floors", F.lit(None).cast("binary")), k), "begun")

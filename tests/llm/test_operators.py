@@ -203,6 +203,15 @@ def test_languages_of_edges(edges, documents, nothing):
     assert language_id.learn(nothing) == {} and language_id.identify(nothing, samples).count() == 0
 
 
+def test_samples_reach_the_end_of_long_texts_and_every_language(spark, monkeypatch):
+    rows = [(i, f"{'x' * 30000}ende{i}", f"l{i}") for i in range(250)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    learned = language_id.learn(frame)
+    assert len(learned) == 250 and all(learned[f"l{i}"].endswith(f"ende{i}".encode()) for i in range(250))
+    monkeypatch.setattr(language_id, "ALL_CHARS", 250 * 100 * 80)
+    assert {len(v) for v in language_id.learn(frame).values()} == {8 * 10 + 7}
+
+
 def test_null_labels_are_not_learned(edges):
     assert set(language_id.learn(edges)) == {"en", "de"}
 
