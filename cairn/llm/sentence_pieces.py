@@ -6,8 +6,9 @@ ends there, and the best chain to that position is relaxed with each of them:
 * in a *unigram* model a chain's worth is the sum of its pieces' scores, the highest wins;
 * in a *byte-pair* model scores only order the merges, and the highest sum is not what the
   library gives. There a piece may follow only where it is *stable* behind the last piece of the
-  best chain (encoding both together gives just these two); exactly one piece is, and the chain
-  is the library's result.
+  best chain (merging the characters of both in the order of the scores gives just these two);
+  exactly one piece is, and the chain is the library's result. User-defined pieces, which such
+  models cut out first, are refused.
 
 Characters no piece holds become byte pieces, or the unknown piece. No piece crosses the border
 before a blank, so words are encoded apart and a bounded number of them is remembered.
@@ -58,13 +59,14 @@ class Pieces:
         self.dummy_prefix = spec.add_dummy_prefix
         self.plain = not spec.precompiled_charsmap and not spec.remove_extra_whitespaces
         self.library = sentencepiece.SentencePieceProcessor(model_proto=model)
-        spec.add_dummy_prefix = False
-        self.raw = sentencepiece.SentencePieceProcessor(model_proto=proto.SerializeToString())
         self.piece = [p.piece for p in proto.pieces]
         self.scores = [p.score for p in proto.pieces]
         self.unknown = next(i for i, p in enumerate(proto.pieces) if p.type == UNKNOWN)
         self.bytes = {int(p.piece[3:5], 16): i for i, p in enumerate(proto.pieces) if p.type == BYTE}
         whole = {p.piece: i for i, p in enumerate(proto.pieces) if p.type in (NORMAL, USER_DEFINED)}
+        if self.byte_pairs and any(p.type == USER_DEFINED for p in proto.pieces):
+            raise ValueError("user-defined pieces of a byte-pair model are not known here")
+        self.worth = {p: self.scores[i] for p, i in whole.items()}
         self.characters = {p for p in whole if len(p) == 1}
         self.unknown_score = min((self.scores[i] for i in whole.values()), default=0.0) - UNKNOWN_PENALTY
         self.automaton = ahocorasick.Automaton()
@@ -86,11 +88,25 @@ class Pieces:
         self.pairs: dict[int, bool] = {}
         self.unit_ids = Remembered(self._unit, REMEMBERED)
 
+    def merged(self, text: str) -> list[str]:
+        """The characters of a short text, neighbours merged while they make a piece: the highest score
+        first, the leftmost of equal ones."""
+        parts, worth = list(text), self.worth
+        while True:
+            best, at = -np.inf, -1
+            for i in range(len(parts) - 1):
+                score = worth.get(parts[i] + parts[i + 1], -np.inf)
+                if score > best:
+                    best, at = score, i
+            if at < 0:
+                return parts
+            parts[at:at + 2] = [parts[at] + parts[at + 1]]
+
     def _stable(self, left: int, right: int, key: int) -> bool:
         if len(self.pairs) >= 4 * REMEMBERED:
             self.pairs.clear()
-        pair = [right] if left == NONE else [left, right]
-        known = self.pairs[key] = self.raw.encode("".join(self.piece[i] for i in pair)) == pair
+        pair = [self.piece[i] for i in (left, right) if i != NONE]
+        known = self.pairs[key] = self.merged("".join(pair)) == pair
         return known
 
     def _chain(self, unit: str) -> list[tuple[int, int]]:
