@@ -44,8 +44,9 @@ from cairn.llm.common import KEY, Remembered, keep, map_rows, same_document, tex
 
 BANDS, ROWS, SEED = 32, 5, 5
 SAMPLES, BITS = BANDS * ROWS, 512
-#: Rows of a block of sketches, and of a block of texts.
-BLOCK, TEXT_BLOCK = 1024, 512
+#: Rows of a block of sketches, and of a block of texts, which holds about ``SHINGLES`` at most unless a
+#: single text has more.
+BLOCK, TEXT_BLOCK, SHINGLES = 1024, 512, 1 << 22
 #: Standard deviations by which a sketch may lie under the threshold.
 SAFE = 4.5
 REMEMBERED = 300_000
@@ -232,11 +233,11 @@ class Block:
         return fits[np.bitwise_count(self.words[fits] ^ self.words[i]).sum(axis=1) <= self.most]
 
 
-def in_blocks(rows: DataFrame, key: str, block: int, columns: list[str]) -> DataFrame:
-    """Deals the rows of a key (with ``foreign``, ``all_rows`` and ``foreign_rows``) to groups
-    ``key, a, b``: the foreign rows of a block and all rows of a block, so that each foreign row
-    meets each row once."""
-    blocks = {side: F.ceil(F.col(f"{side}_rows") / block).cast("int") for side in ("all", "foreign")}
+def in_blocks(rows: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    """Deals the rows of a key (with ``foreign``, and in how many blocks to cut, ``all_blocks`` and
+    ``foreign_blocks``) to groups ``key, a, b``: the foreign rows of a block and all rows of a block, so
+    that each foreign row meets each row once."""
+    blocks = {side: F.col(f"{side}_blocks").cast("int") for side in ("all", "foreign")}
 
     def spread(own: str, other: str) -> DataFrame:
         some = rows.where("foreign") if own == "foreign" else rows
@@ -260,10 +261,10 @@ def cross_pairs(met: DataFrame, classes: DataFrame, families: DataFrame, percent
         .withColumn("foreign", F.col("comp") != F.coalesce("main", "first"))
     )
     sizes = rows.groupBy("key").agg(
-        F.count("*").alias("all_rows"), F.sum(F.col("foreign").cast("bigint")).alias("foreign_rows"))
-    open_ = rows.join(sizes.where("foreign_rows > 0"), "key").join(classes.select("id", "n", "sketch"), "id")
+        F.ceil(F.count("*") / BLOCK).alias("all_blocks"), F.ceil(F.count_if("foreign") / BLOCK).alias("foreign_blocks"))
+    open_ = rows.join(sizes.where("foreign_blocks > 0"), "key").join(classes.select("id", "n", "sketch"), "id")
     return (
-        in_blocks(open_, "key", BLOCK, ["id", "n", "comp", "sketch"])
+        in_blocks(open_, "key", ["id", "n", "comp", "sketch"])
         .groupBy("key", "a", "b").applyInArrow(block_pairs(percent), "u bigint, v bigint").distinct()
     )
 
@@ -273,19 +274,24 @@ def family_links(
 ) -> DataFrame:
     """Links between different components (``groups``) of the same family, confirmed in blocks on
     full sets: the rows outside a family's largest component are compared with all its rows."""
-    rows = families.toDF("id", "family").join(groups, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
+    rows = (
+        families.toDF("id", "family").join(groups, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
+        .join(classes.select("id", "n"), "id")
+    )
+    largest = F.max(F.struct("many", "comp", "shingles"))
+    blocks = lambda many, shingles: F.greatest(F.ceil(many / TEXT_BLOCK), F.ceil(shingles / SHINGLES))
     sizes = (
-        rows.groupBy("family", "comp").agg(F.count("*").alias("n"))
+        rows.groupBy("family", "comp").agg(F.count("*").alias("many"), F.sum("n").alias("shingles"))
         .groupBy("family").agg(
-            F.max_by("comp", F.struct("n", "comp")).alias("main"), F.sum("n").alias("all_rows"),
-            (F.sum("n") - F.max("n")).alias("foreign_rows"))
-        .where("foreign_rows > 0")
+            largest["comp"].alias("main"), blocks(F.sum("many"), F.sum("shingles")).alias("all_blocks"),
+            blocks(F.sum("many") - largest["many"], F.sum("shingles") - largest["shingles"]).alias("foreign_blocks"))
+        .where("foreign_blocks > 0")
     )
     open_ = keep(
         rows.join(sizes, "family").withColumn("foreign", F.col("comp") != F.col("main"))
-        .join(classes.select("id", "n", "bands", "sketch"), "id").join(words_of, "id"), "families")
+        .join(classes.select("id", "bands", "sketch"), "id").join(words_of, "id"), "families")
     return (
-        in_blocks(open_, "family", TEXT_BLOCK, ["id", "n", "comp", "bands", "sketch", "text"])
+        in_blocks(open_, "family", ["id", "n", "comp", "bands", "sketch", "text"])
         .groupBy("family", "a", "b").applyInArrow(block_links(percent, size), "u bigint, v bigint")
     )
 

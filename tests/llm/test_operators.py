@@ -97,6 +97,27 @@ def test_byte_pair_pieces_are_the_librarys():
         assert coder.decode(ids) == text
 
 
+def test_merged_characters_are_the_librarys_pieces():
+    coder = sentence_pieces.pieces(PIECES)
+    whole = [p for p in coder.worth if sentence_pieces.BLANK not in p]
+    rng = np.random.default_rng(3)
+    for a, b in rng.integers(0, len(whole), (20_000, 2)):
+        text = whole[a] + whole[b]
+        want = coder.library.encode(text, out_type=str)
+        assert coder.merged(sentence_pieces.BLANK + text) == want, text
+
+
+def test_byte_pair_models_with_user_defined_pieces_are_refused():
+    from sentencepiece import sentencepiece_model_pb2
+
+    proto = sentencepiece_model_pb2.ModelProto()
+    with open(PIECES, "rb") as file:
+        proto.ParseFromString(file.read())
+    proto.pieces[500].type = sentence_pieces.USER_DEFINED
+    with pytest.raises(ValueError, match="user-defined"):
+        sentence_pieces.Pieces(proto.SerializeToString())
+
+
 def test_unigram_pieces_are_worth_what_the_librarys_are():
     from sentencepiece import sentencepiece_model_pb2
 
@@ -610,6 +631,22 @@ def test_components_are_those_of_brute_force(spark, size):
     assert all(r.kept == (r.doc_id == r.component_id) for r in got)
 
 
+def test_families_are_compared_in_blocks_of_shingles(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    base = [f"w{i}" for i in range(60)]
+    rows = []
+    for i in range(40):
+        words = list(base)
+        for spot in rng.integers(0, len(base), rng.integers(0, 8)):
+            words[spot] = f"x{i}_{spot}"
+        rows.append((i, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    want = sorted(near_duplicates.near_duplicates(docs, 2, 80).collect())
+    monkeypatch.setattr(near_duplicates, "SHINGLES", 150)
+    assert sorted(near_duplicates.near_duplicates(docs, 2, 80).collect()) == want
+    assert len({r.component_id for r in want}) < 40
+
+
 def test_components_across_buckets_need_no_first_member(spark):
     """Every class is tested across components, also where the bucket's first is unlike."""
     met = spark.createDataFrame([(7, i, 1, 4) for i in (1, 2, 3, 4)], "key bigint, id bigint, first bigint, many bigint")
