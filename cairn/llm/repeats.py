@@ -12,9 +12,12 @@ words or more; sentences of fewer than ``SHORT`` words don't interrupt a run.
 
 ``passages`` needs no sentences: every window of ``PASSAGE`` words that stands earlier, in any text,
 is removed. The smallest hash of the ``ANCHOR``-word runs in a window is its anchor, so equal windows
-have equal anchors; only windows whose anchor stands twice are hashed and compared. Every removed
-word stands in an equal window before it, so a first occurrence stays, word for word, though it can
-be spread over the texts that hold its parts first.
+have equal anchors. Neighbouring windows with their anchor at the same place are a stretch, one row
+with a digest of all their hashes; only stretches whose anchor stands twice are compared. Of equal
+stretches all but the earliest are repeated, window by window; of the earliest, windows are compared
+one by one, if other stretches have the same anchor. Every removed word stands in an equal window
+before it, so a first occurrence stays, word for word, though it can be spread over the texts that
+hold its parts first.
 
 A digest many units share is reduced in the map tasks to its earliest, and units are joined to
 these rows, where adaptive execution can split a hot digest.
@@ -34,7 +37,7 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cairn.llm.common import KEY, keep, map_rows, same_document, text_key
@@ -50,7 +53,8 @@ LINES, PARAGRAPHS = "\n", r"\n[^\S\n]*\n\s*"
 
 SENTENCES = re.compile(r"[^.!?\n]*[.!?\n]+|[^.!?\n]+")
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
-WORDS_AND_BLANKS = re.compile(r"[^\x20\x09-\x0D]+[\x20\x09]*")
+#: What is told of a span to remove.
+SPAN = ("doc_id", KEY, "level", "begin", "end", "next", "n_words", "kept_doc_id", "kept_begin")
 
 
 def spans(text: str, breaks: re.Pattern) -> Iterator[tuple[int, int, int]]:
@@ -119,14 +123,19 @@ def sentences(documents: DataFrame, rank: str = "doc_id") -> DataFrame:
         f"rank bigint, doc_id bigint, {KEY} bigint, place int, begin int, next int, n_words int, digest bigint", run)
 
 
-def later(found: DataFrame) -> DataFrame:
+def order(rank: str, *more: str) -> Column:
+    """What comes first: by rank, then by id, the text's hash and the place."""
+    by_rank = [] if rank == "doc_id" else [F.col("rank").isNull().alias("last"), F.col("rank")]
+    return F.struct(*by_rank, F.col("doc_id").isNull().alias("no_id"), "doc_id", KEY, "begin", *more)
+
+
+def later(found: DataFrame, rank: str) -> DataFrame:
     """The units that are not the earliest of their digest, with the earliest (``first``)."""
-    order = F.struct(
-        F.col("rank").isNull().alias("last"), "rank", F.col("doc_id").isNull().alias("no_id"), "doc_id", KEY, "begin")
     first = keep(  # as a table, so that the join shuffles both sides and a hot digest is split
-        found.groupBy("digest").agg(F.min(order).alias("first"), F.max(order).alias("final"))
-        .where(F.col("first") != F.col("final")).select("digest", "first"), "firsts")
-    return found.join(first, "digest").where(order != F.col("first"))
+        found.groupBy("digest").agg(F.min(order(rank)).alias("first"), F.count(F.lit(1)).alias("n"))
+        .where("n > 1").select("digest", "first"), "firsts")
+    return found.join(first, "digest").where(order(rank) != F.col("first")).withColumns({
+        "kept_doc_id": F.col("first.doc_id"), "kept_begin": F.col("first.begin")}).drop("first", "digest", "rank")
 
 
 def repeats(
@@ -135,23 +144,20 @@ def repeats(
 ) -> DataFrame:
     """Each span to remove: ``doc_id, text_key, level, begin, end, next, n_words, kept_doc_id,
     kept_begin``, of ``level`` ``unit`` or ``run``. Spans of the two levels may overlap."""
-    lines = later(keep(units(documents, rank, least_words, breaks), "units")).dropDuplicates(["doc_id", KEY, "begin"]).select(
-        "doc_id", KEY, F.lit("unit").alias("level"), "begin", "end", "next", "n_words",
-        F.col("first.doc_id").alias("kept_doc_id"), F.col("first.begin").alias("kept_begin"))
+    lines = later(keep(units(documents, rank, least_words, breaks), "units"), rank).dropDuplicates(
+        ["doc_id", KEY, "begin"]).withColumn("level", F.lit("unit")).select(*SPAN)
     # Neighbours in a text have places one apart; the difference to their rank names the run.
     inside = Window.partitionBy("doc_id", KEY).orderBy("place")
     runs = (
-        later(keep(sentences(documents, rank), "sentences"))
-        .select("doc_id", KEY, "place", "begin", "next", "n_words", "first")
-        .dropDuplicates(["doc_id", KEY, "place"])
+        later(keep(sentences(documents, rank), "sentences"), rank)
+        .withColumn("copy", F.coalesce(F.lag("place").over(inside) == F.col("place"), F.lit(False)))
         .withColumn("run", F.col("place") - F.dense_rank().over(inside))
+        .where("not copy")  # of a row equal in id and text
         .groupBy("doc_id", KEY, "run").agg(
-            F.min("begin").alias("begin"), F.max("next").alias("next"),
-            F.sum("n_words").cast("int").alias("n_words"), F.min_by("first", "place").alias("first"))
+            F.min("begin").alias("begin"), F.max("next").alias("next"), F.sum("n_words").cast("int").alias("n_words"),
+            F.min_by(F.struct("kept_doc_id", "kept_begin"), "place").alias("first"))
         .where(F.col("n_words") >= run_words)
-        .select(
-            "doc_id", KEY, F.lit("run").alias("level"), "begin", F.col("next").alias("end"), "next", "n_words",
-            F.col("first.doc_id").alias("kept_doc_id"), F.col("first.begin").alias("kept_begin"))
+        .select("*", "first.*", F.lit("run").alias("level"), F.col("next").alias("end")).select(*SPAN)
     )
     return lines.unionByName(runs)
 
@@ -161,8 +167,8 @@ def joined_hashes(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def windows(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes of all runs of ``ANCHOR`` words, and of each window of ``PASSAGE`` words the anchor
-    and the hash. All are empty for a text with fewer words than a window."""
+    """Of each window of ``PASSAGE`` words the anchor, the word where that begins, and the hash. All
+    are empty for a text with fewer words than a window."""
     known = word_hashes()
     get = known.new.get
     hashes = np.array(
@@ -179,65 +185,115 @@ def windows(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         size *= 2
     rest = PASSAGE - size  # two runs that overlap make a window
     whole = joined_hashes(hashes[:len(hashes) - rest], hashes[rest:])
-    anchors = np.lib.stride_tricks.sliding_window_view(runs, PASSAGE - ANCHOR + 1).min(axis=1)
-    return runs.view(np.int64), anchors.view(np.int64), whole.view(np.int64)
+    inside = np.lib.stride_tricks.sliding_window_view(runs, PASSAGE - ANCHOR + 1)
+    at = np.arange(len(inside)) + inside.argmin(axis=1)
+    return runs[at].view(np.int64), at, whole.view(np.int64)
+
+
+def word_places(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """The begin of each word, and its end behind the blanks that follow it, in characters."""
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    blank = (codes == 0x20) | (codes == 0x09)
+    space = np.concatenate(([True], blank | ((codes > 0x09) & (codes < 0x0E)), [True]))
+    edges = np.flatnonzero(space[1:] != space[:-1])
+    stops = np.flatnonzero(np.concatenate((~blank, [True])))
+    return edges[::2], stops[np.searchsorted(stops, edges[1::2])]
+
+
+def table_of(parts: list[tuple], *names: str) -> dict:
+    """Columns of the parts; each begins with rank, id and key, and goes on with arrays."""
+    made: dict = {n: [] for n in ("rank", "doc_id", KEY)}
+    for part in parts:
+        for name, value in zip(made, part):
+            made[name] += [value] * len(part[3])
+    some = [*zip(*(p[3:] for p in parts))] or [()] * len(names)
+    return made | {n: np.concatenate([np.empty(0, np.int64), *arrays]) for n, arrays in zip(names, some)}
+
+
+def stretches(documents: DataFrame, rank: str = "doc_id") -> DataFrame:
+    """The windows of every text that share an anchor's place, as one row: ``rank, doc_id, text_key,
+    place, n, begin, next, anchor, digest`` of ``n`` windows from the word ``place`` on."""
+    def run(rows: dict) -> dict:
+        parts = []
+        for doc, own, order, text in zip(*(rows[n] for n in ("doc_id", KEY, "rank", "text"))):
+            its, at, whole = windows(text or "")
+            if not len(its):
+                continue
+            begins, ends = word_places(text)
+            first = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
+            many = np.diff(np.append(first, len(at)))
+            offsets = np.arange(len(at)) - np.repeat(first, many)
+            digest = np.add.reduceat(joined_hashes(whole.view(np.uint64), offsets.astype(np.uint64)), first)
+            parts.append((
+                order, doc, own, first, many, begins[first], ends[first + many - 1 + PASSAGE - 1], its[first],
+                digest.view(np.int64)))
+        return table_of(parts, "place", "n", "begin", "next", "anchor", "digest")
+
+    return map_rows(
+        source_of(documents, rank),
+        f"rank bigint, doc_id bigint, {KEY} bigint, place int, n int, begin int, next int, anchor bigint, digest bigint", run)
 
 
-def anchors(documents: DataFrame) -> DataFrame:
-    """The anchors of every text and how often their words stand there: ``doc_id, text_key, digest, n``."""
+def windows_of(documents: DataFrame, asked: DataFrame, rank: str) -> DataFrame:
+    """Every window of the stretches ``asked``: ``rank, doc_id, text_key, place, begin, next, digest``."""
     def run(rows: dict) -> dict:
-        made: dict[str, list] = {n: [] for n in ("doc_id", KEY, "digest", "n")}
-        for doc, own, text in zip(rows["doc_id"], rows[KEY], rows["text"]):
-            runs, some, _ = windows(text or "")
-            values, many = np.unique(runs[np.isin(runs, some)], return_counts=True)
-            made["doc_id"] += [doc] * len(values)
-            made[KEY] += [own] * len(values)
-            made["digest"] += values.tolist()
-            made["n"] += many.tolist()
-        return made
+        parts = []
+        for doc, own, order, text, some in zip(*(rows[n] for n in ("doc_id", KEY, "rank", "text", "stretches"))):
+            _, _, whole = windows(text or "")
+            begins, ends = word_places(text or "")
+            place = np.concatenate([np.arange(s["place"], s["place"] + s["n"]) for s in some])
+            parts.append((order, doc, own, place, begins[place], ends[place + PASSAGE - 1], whole[place]))
+        return table_of(parts, "place", "begin", "next", "digest")
 
-    source = source_of(documents, "doc_id").drop("rank")
-    return map_rows(source, f"doc_id bigint, {KEY} bigint, digest bigint, n bigint", run)
+    source = source_of(documents, rank)
+    source = source.join(asked, same_document(source, asked)).select(*(source[c] for c in source.columns), "stretches")
+    return map_rows(
+        source, f"rank bigint, doc_id bigint, {KEY} bigint, place int, begin int, next int, digest bigint", run)
 
 
 def passages(documents: DataFrame, rank: str = "doc_id") -> DataFrame:
     """The spans of ``PASSAGE`` words or more that stand earlier, as ``repeats`` gives them, of
     ``level`` ``passage``."""
-    found = keep(anchors(documents), "anchors")
-    twice = keep(found.groupBy("digest").agg(F.sum("n").alias("n")).where("n > 1").select("digest"), "twice")
+    every = keep(stretches(documents, rank), "stretches")
+    twice = keep(every.groupBy("anchor").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("anchor"), "twice")
+    found = keep(every.join(twice, "anchor"), "found")
+    place = order(rank, "place")
+    distinct = keep(
+        found.groupBy("anchor", "digest").agg(
+            F.min(place).alias("first"), F.max("n").alias("n"), F.count(F.lit(1)).alias("times"))
+        .select("*", F.col("first.doc_id").alias("doc_id"), F.col(f"first.{KEY}").alias(KEY), F.col("first.place").alias("place")),
+        "distinct")
+    # Windows can be equal in unequal stretches, if those have the same anchor.
+    mixed_ = distinct.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1").select("anchor")
     asked = keep(
-        found.join(twice, "digest").groupBy("doc_id", KEY).agg(F.collect_set("digest").alias("anchors")), "asked")
-
-    def run(rows: dict) -> dict:
-        names = ("rank", "doc_id", KEY, "place", "begin", "next", "digest")
-        made: dict[str, list] = {n: [] for n in names}
-        for doc, own, order, text, some in zip(*(rows[n] for n in ("doc_id", KEY, "rank", "text", "anchors"))):
-            _, its, whole = windows(text or "")
-            if not len(its):
-                continue
-            words = [m.span() for m in WORDS_AND_BLANKS.finditer(text)]
-            for i in np.flatnonzero(np.isin(its, np.array(some, dtype=np.int64))).tolist():
-                values = (order, doc, own, i, words[i][0], words[i + PASSAGE - 1][1], int(whole[i]))
-                for name, value in zip(names, values):
-                    made[name].append(value)
-        return made
-
-    source = source_of(documents, rank)
-    source = source.join(asked, same_document(source, asked)).select(*(source[c] for c in source.columns), "anchors")
-    whole = map_rows(
-        source, f"rank bigint, doc_id bigint, {KEY} bigint, place int, begin int, next int, digest bigint", run)
+        distinct.join(mixed_, "anchor").groupBy("doc_id", KEY).agg(F.collect_list(F.struct("place", "n")).alias("stretches")),
+        "asked")
+    again = keep(
+        later(keep(windows_of(documents, asked, rank), "windows"), rank).withColumn("last", F.col("place")), "again")
+    # All windows of a stretch that stands earlier do so; where the first of them is kept is known
+    # from the earliest such stretch.
+    heads = distinct.where("times > 1")
+    known = again.select(
+        F.col("doc_id").alias("its_id"), F.col(KEY).alias("its_key"), F.col("place").alias("its_place"), "kept_doc_id", "kept_begin")
+    same = heads["doc_id"].eqNullSafe(known["its_id"]) & (heads[KEY] == known["its_key"]) & (heads["place"] == known["its_place"])
+    own = F.col("its_place").isNull()
+    heads = heads.join(known, same, "left").select(
+        "anchor", "digest", "first", F.when(own, F.col("first.doc_id")).otherwise(F.col("kept_doc_id")).alias("kept_doc_id"),
+        F.when(own, F.col("first.begin")).otherwise(F.col("kept_begin")).alias("kept_begin"))
+    copies = (
+        found.join(keep(heads, "heads"), ["anchor", "digest"]).where(place != F.col("first"))
+        .withColumn("last", F.col("place") + F.col("n") - 1).select(*again.columns))
     inside = Window.partitionBy("doc_id", KEY).orderBy("place")
+    before = inside.rowsBetween(Window.unboundedPreceding, -1)
     return (
-        later(keep(whole, "windows"))
-        .select("doc_id", KEY, "place", "begin", "next", "first").dropDuplicates(["doc_id", KEY, "place"])
-        .withColumn("new", (F.col("place") > F.lag("place").over(inside) + PASSAGE).cast("int"))
+        again.unionByName(copies)
+        .withColumn("new", (F.col("place") > F.max("last").over(before) + PASSAGE).cast("int"))
         .withColumn("run", F.sum(F.coalesce("new", F.lit(0))).over(inside))
         .groupBy("doc_id", KEY, "run").agg(
             F.min("begin").alias("begin"), F.max("next").alias("next"),
-            (F.max("place") - F.min("place") + PASSAGE).cast("int").alias("n_words"), F.min_by("first", "place").alias("first"))
-        .select(
-            "doc_id", KEY, F.lit("passage").alias("level"), "begin", F.col("next").alias("end"), "next", "n_words",
-            F.col("first.doc_id").alias("kept_doc_id"), F.col("first.begin").alias("kept_begin"))
+            (F.max("last") - F.min("place") + PASSAGE).cast("int").alias("n_words"),
+            F.min_by(F.struct("kept_doc_id", "kept_begin"), "place").alias("first"))
+        .select("*", "first.*", F.lit("passage").alias("level"), F.col("next").alias("end")).select(*SPAN)
     )
 
 

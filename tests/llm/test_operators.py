@@ -518,6 +518,39 @@ def test_passages_without_sentences_go_word_by_word(spark):
     assert repeats.passages(docs.where("false")).count() == 0
 
 
+def test_copied_passages_are_compared_by_stretches(spark, monkeypatch):
+    rnd = random.Random(7)
+    words = lambda n: " ".join(f"c{rnd.randrange(10 ** 6)}" for _ in range(n))
+    common, period = words(300), words(3) + " "
+    texts = [common] * 20 + [f"{words(30)} {common} {words(30)}" for _ in range(2)] + [period * 40, f"x {period * 30}"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    kept, keep = {}, repeats.keep
+
+    def counted(rows, name):
+        out = keep(rows, name)
+        kept[name] = kept.get(name, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(repeats, "keep", counted)
+    found = sorted((r.doc_id, r.begin, r.next, r.n_words, r.kept_doc_id, r.kept_begin) for r in repeats.passages(docs).collect())
+    first, want = {}, []
+    for i, text in enumerate(texts):
+        split, run = text.split(), []
+        places = [m.start() for m in re.finditer(r"\S+", text)] + [len(text)]
+        for k in range(len(split) - 49):
+            window = tuple(split[k:k + 50])
+            if window not in first:
+                first[window] = (i, places[k])
+            elif run and k <= run[-1][0] + 50:
+                run.append((k,))
+            else:
+                want += [(i, places[run[0][0]], places[run[-1][0] + 50], run[-1][0] - run[0][0] + 50, *run[0][1])] if run else []
+                run = [(k, first[window])]
+        want += [(i, places[run[0][0]], places[run[-1][0] + 50], run[-1][0] - run[0][0] + 50, *run[0][1])] if run else []
+    assert found == want and len(found) == 23
+    assert kept["windows"] < 1000  # a row for every window of every copy would be 5,755
+
+
 def test_overlapping_spans_are_removed_once(spark):
     docs = spark.createDataFrame([(1, "0123456789", "k")], "doc_id bigint, text string, begin string")
     spans = spark.createDataFrame([(1, 2, 5), (1, 3, 4), (1, 4, 7), (1, 9, 10)], "doc_id bigint, begin int, next int")
