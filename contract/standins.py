@@ -12,7 +12,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from cairn.schemas import EPOCH_VARIABLES
-from cairn.session import shared_folder
+from cairn.session import settle, shared_folder
 from cairn.vocab import WEATHER_VARIABLES
 
 AREA = (10.0, 5.0, 300.0, 25.0)
@@ -82,8 +82,9 @@ def payload_file(spark: SparkSession, sf_dir: str) -> str:
     end = spark.sql("SELECT 9223372036854775807L AS ord, '], \"remark\": \"the \\\\\"type\\\\\" is }\"}' AS value")
     rows = elements(spark, sf_dir).selectExpr("ord", f"concat(',', {element}) AS value")
     folder = f"{shared_folder(spark)}/payload-{uuid.uuid4().hex}"
-    # Sorted by all tasks, then written by one: the file is the point.
-    rows.unionAll(begin).unionAll(end).orderBy("ord").select("value").coalesce(1).write.text(folder)
+    # Sorted by all tasks and kept, then written by one, which holds a row at a time: the file is the point.
+    lines = settle(rows.unionAll(begin).unionAll(end).orderBy("ord").select("value"))
+    lines.coalesce(1).write.text(folder)
     return folder
 
 

@@ -98,3 +98,21 @@ def test_broken_payloads_fail(spark, tmp_path):
         scan_elements(spark, str(tmp_path))
     with pytest.raises(ValueError, match="quoted word"):
         scan_elements(spark, str(tmp_path), separator="}")
+
+
+def test_the_task_that_writes_the_payload_sorts_nothing(spark, small, monkeypatch):
+    from pyspark.sql import DataFrameWriter
+
+    from contract.standins import payload_file
+
+    plans, text = [], DataFrameWriter.text
+
+    def noted(self, path, *args, **kwargs):
+        plans.append(self._df._jdf.queryExecution().executedPlan().toString())
+        return text(self, path, *args, **kwargs)
+
+    monkeypatch.setattr(DataFrameWriter, "text", noted)
+    folder = payload_file(spark, small)
+    assert len(plans) == 1 and "Sort" not in plans[0]
+    ids = [r.id for r in read_elements(spark, folder).orderBy("ord").collect()]
+    assert len(ids) > 1 and ids == sorted(ids)
